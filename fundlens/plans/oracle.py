@@ -50,3 +50,28 @@ DURATION_DAYS = "(CAST(floor(deadline / 86400.0) AS BIGINT) - CAST(floor(launche
 COMPLETENESS = ("ROUND(1.0 - CAST(SUM(CASE WHEN blurb IS NULL THEN 1 ELSE 0 END) + "
                 "SUM(CASE WHEN goal IS NULL THEN 1 ELSE 0 END) + "
                 "SUM(CASE WHEN category IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / CAST(COUNT(id) * 3 AS DOUBLE), 6)")
+
+VALIDATED_CTE = """validated AS (
+  SELECT * FROM campaigns
+  WHERE goal > 0 AND state IN (0, 1) AND category IS NOT NULL AND country IS NOT NULL
+    AND launched_at IS NOT NULL AND deadline IS NOT NULL)"""
+
+FEATURES_CTE = """features AS (
+  SELECT id, goal, category, country, launched_at, deadline, CAST(staff_pick AS INTEGER) AS staff_pick,
+         state, deadline - launched_at AS duration, ln(1 + goal) AS goal_log
+  FROM validated)"""
+
+
+def double_list(values) -> str:
+    def lit(v):
+        if v == float("inf"):
+            return "'inf'::DOUBLE"
+        return f"{float(v)!r}::DOUBLE"
+    return "[" + ", ".join(lit(v) for v in values) + "]"
+
+
+def bucket_sql(col: str, splits) -> str:
+    """Bucketizer semantics: index of the last split <= x; NaN -> extra bucket."""
+    n = len(splits) - 1
+    return (f"CASE WHEN {col} IS NULL THEN NULL WHEN isnan({col}) THEN {n} "
+            f"ELSE CAST(len(list_filter({double_list(splits)}, lambda s: s <= {col})) - 1 AS INTEGER) END")

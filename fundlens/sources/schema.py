@@ -50,7 +50,7 @@ RAW_CSV_SCHEMA = T.StructType([T.StructField(n, _TYPES[t]) for n, t in RAW_CSV_C
 REQUIRED_COLUMNS = ["category", "country", "goal", "state", "launched_at", "deadline", "staff_pick"]
 
 # Columns that may not be null after validation (the ingestion default).
-DEFAULT_NOT_NULL = ["category", "country", "goal", "state"]
+DEFAULT_NOT_NULL = ["category", "country", "launched_at", "deadline"]
 
 # The seven model input columns.
 MODEL_COLUMNS = ["goal", "category", "country", "launched_at", "deadline", "staff_pick", "state"]
