@@ -75,3 +75,8 @@ def bucket_sql(col: str, splits) -> str:
     n = len(splits) - 1
     return (f"CASE WHEN {col} IS NULL THEN NULL WHEN isnan({col}) THEN {n} "
             f"ELSE CAST(len(list_filter({double_list(splits)}, lambda s: s <= {col})) - 1 AS INTEGER) END")
+
+
+def hash_unit_sql(key: str = "id", seed: int = 42, salt: str = "") -> str:
+    prefix = f"{seed}:{salt + ':' if salt else ''}"
+    return f"CAST(('0x' || substr(md5('{prefix}' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
