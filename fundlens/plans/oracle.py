@@ -80,3 +80,10 @@ def bucket_sql(col: str, splits) -> str:
 def hash_unit_sql(key: str = "id", seed: int = 42, salt: str = "") -> str:
     prefix = f"{seed}:{salt + ':' if salt else ''}"
     return f"CAST(('0x' || substr(md5('{prefix}' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+def index_sql(col: str, source: str, alphabetical: bool = False) -> str:
+    """StringIndexer codes: frequency desc then value asc, or value asc."""
+    order = f"{col} ASC" if alphabetical else f"COUNT(*) DESC, {col} ASC"
+    return (f"SELECT {col} AS v, CAST(ROW_NUMBER() OVER (ORDER BY {order}) - 1 AS DOUBLE) AS idx "
+            f"FROM {source} WHERE {col} IS NOT NULL GROUP BY {col}")
