@@ -84,12 +84,12 @@ def fit_dt(train: DataFrame, max_depth: int = 8, seed: int = 42):
 
 
 def gbt_cv(train_with_folds: DataFrame, depths: Sequence[int] = (3, 4), iters: Sequence[int] = (10, 15),
-           fold_col: str = "fold", parallelism: int = 2, seed: int = 42) -> CrossValidator:
+           fold_col: str = "fold", num_folds: int = 2, parallelism: int = 2, seed: int = 42) -> CrossValidator:
     gbt = gbt_estimator(max_bins_for(train_with_folds), seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.maxIter, list(iters)).build()
     ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
     return CrossValidator(estimator=pipeline(gbt), estimatorParamMaps=grid, evaluator=ev,
-                          foldCol=fold_col, parallelism=parallelism, seed=seed)
+                          foldCol=fold_col, numFolds=num_folds, parallelism=parallelism, seed=seed)
 
 
 def fit_gbt_cv(train_with_folds: DataFrame, **kw):

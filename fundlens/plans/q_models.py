@@ -204,7 +204,7 @@ def fitted(spark, sf, name):
         if name == "DT":
             return M.fit_dt(train)
         if name == "GBT":
-            return M.fit_gbt_cv(train)
+            return M.fit_gbt_cv(train, num_folds=FOLDS)
         raise KeyError(name)
     return _memo(spark, sf, name, build)
 
