@@ -80,7 +80,7 @@ KPI_MEASURES = {
     "missing_data": missing_data,
     "countries_covered": countries_covered,
     "success_rate": success_rate,
-    "avg_funding_pct": avg_funding_pct,
+    "avg_funding": avg_funding_pct,
     "avg_backers": avg_backers,
 }
 

@@ -29,7 +29,7 @@ _kpi("kpi_missing_data", ["id", "blurb", "goal"],
      "CAST(SUM(CASE WHEN blurb IS NULL OR goal IS NULL THEN 1 ELSE 0 END) AS BIGINT)")
 _kpi("kpi_countries_covered", ["country"], "COUNT(DISTINCT country)")
 _kpi("kpi_success_rate", ["id", "state"], SUCCESS_RATE)
-_kpi("kpi_avg_funding_pct", ["pledged", "goal"], f"ROUND(AVG({FUNDING_PCT}), 6)")
+_kpi("kpi_avg_funding", ["pledged", "goal"], f"ROUND(AVG({FUNDING_PCT}), 6)")
 _kpi("kpi_avg_backers", ["backers_count"], "ROUND(AVG(backers_count), 6)")
 
 
@@ -41,7 +41,7 @@ SELECT COUNT(id) AS total_records,
        CAST(SUM(CASE WHEN blurb IS NULL OR goal IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_data,
        COUNT(DISTINCT country) AS countries_covered,
        {SUCCESS_RATE} AS success_rate,
-       ROUND(AVG({FUNDING_PCT}), 6) AS avg_funding_pct,
+       ROUND(AVG({FUNDING_PCT}), 6) AS avg_funding,
        ROUND(AVG(backers_count), 6) AS avg_backers
 FROM campaigns"""), S)
 def kpi_dashboard(spark, sf):
@@ -191,3 +191,23 @@ def backers_per_day(spark, sf):
 @register("created_month", with_campaigns(f"SELECT id, {CREATED_MONTH} AS created_month FROM campaigns"), "scalar")
 def created_month(spark, sf):
     return campaigns(spark, sf, ["id", "created_at"]).select("id", C.created_month().alias("created_month"))
+
+
+@register("rounding", with_campaigns(f"""
+SELECT category, ROUND(AVG({FUNDING_PCT}), 4) AS avg_funding_pct, ROUND(AVG({DURATION_DAYS}), 2) AS avg_duration_days
+FROM campaigns GROUP BY category"""), "scalar")
+def rounding(spark, sf):
+    """Report rounding: ratios to 4 decimals, times to 2."""
+    df = campaigns(spark, sf, ["category", "pledged", "goal", "launched_at", "deadline"])
+    return df.groupBy("category").agg(C.rounded(F.avg(C.funding_pct()), 4).alias("avg_funding_pct"),
+                                      C.rounded(F.avg(C.duration_days()), 2).alias("avg_duration_days"))
+
+
+LIMIT_ROWS = 5000
+
+
+@register("limit_rows", with_campaigns(
+    f"SELECT id, goal, category, country, state FROM campaigns ORDER BY id LIMIT {LIMIT_ROWS}"), "topk")
+def limit_rows(spark, sf):
+    """Repeatable quick slice: the first rows by id (a top-k, not a full sort)."""
+    return campaigns(spark, sf, ["id", "goal", "category", "country", "state"]).orderBy("id").limit(LIMIT_ROWS)
