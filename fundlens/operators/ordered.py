@@ -40,7 +40,8 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
     probs = [i / n_ranges for i in range(1, n_ranges)]
     bounds = keyed.approxQuantile("_k", probs, 1.0 / (4 * n_ranges)) if probs else []
     inner = sorted({b for b in bounds if b is not None and not math.isnan(b) and not math.isinf(b)})
-    splits = [-math.inf] + inner + [math.inf]
+    # Bucketizer needs three splits at least; any finite middle split works.
+    splits = [-math.inf] + (inner or [0.0]) + [math.inf]
     ranged = Bucketizer(splits=splits, inputCol="_k", outputCol="_r", handleInvalid="keep").transform(keyed)
 
     w_in = Window.partitionBy("_r").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
