@@ -41,10 +41,12 @@ class LogGoalTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRe
 
 def indexers(cols: Sequence[str] = CATEGORICAL, handle_invalid: str = "keep",
              order: str = "frequencyDesc") -> list[StringIndexer]:
-    """StringIndexers: frequency desc then value asc by default; ``keep`` maps
-    NULL/unseen values to index = number of labels; ``error`` raises."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid=handle_invalid,
-                          stringOrderType=order) for c in cols]
+    """One multi-column StringIndexer (all label counts in a single pass):
+    frequency desc then value asc by default; ``keep`` maps NULL/unseen
+    values to index = number of labels; ``error`` raises."""
+    cols = list(cols)
+    return [StringIndexer(inputCols=cols, outputCols=[f"{c}_index" for c in cols],
+                          handleInvalid=handle_invalid, stringOrderType=order)]
 
 
 def assembler(cols: Sequence[str] = FEATURE_COLS, output: str = "features",

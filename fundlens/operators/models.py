@@ -173,17 +173,22 @@ def reuse_stage(feature_model: PipelineModel, stage, expected_labels: dict | Non
     if feats and feats[-1].hasParam("predictionCol"):
         feats = feats[:-1]  # a full pipeline: keep only its feature stages
     if expected_labels:
-        for s in feats:
-            if hasattr(s, "labels") and s.getInputCol() in expected_labels:
-                if list(s.labels) != list(expected_labels[s.getInputCol()]):
-                    raise ValueError(f"indexer labels for {s.getInputCol()} differ from the trained stage")
+        have = indexer_labels(PipelineModel(stages=feats))
+        for col, labels in expected_labels.items():
+            if have.get(col) != list(labels):
+                raise ValueError(f"indexer labels for {col} differ from the trained stage")
     return PipelineModel(stages=feats + [stage])
 
 
 def indexer_labels(model) -> dict:
     if isinstance(model, CrossValidatorModel):
         model = model.bestModel
-    return {s.getInputCol(): list(s.labels) for s in model.stages if hasattr(s, "labels")}
+    out = {}
+    for s in model.stages:
+        if hasattr(s, "labelsArray"):
+            cols = s.getInputCols() if s.isSet("inputCols") else [s.getInputCol()]
+            out.update({c: list(lab) for c, lab in zip(cols, s.labelsArray)})
+    return out
 
 
 def save_model(model, path: str) -> str:

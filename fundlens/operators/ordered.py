@@ -29,12 +29,19 @@ DEFAULT_RANGES = 256
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                 n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+                 n_ranges: int = DEFAULT_RANGES, materialize: bool = True) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in the given direction) and
     ``tot_<c>`` (grand total) for each ``c`` in ``sum_cols``.
 
-    ``order_col`` must be unique per row (one row per key).
+    ``order_col`` must be unique per row (one row per key). With
+    ``materialize`` the input is checkpointed (eager, into the shared
+    checkpoint dir) so the quantile pass and the window pass read it instead
+    of recomputing everything upstream twice.
     """
+    if materialize:
+        from .sampling import lineage_checkpoint
+
+        df = lineage_checkpoint(df)
     k = F.col(order_col).cast("double")
     keyed = df.withColumn("_k", -k if descending else k)
     probs = [i / n_ranges for i in range(1, n_ranges)]

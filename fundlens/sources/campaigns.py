@@ -6,7 +6,7 @@ One row per order plays one campaign (see FIXTURES.md §5):
     category      customer.c_mktsegment
     country       nation.n_name
     goal          orders.o_totalprice
-    pledged       sum(lineitem.l_extendedprice) as DECIMAL(12,2) then double; NULL w/o lines
+    pledged       sum(lineitem.l_extendedprice) exact in cents, then double; NULL w/o lines
     backers_count number of lines; NULL without lines
     created_at    epoch seconds of o_orderdate (launched_at is the same)
     deadline      epoch seconds of the latest l_shipdate
@@ -44,8 +44,12 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[st
 
 def _line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_extendedprice", "l_shipdate"])
+    # Money is summed as exact integer cents (a long sum, no per-row
+    # BigDecimal work); for amounts with two decimals this equals summing
+    # DECIMAL(12,2) values and converting the total to double.
+    cents = F.rint(F.col("l_extendedprice") * F.lit(100.0)).cast("long")
     return li.groupBy(F.col("l_orderkey").alias("id")).agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double").alias("pledged"),
+        (F.sum(cents).cast("double") / F.lit(100.0)).alias("pledged"),
         F.count(F.lit(1)).cast("int").alias("backers_count"),
         F.unix_timestamp(F.max("l_shipdate")).alias("deadline"),
     )

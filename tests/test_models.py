@@ -67,7 +67,7 @@ def test_max_bins_follows_cardinality(spark):
 def test_indexer_keep_unseen_and_null(spark):
     train = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), ("c",)], "category string")
     m = FT.indexers(["category"])[0].fit(train)
-    assert list(m.labels) == ["b", "c", "a"]  # frequency desc, then value asc
+    assert list(m.labelsArray[0]) == ["b", "c", "a"]  # frequency desc, then value asc
     test = spark.createDataFrame([("a",), ("zzz",), (None,)], "category string")
     got = [r["category_index"] for r in m.transform(test).collect()]
     assert got == [2.0, 3.0, 3.0]
