@@ -35,10 +35,12 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> D
                    F.sum(F.when(pos, 0).otherwise(1)).cast("long").alias("neg")))
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+def auc(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int = DEFAULT_RANGES,
+        materialize: bool = True) -> DataFrame:
     """Exact area under ROC with ties (Mann-Whitney): equals MLlib's evaluator
     with ``numBins=0``. NULL when one class is absent."""
-    c = running_sums(score_counts(df, label, score), "score", ["neg"], descending=False, n_ranges=n_ranges)
+    c = running_sums(score_counts(df, label, score), "score", ["neg"], descending=False, n_ranges=n_ranges,
+                     materialize=materialize)
     below = F.col("cum_neg") - F.col("neg")
     u = F.sum(F.col("pos").cast("double") * (below.cast("double") + F.col("neg").cast("double") / 2))
     p, n = F.sum("pos"), F.sum("neg")
@@ -122,9 +124,33 @@ def class_stats(df: DataFrame, label: str = "label", prediction: str = "predicti
     return st.withColumn("f1", f1)
 
 
-def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Support-weighted precision, recall and F1 (one row)."""
-    st = class_stats(df, label, prediction)
+def binary_class_stats(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                       classes: Sequence[float] = (0.0, 1.0)) -> DataFrame:
+    """``class_stats`` for a known class list in one conditional-aggregation
+    pass (no grouping of the confusion table, no join)."""
+    lab, pred = F.col(label).cast("double"), F.col(prediction).cast("double")
+    aggs = []
+    for i, c in enumerate(classes):
+        aggs += [F.sum(F.when(lab == float(c), 1).otherwise(0)).cast("long").alias(f"s{i}"),
+                 F.sum(F.when(pred == float(c), 1).otherwise(0)).cast("long").alias(f"p{i}"),
+                 F.sum(F.when((lab == float(c)) & (pred == float(c)), 1).otherwise(0)).cast("long").alias(f"t{i}")]
+    stack = ", ".join(f"CAST({float(c)} AS DOUBLE), s{i}, p{i}, t{i}" for i, c in enumerate(classes))
+    st = df.agg(*aggs).selectExpr(f"stack({len(classes)}, {stack}) AS (class, support, predicted, tp)")
+    prec = F.coalesce(_div(F.col("tp"), F.col("predicted")), F.lit(0.0))
+    rec = F.coalesce(_div(F.col("tp"), F.col("support")), F.lit(0.0))
+    st = st.withColumn("precision", prec).withColumn("recall", rec)
+    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
+                    F.lit(0.0))
+    return st.withColumn("f1", f1)
+
+
+def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                     classes: Sequence[float] | None = None) -> DataFrame:
+    """Support-weighted precision, recall and F1 (one row). With ``classes``
+    given (the binary case) the counts come from one pass; otherwise the
+    classes are discovered from the confusion table."""
+    st = (binary_class_stats(df, label, prediction, classes) if classes
+          else class_stats(df, label, prediction))
     w = F.col("support").cast("double")
     tot = F.sum(w)
     return st.agg(_r(F.sum(w * F.col("precision")) / tot).alias("precision"),
@@ -134,10 +160,17 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
 
 def metric_row(df: DataFrame, model: str, label: str = "label", prediction: str = "prediction",
                score: str = "score", extra: dict | None = None) -> DataFrame:
-    """One row: model, auc, accuracy, f1, precision, recall (+ extra literals)."""
-    a = auc(df, label, score)
+    """One row: model, auc, accuracy, f1, precision, recall (+ extra literals).
+
+    The scored table is checkpointed once (shared checkpoint dir), so a
+    costly model transform is not recomputed by each metric.
+    """
+    from .sampling import lineage_checkpoint
+
+    df = lineage_checkpoint(df.select(label, prediction, score))
+    a = auc(df, label, score, materialize=False)
     acc = accuracy(df, label, prediction)
-    wm = weighted_metrics(df, label, prediction)
+    wm = weighted_metrics(df, label, prediction, classes=(0.0, 1.0))
     # The three inputs are one-row tables: join them on a constant key (a
     # one-row equi-join, not a cross product of data).
     k = F.lit(1).alias("_one")

@@ -26,6 +26,7 @@ from .registry import register
 SEED = 42
 TRAIN = 0.8
 FOLDS = 2
+BINARY = (0.0, 1.0)
 
 # Stored logistic coefficients of the linear scorer (an LR fit
 # on goal_log, duration in seconds and staff_pick), and its intercept.
@@ -118,17 +119,17 @@ def eval_accuracy(spark, sf):
 
 @register("eval_f1", with_campaigns(W_SQL.format(m="f1"), SCORED_CTE), "evaluation")
 def eval_f1(spark, sf):
-    return EV.weighted_metrics(linear_scored(spark, sf)).select("f1")
+    return EV.weighted_metrics(linear_scored(spark, sf), classes=BINARY).select("f1")
 
 
 @register("eval_precision", with_campaigns(W_SQL.format(m="precision"), SCORED_CTE), "evaluation")
 def eval_precision(spark, sf):
-    return EV.weighted_metrics(linear_scored(spark, sf)).select("precision")
+    return EV.weighted_metrics(linear_scored(spark, sf), classes=BINARY).select("precision")
 
 
 @register("eval_recall", with_campaigns(W_SQL.format(m="recall"), SCORED_CTE), "evaluation")
 def eval_recall(spark, sf):
-    return EV.weighted_metrics(linear_scored(spark, sf)).select("recall")
+    return EV.weighted_metrics(linear_scored(spark, sf), classes=BINARY).select("recall")
 
 
 @register("confusion_matrix", with_campaigns("""

@@ -110,3 +110,10 @@ def test_hot_score_is_one_row(spark):
     counts = EV.score_counts(df)
     assert counts.filter(F.col("score") == 0.5).count() == 1
     assert EV.auc(df).first()["auc"] is not None
+
+
+def test_binary_path_equals_generic(spark):
+    df = _scored(spark, 2000)
+    a = EV.weighted_metrics(df).first()
+    b = EV.weighted_metrics(df, classes=(0.0, 1.0)).first()
+    assert a == b
