@@ -2,7 +2,9 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs once to warm up, then ``BENCH_REPS`` (default 3) timed
+``campaigns_ingest`` times the one-time build of the campaigns table from
+the driver tables; the other queries read that table. Each query runs once
+to warm up, then ``BENCH_REPS`` (default 3) timed
 runs; a run builds the plan and executes it fully through the ``noop`` sink
 (no driver collection). Prints one JSON line with the median seconds per
 query and their sum as the headline value.
@@ -37,9 +39,14 @@ def main():
 
     spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="fundlens-bench",
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
-    q = registry.queries()
+    from fundlens.sources.campaigns import campaigns_live
+
+    q = dict(registry.queries())
+    # One-time ingestion: the full campaigns join plan (lineitem aggregate,
+    # documents, customer, nation) that queries then read as Parquet.
+    q["campaigns_ingest"] = lambda s, sf: campaigns_live(s, sf)
     out = {}
-    for key in (only or HEADLINE):
+    for key in (only or ["campaigns_ingest"] + HEADLINE):
         def run():
             t0 = time.perf_counter()
             q[key](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -169,13 +169,18 @@ def metric_row(df: DataFrame, model: str, label: str = "label", prediction: str
 
     df = lineage_checkpoint(df.select(label, prediction, score))
     a = auc(df, label, score, materialize=False)
-    acc = accuracy(df, label, prediction)
-    wm = weighted_metrics(df, label, prediction, classes=(0.0, 1.0))
-    # The three inputs are one-row tables: join them on a constant key (a
-    # one-row equi-join, not a cross product of data).
+    # accuracy and the weighted metrics share one pass of class counts
+    st = binary_class_stats(df, label, prediction, (0.0, 1.0))
+    w = F.col("support").cast("double")
+    tot = F.sum(w)
+    cls = st.agg(_r(F.sum(F.col("tp").cast("double")) / tot).alias("accuracy"),
+                 _r(F.sum(w * F.col("f1")) / tot).alias("f1"),
+                 _r(F.sum(w * F.col("precision")) / tot).alias("precision"),
+                 _r(F.sum(w * F.col("recall")) / tot).alias("recall"))
+    # Both inputs are one-row tables: join them on a constant key (a one-row
+    # equi-join, not a cross product of data).
     k = F.lit(1).alias("_one")
-    out = a.select(k, "auc").join(acc.select(k, "accuracy"), "_one").join(
-        wm.select(k, "f1", "precision", "recall"), "_one").drop("_one")
+    out = a.select(k, "auc").join(cls.select(k, "accuracy", "f1", "precision", "recall"), "_one").drop("_one")
     out = out.select(F.lit(model).alias("model"), "auc", "accuracy", "f1", "precision", "recall")
     for name, v in (extra or {}).items():
         out = out.withColumn(name, F.lit(v))

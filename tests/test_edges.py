@@ -207,7 +207,9 @@ def test_pruned_view_same_rows(spark):
     from conftest import SF_SMALL
     from fundlens.sources.campaigns import campaigns
 
-    full = campaigns(spark, SF_SMALL).select("id", "goal")
-    slim = campaigns(spark, SF_SMALL, ["id", "goal"])
-    assert sorted(full.collect()) == sorted(slim.collect())
+    full = campaigns(spark, SF_SMALL, live=True).select("id", "goal", "state", "blurb")
+    slim = campaigns(spark, SF_SMALL, ["id", "goal"], live=True)
+    stored = campaigns(spark, SF_SMALL, ["id", "goal", "state", "blurb"])
+    assert sorted(full.select("id", "goal").collect()) == sorted(slim.collect())
+    assert sorted(full.collect()) == sorted(stored.collect())
     assert F is not None

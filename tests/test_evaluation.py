@@ -117,3 +117,12 @@ def test_binary_path_equals_generic(spark):
     a = EV.weighted_metrics(df).first()
     b = EV.weighted_metrics(df, classes=(0.0, 1.0)).first()
     assert a == b
+
+
+def test_metric_row_agrees_with_single_metrics(spark):
+    df = _scored(spark, 1500)
+    row = EV.metric_row(df, "m").first()
+    assert row["auc"] == EV.auc(df).first()["auc"]
+    assert row["accuracy"] == EV.accuracy(df).first()["accuracy"]
+    wm = EV.weighted_metrics(df).first()
+    assert (row["f1"], row["precision"], row["recall"]) == (wm["f1"], wm["precision"], wm["recall"])

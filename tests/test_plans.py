@@ -37,14 +37,14 @@ def test_parquet_scan_prunes_columns(spark):
 
 
 def test_view_plans_only_needed_joins(spark):
-    p = plan(campaigns(spark, SF_SMALL, ["id", "goal"]))
+    p = plan(campaigns(spark, SF_SMALL, ["id", "goal"], live=True))
     assert "lineitem" not in p and "documents" not in p and "customer" not in p
-    p = plan(campaigns(spark, SF_SMALL, ["id", "category", "state"]))
+    p = plan(campaigns(spark, SF_SMALL, ["id", "category", "state"], live=True))
     assert "lineitem" in p and "documents" not in p and "nation" not in p
 
 
 def test_lineitem_aggregated_before_join(spark):
-    p = plan(campaigns(spark, SF_SMALL, ["id", "pledged"]))
+    p = plan(campaigns(spark, SF_SMALL, ["id", "pledged"], live=True))
     head = p.split("\n\n")[0]
     # partial aggregate sits directly above the lineitem scan, below the join
     assert head.index("HashAggregate") > head.index("Join")
@@ -69,3 +69,10 @@ def test_filters_pushed_to_scan(spark):
     df = load_table(spark, SF_SMALL, "orders", ["o_orderkey", "o_totalprice"])
     p = plan(K.exclude_members(df.withColumnRenamed("o_orderkey", "id"), "id", [1, 2]))
     assert "PushedFilters" in p and "o_orderkey" in p
+
+
+def test_materialized_table_prunes_columns(spark):
+    p = plan(campaigns(spark, SF_SMALL, ["id", "category", "state"]))
+    scan = [line for line in p.splitlines() if line.startswith("ReadSchema")]
+    assert scan == ["ReadSchema: struct<id:bigint,category:string,state:int>"]
+    assert "Exchange" not in p
