@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import DEFAULT_RANGES, running_sums
+from .ordered import running_sums
 
 DIGITS = 6
 
@@ -35,7 +35,7 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> D
                    F.sum(F.when(pos, 0).otherwise(1)).cast("long").alias("neg")))
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int = DEFAULT_RANGES,
+def auc(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int | None = None,
         materialize: bool = True) -> DataFrame:
     """Exact area under ROC with ties (Mann-Whitney): equals MLlib's evaluator
     with ``numBins=0``. NULL when one class is absent."""
@@ -52,7 +52,7 @@ def _desc_curve(df, label, score, n_ranges):
                         n_ranges=n_ranges)
 
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+def roc_points(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, scores >= threshold positive."""
     c = _desc_curve(df, label, score, n_ranges)
     return c.select(_r(F.col("score")).alias("threshold"),
@@ -60,7 +60,7 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score", n_rang
                     _r(_div(F.col("cum_pos"), F.col("tot_pos"))).alias("tpr"))
 
 
-def pr_points(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+def pr_points(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int | None = None) -> DataFrame:
     """(threshold, precision, recall) at every distinct score."""
     c = _desc_curve(df, label, score, n_ranges)
     return c.select(_r(F.col("score")).alias("threshold"),
@@ -69,7 +69,7 @@ def pr_points(df: DataFrame, label: str = "label", score: str = "score", n_range
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score",
-                      n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+                      n_ranges: int | None = None) -> DataFrame:
     """Step-sum AP: sum over thresholds of (recall increment) x precision.
     Differs from MLlib's trapezoidal ``areaUnderPR``."""
     c = _desc_curve(df, label, score, n_ranges)

@@ -28,8 +28,20 @@ from pyspark.sql import functions as F
 DEFAULT_RANGES = 256
 
 
+def default_ranges(spark) -> int:
+    """Ranges scale with the cluster's shuffle width (4 per shuffle
+    partition, at least 256), so rows per range stay bounded as data grows
+    with the partition count; the offsets table stays small enough to
+    broadcast (tens of thousands of rows at most)."""
+    try:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except Exception:  # pragma: no cover
+        parts = 200
+    return min(max(DEFAULT_RANGES, 4 * parts), 100_000)
+
+
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                 n_ranges: int = DEFAULT_RANGES, materialize: bool = True) -> DataFrame:
+                 n_ranges: int | None = None, materialize: bool = True) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in the given direction) and
     ``tot_<c>`` (grand total) for each ``c`` in ``sum_cols``.
 
@@ -42,6 +54,7 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
         from .sampling import lineage_checkpoint
 
         df = lineage_checkpoint(df)
+    n_ranges = n_ranges or default_ranges(df.sparkSession)
     k = F.col(order_col).cast("double")
     keyed = df.withColumn("_k", -k if descending else k)
     probs = [i / n_ranges for i in range(1, n_ranges)]
