@@ -67,6 +67,11 @@ def hash_sample(df: DataFrame, fraction: float, key: str = "id", seed: int = 42)
     return df.filter(in_fraction(fraction, key, seed, salt="sample"))
 
 
+def random_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Spark's Bernoulli ``sample`` (membership depends on partitioning)."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
 def kfold(df: DataFrame, k: int = 3, key: str = "id", seed: int = 42, col: str = "fold") -> DataFrame:
     """Fold number 0..k-1 per row (usable as CrossValidator ``foldCol``)."""
     return df.withColumn(col, F.pmod(hash_unit(key, seed, salt="fold"), F.lit(k)).cast("int"))

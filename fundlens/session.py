@@ -66,3 +66,23 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - conf always set in practice
         return os.cpu_count() or 8
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a job reading ``input_bytes``.
+
+    Scan splits and shuffle partitions both aim at ``target_partition_bytes``
+    so a task's working set fits in executor memory; the shuffle width is at
+    least two waves of the cluster's cores, and AQE coalesces it down (or
+    splits skewed partitions) at run time.
+    """
+    slots = max(1, executors * cores_per_executor)
+    shuffle = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
