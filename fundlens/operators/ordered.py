@@ -62,7 +62,8 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
     inner = sorted({b for b in bounds if b is not None and not math.isnan(b) and not math.isinf(b)})
     # Bucketizer needs three splits at least; any finite middle split works.
     splits = [-math.inf] + (inner or [0.0]) + [math.inf]
-    ranged = Bucketizer(splits=splits, inputCol="_k", outputCol="_r", handleInvalid="keep").transform(keyed)
+    ranged = Bucketizer(splits=splits, inputCol="_k", outputCol="_r", handleInvalid="keep").transform(keyed) \
+        .withColumn("_r", F.col("_r").cast("int"))
 
     w_in = Window.partitionBy("_r").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(*df.columns, "_r", *[F.sum(c).over(w_in).alias(f"_l_{c}") for c in sum_cols])

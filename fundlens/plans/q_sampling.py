@@ -53,7 +53,9 @@ def repartition_balance(spark, sf):
     return SM.partition_sizes(SM.repartition_balance(K.validate(model_table(spark, sf)), 8))
 
 
-@register("cache_scope", None, S)
+@register("cache_scope", with_campaigns(
+    "SELECT state, COUNT(*) AS n, (SELECT COUNT(*) FROM validated) AS n_total FROM validated GROUP BY state",
+    VALIDATED_CTE), S)
 def cache_scope(spark, sf):
     """Two actions over one persisted table; the second reads the cache."""
     with SM.cache_scope(K.validate(model_table(spark, sf))) as cached:
