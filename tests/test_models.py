@@ -89,3 +89,26 @@ def test_learning_curve_shape(spark):
     lc = learning_curve(df, sizes=[0.5, 1.0], folds=2).toPandas()
     assert len(lc) == 2 * 2
     assert lc.val_auc_mean.between(0, 1).all()
+
+
+def test_indexer_error_mode_raises_on_unseen(spark):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    train = spark.createDataFrame([("a",), ("b",)], "category string")
+    m = FT.indexers(["category"], handle_invalid="error")[0].fit(train)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        m.transform(spark.createDataFrame([("zzz",)], "category string")).collect()
+
+
+def test_cv_model_save_load(spark):
+    from pyspark.ml.tuning import CrossValidatorModel
+
+    cv = Q.fitted(spark, SF_SMALL, "GBT")[0]
+    path = scratch_path(spark, "cv")
+    cv.write().overwrite().save(path)
+    back = CrossValidatorModel.load(path)
+    _, test = Q.train_test(spark, SF_SMALL)
+    a = sorted(M.score_model(cv, test).collect())
+    b = sorted(M.score_model(back, test).collect())
+    assert a == b and list(back.avgMetrics) == list(cv.avgMetrics)
