@@ -44,7 +44,7 @@ for _c, _w in LINEAR_COEFFICIENTS.items():
 
 SCORED_CTE = VALIDATED_CTE + ",\n" + FEATURES_CTE + f""",
 scored AS (
-  SELECT id, label, score, CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM (
+  SELECT id, label, score, CASE WHEN score > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM (
     SELECT id, state AS label, (1.0 / (1.0 + exp(-{_lin}))) AS score
     FROM features WHERE {hash_unit_sql('id', SEED)} >= {SM.threshold(TRAIN)}) s),
 sc AS (

@@ -11,6 +11,10 @@ SPECS = registry.load_all()
 EXACT = sorted(k for k, v in SPECS.items() if v.sql)
 
 
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "date": "DATE"}
+
+
 @pytest.mark.parametrize("key", EXACT)
 def test_matches_oracle(spark, duck_small, key):
     df = SPECS[key].build(spark, SF_SMALL)
@@ -18,6 +22,11 @@ def test_matches_oracle(spark, duck_small, key):
     want = duck_rows(duck_small, SPECS[key].sql, df.columns)
     assert len(got) == len(want)
     assert got == want
+    rel = duck_small.sql(SPECS[key].sql)
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
 
 
 def test_entry_contract(spark):
