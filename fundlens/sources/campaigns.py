@@ -139,17 +139,9 @@ def campaigns_live(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
         (F.col("o_orderpriority") == F.lit("1-URGENT")).alias("staff_pick"),
     )
 
-    if need & _LINE_COLS:
-        # Aggregated per order before the join: the hash exchange on the
-        # order key is shared by the aggregate and the join.
-        df = df.join(_line_totals(spark, sf_dir), "id", "left").withColumn(
-            "state", F.when(F.col("pledged") >= F.col("goal"), 1).otherwise(0).cast("int"))
-
-    if "blurb" in need:
-        docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"]).select(
-            F.col("doc_id").alias("id"), F.col("text").alias("blurb"))
-        df = df.join(docs, "id", "left")
-
+    # Join order: customer (keyed by customer) first, while rows are narrow;
+    # then lineitem totals and documents, both keyed by the order id, so the
+    # two share one hash partitioning and the wide blurb text is shuffled once.
     if need & _CUSTOMER_COLS:
         cust = load_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
         cust = cust.select(
@@ -167,6 +159,17 @@ def campaigns_live(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
             cust = cust.join(F.broadcast(nation), "_nationkey", "left")
         df = df.join(cust, "_custkey", "left")
 
+    if need & _LINE_COLS:
+        # Aggregated per order before the join: the hash exchange on the
+        # order key is shared by the aggregate and the join.
+        df = df.join(_line_totals(spark, sf_dir), "id", "left").withColumn(
+            "state", F.when(F.col("pledged") >= F.col("goal"), 1).otherwise(0).cast("int"))
+
+    if "blurb" in need:
+        docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"]).select(
+            F.col("doc_id").alias("id"), F.col("text").alias("blurb"))
+        df = df.join(docs, "id", "left")
+
     return df.select(*cols)
 
 
