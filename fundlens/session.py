@@ -42,8 +42,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when nothing is set
-    (unit tests, a laptop) do we create a local folder and register it.
+    The cluster's ``spark.checkpoint.dir`` wins; only in local mode with
+    nothing set (unit tests, a laptop) do we create a local folder. On a
+    cluster an unset dir is an error, never a machine-local fallback.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                               "(checkpoints, written tables and models go there)")
         configured = tempfile.mkdtemp(prefix="fundlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -152,11 +152,13 @@ def campaigns_live(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
             F.col("c_nationkey").alias("_nationkey"),
         )
         if "country" in need:
-            # nation is a fixed-size dimension (one row per nation), a safe
-            # broadcast at any scale.
+            # nation is a small dimension (one row per nation); it is still
+            # broadcast only after a row-count check.
+            from ..operators.enrich import sized_broadcast
+
             nation = load_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]).select(
                 F.col("n_nationkey").alias("_nationkey"), F.col("n_name").alias("country"))
-            cust = cust.join(F.broadcast(nation), "_nationkey", "left")
+            cust = cust.join(sized_broadcast(nation), "_nationkey", "left")
         df = df.join(cust, "_custkey", "left")
 
     if need & _LINE_COLS:
