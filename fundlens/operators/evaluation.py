@@ -26,25 +26,28 @@ def _div(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
-def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """(score, pos, neg): one row per distinct non-null score."""
+def score_counts(df: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = ()) -> DataFrame:
+    """(groups..., score, pos, neg): one row per distinct non-null score."""
     pos = F.col(label) == 1
     return (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-              .groupBy(F.col(score).alias("score"))
+              .groupBy(*group_cols, F.col(score).alias("score"))
               .agg(F.sum(F.when(pos, 1).otherwise(0)).cast("long").alias("pos"),
                    F.sum(F.when(pos, 0).otherwise(1)).cast("long").alias("neg")))
 
 
 def auc(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int | None = None,
-        materialize: bool = True) -> DataFrame:
+        materialize: bool = True, group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact area under ROC with ties (Mann-Whitney): equals MLlib's evaluator
-    with ``numBins=0``. NULL when one class is absent."""
-    c = running_sums(score_counts(df, label, score), "score", ["neg"], descending=False, n_ranges=n_ranges,
-                     materialize=materialize)
+    with ``numBins=0``. NULL when one class is absent. One row, or one per
+    ``group_cols`` group (e.g. several models scored on the same rows)."""
+    g = list(group_cols)
+    c = running_sums(score_counts(df, label, score, g), "score", ["neg"], descending=False, n_ranges=n_ranges,
+                     materialize=materialize, group_cols=g)
     below = F.col("cum_neg") - F.col("neg")
     u = F.sum(F.col("pos").cast("double") * (below.cast("double") + F.col("neg").cast("double") / 2))
     p, n = F.sum("pos"), F.sum("neg")
-    return c.agg(_r(_div(u, p.cast("double") * n.cast("double"))).alias("auc"))
+    out = _r(_div(u, p.cast("double") * n.cast("double"))).alias("auc")
+    return c.groupBy(*g).agg(out) if g else c.agg(out)
 
 
 def _desc_curve(df, label, score, n_ranges):
@@ -125,9 +128,10 @@ def class_stats(df: DataFrame, label: str = "label", prediction: str = "predicti
 
 
 def binary_class_stats(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                       classes: Sequence[float] = (0.0, 1.0)) -> DataFrame:
+                       classes: Sequence[float] = (0.0, 1.0), group_cols: Sequence[str] = ()) -> DataFrame:
     """``class_stats`` for a known class list in one conditional-aggregation
-    pass (no grouping of the confusion table, no join)."""
+    pass (no grouping of the confusion table, no join), per group if given."""
+    g = list(group_cols)
     lab, pred = F.col(label).cast("double"), F.col(prediction).cast("double")
     aggs = []
     for i, c in enumerate(classes):
@@ -135,7 +139,8 @@ def binary_class_stats(df: DataFrame, label: str = "label", prediction: str = "p
                  F.sum(F.when(pred == float(c), 1).otherwise(0)).cast("long").alias(f"p{i}"),
                  F.sum(F.when((lab == float(c)) & (pred == float(c)), 1).otherwise(0)).cast("long").alias(f"t{i}")]
     stack = ", ".join(f"CAST({float(c)} AS DOUBLE), s{i}, p{i}, t{i}" for i, c in enumerate(classes))
-    st = df.agg(*aggs).selectExpr(f"stack({len(classes)}, {stack}) AS (class, support, predicted, tp)")
+    agg = df.groupBy(*g).agg(*aggs) if g else df.agg(*aggs)
+    st = agg.selectExpr(*[f"`{c}`" for c in g], f"stack({len(classes)}, {stack}) AS (class, support, predicted, tp)")
     prec = F.coalesce(_div(F.col("tp"), F.col("predicted")), F.lit(0.0))
     rec = F.coalesce(_div(F.col("tp"), F.col("support")), F.lit(0.0))
     st = st.withColumn("precision", prec).withColumn("recall", rec)
@@ -158,30 +163,38 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
                   _r(F.sum(w * F.col("f1")) / tot).alias("f1"))
 
 
-def metric_row(df: DataFrame, model: str, label: str = "label", prediction: str = "prediction",
-               score: str = "score", extra: dict | None = None) -> DataFrame:
-    """One row: model, auc, accuracy, f1, precision, recall (+ extra literals).
+def metric_rows(df: DataFrame, group_col: str = "model", label: str = "label", prediction: str = "prediction",
+                score: str = "score") -> DataFrame:
+    """One row per ``group_col`` value (e.g. per model): auc, accuracy, f1,
+    precision, recall.
 
-    The scored table is checkpointed once (shared checkpoint dir), so a
-    costly model transform is not recomputed by each metric.
+    All groups are evaluated together: the scored table is checkpointed once
+    (shared checkpoint dir, so a costly model transform is not recomputed by
+    each metric), AUC comes from one grouped running-sum pass and the class
+    metrics from one grouped conditional aggregation.
     """
     from .sampling import lineage_checkpoint
 
-    df = lineage_checkpoint(df.select(label, prediction, score))
-    a = auc(df, label, score, materialize=False)
+    df = lineage_checkpoint(df.select(group_col, label, prediction, score))
+    a = auc(df, label, score, materialize=False, group_cols=[group_col])
     # accuracy and the weighted metrics share one pass of class counts
-    st = binary_class_stats(df, label, prediction, (0.0, 1.0))
+    st = binary_class_stats(df, label, prediction, (0.0, 1.0), group_cols=[group_col])
     w = F.col("support").cast("double")
     tot = F.sum(w)
-    cls = st.agg(_r(F.sum(F.col("tp").cast("double")) / tot).alias("accuracy"),
-                 _r(F.sum(w * F.col("f1")) / tot).alias("f1"),
-                 _r(F.sum(w * F.col("precision")) / tot).alias("precision"),
-                 _r(F.sum(w * F.col("recall")) / tot).alias("recall"))
-    # Both inputs are one-row tables: join them on a constant key (a one-row
-    # equi-join, not a cross product of data).
-    k = F.lit(1).alias("_one")
-    out = a.select(k, "auc").join(cls.select(k, "accuracy", "f1", "precision", "recall"), "_one").drop("_one")
-    out = out.select(F.lit(model).alias("model"), "auc", "accuracy", "f1", "precision", "recall")
+    cls = st.groupBy(group_col).agg(
+        _r(F.sum(F.col("tp").cast("double")) / tot).alias("accuracy"),
+        _r(F.sum(w * F.col("f1")) / tot).alias("f1"),
+        _r(F.sum(w * F.col("precision")) / tot).alias("precision"),
+        _r(F.sum(w * F.col("recall")) / tot).alias("recall"))
+    # both sides have one row per group (a handful of models)
+    return a.join(cls, group_col, "full_outer").select(
+        group_col, "auc", "accuracy", "f1", "precision", "recall")
+
+
+def metric_row(df: DataFrame, model: str, label: str = "label", prediction: str = "prediction",
+               score: str = "score", extra: dict | None = None) -> DataFrame:
+    """One row: model, auc, accuracy, f1, precision, recall (+ extra literals)."""
+    out = metric_rows(df.withColumn("model", F.lit(model)), "model", label, prediction, score)
     for name, v in (extra or {}).items():
         out = out.withColumn(name, F.lit(v))
     return out

@@ -41,11 +41,13 @@ def default_ranges(spark) -> int:
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                 n_ranges: int | None = None, materialize: bool = True) -> DataFrame:
+                 n_ranges: int | None = None, materialize: bool = True,
+                 group_cols: Sequence[str] = ()) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in the given direction) and
-    ``tot_<c>`` (grand total) for each ``c`` in ``sum_cols``.
+    ``tot_<c>`` (grand total) for each ``c`` in ``sum_cols``, separately per
+    ``group_cols`` group if given (ranges are shared by all groups).
 
-    ``order_col`` must be unique per row (one row per key). With
+    ``order_col`` must be unique per row within a group. With
     ``materialize`` the input is checkpointed (eager, into the shared
     checkpoint dir) so the quantile pass and the window pass read it instead
     of recomputing everything upstream twice.
@@ -65,16 +67,20 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
     ranged = Bucketizer(splits=splits, inputCol="_k", outputCol="_r", handleInvalid="keep").transform(keyed) \
         .withColumn("_r", F.col("_r").cast("int"))
 
-    w_in = Window.partitionBy("_r").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    g = list(group_cols)
+    w_in = Window.partitionBy(*g, "_r").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(*df.columns, "_r", *[F.sum(c).over(w_in).alias(f"_l_{c}") for c in sum_cols])
 
-    totals = ranged.groupBy("_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    # Bounded by n_ranges rows: a single-partition window is fine here.
-    w_before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(F.lit(0))
-    offsets = totals.select("_r", *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_o_{c}")
-                                    for c in sum_cols],
+    totals = ranged.groupBy(*g, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    # At most n_ranges rows per group: windows over this table are small.
+    w_before = (Window.partitionBy(*g) if g else Window).orderBy("_r") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    offsets = totals.select(*g, "_r", *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_o_{c}")
+                                        for c in sum_cols],
                             *[F.sum(f"_t_{c}").over(w_all).alias(f"tot_{c}") for c in sum_cols])
-    out = local.join(F.broadcast(offsets), "_r", "inner")
+    # Ungrouped, the offsets table is bounded by n_ranges: broadcast it. With
+    # groups its size is groups x ranges, so AQE decides from runtime size.
+    out = local.join(offsets if g else F.broadcast(offsets), [*g, "_r"], "inner")
     return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sum_cols],
                       *[F.col(f"tot_{c}") for c in sum_cols])

@@ -279,12 +279,16 @@ def model_store(spark, sf):
 
 
 def model_metrics_df(spark, sf, names=("LR", "RF", "DT", "GBT")):
-    out = None
+    """Metrics of several models on the same test rows, evaluated together:
+    the scored tables are stacked with a model column (unionByName) and
+    grouped, so each metric is one pass for all models."""
+    scored = None
     for n in names:
-        model, secs = fitted(spark, sf, n)
-        row = EV.metric_row(_test_scores(spark, sf, n), n, extra={"train_seconds": float(secs)})
-        out = row if out is None else out.unionByName(row)
-    return out
+        s = _test_scores(spark, sf, n).withColumn("model", F.lit(n))
+        scored = s if scored is None else scored.unionByName(s)
+    secs = spark.createDataFrame([(n, float(fitted(spark, sf, n)[1])) for n in names],
+                                 "model string, train_seconds double")  # one row per model
+    return EV.metric_rows(scored, "model").join(secs, "model", "left")
 
 
 @register("model_metrics", None, "evaluation")

@@ -126,3 +126,12 @@ def test_metric_row_agrees_with_single_metrics(spark):
     assert row["accuracy"] == EV.accuracy(df).first()["accuracy"]
     wm = EV.weighted_metrics(df).first()
     assert (row["f1"], row["precision"], row["recall"]) == (wm["f1"], wm["precision"], wm["recall"])
+
+
+def test_grouped_metrics_equal_per_group(spark):
+    a = _scored(spark, 1500, seed=1).withColumn("model", F.lit("a"))
+    b = _scored(spark, 900, seed=2).withColumn("model", F.lit("b"))
+    grouped = {r["model"]: r.asDict() for r in EV.metric_rows(a.unionByName(b), "model").collect()}
+    for name, df in (("a", a), ("b", b)):
+        single = EV.metric_row(df.drop("model"), name).first().asDict()
+        assert grouped[name] == single
