@@ -9,7 +9,7 @@ from ..operators import clean as K
 from ..operators import enrich as E
 from ..sources.campaigns import campaigns
 from ..sources.schema import MODEL_COLUMNS
-from .oracle import FEATURES_CTE, VALIDATED_CTE, with_campaigns
+from .oracle import VALIDATED_CTE, with_campaigns
 from .registry import register
 
 S = "clean"

@@ -2,7 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
 
 from fundlens.functions import columns as C
 from fundlens.operators import clean as K
@@ -212,4 +211,3 @@ def test_pruned_view_same_rows(spark):
     stored = campaigns(spark, SF_SMALL, ["id", "goal", "state", "blurb"])
     assert sorted(full.select("id", "goal").collect()) == sorted(slim.collect())
     assert sorted(full.collect()) == sorted(stored.collect())
-    assert F is not None

@@ -7,7 +7,6 @@ from fundlens.operators import enrich as E
 from fundlens.session import scratch_path
 from fundlens.sources import files as IO
 from fundlens.sources.campaigns import campaigns
-from fundlens.sources.schema import CAMPAIGN_SCHEMA
 from fundlens.streaming import ingest_stream
 
 
@@ -21,4 +20,3 @@ def test_ingest_stream_matches_batch(spark):
     got = spark.read.parquet(sink).select("id", "country", "region")
     want = E.region_enrich(K.validate(raw), lookup).select("id", "country", "region")
     assert sorted(got.collect()) == sorted(want.collect())
-    assert CAMPAIGN_SCHEMA is not None
