@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +23,7 @@ S = "io"
 STORE_SCHEMA = T.StructType(CAMPAIGN_SCHEMA.fields + [T.StructField("region", T.StringType())])
 PRUNED_COUNTRY = "NATION_1"
 _stores: dict = {}
+_lock = threading.Lock()
 
 STORE_SQL = VALIDATED_CTE + ",\n" + LOOKUP_SQL + """,
 store AS (SELECT v.*, l.region FROM validated v LEFT JOIN lookup l ON v.country = l.country)"""
@@ -35,8 +38,9 @@ def enriched_store_df(spark, sf):
 def campaign_store(spark, sf) -> str:
     """Country-partitioned Parquet store, written once per application and sf."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _stores:
-        _stores[key] = IO.write_partitioned(enriched_store_df(spark, sf), scratch_path(spark, "store"))
+    with _lock:
+        if key not in _stores:
+            _stores[key] = IO.write_partitioned(enriched_store_df(spark, sf), scratch_path(spark, "store"))
     return _stores[key]
 
 

@@ -7,6 +7,8 @@ rows-only checked (their invariants are asserted in tests/).
 
 from __future__ import annotations
 
+import threading
+
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
@@ -84,12 +86,18 @@ AP_SQL = ("SELECT ROUND(SUM((CAST(pos AS DOUBLE) / CAST(tot_pos AS DOUBLE)) * "
 PR_RATE_SQL = "SELECT ROUND(AVG(CAST(label AS DOUBLE)), 6) AS positive_rate FROM scored"
 
 _cache: dict = {}
+_locks: dict = {}
+_guard = threading.Lock()
 
 
 def _memo(spark, sf, name, fn):
+    """Fit (or prepare) once per application, even under concurrent callers."""
     key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _cache:
-        _cache[key] = fn()
+    with _guard:
+        lock = _locks.setdefault(key, threading.Lock())
+    with lock:
+        if key not in _cache:
+            _cache[key] = fn()
     return _cache[key]
 
 
