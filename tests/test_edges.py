@@ -211,3 +211,20 @@ def test_pruned_view_same_rows(spark):
     stored = campaigns(spark, SF_SMALL, ["id", "goal", "state", "blurb"])
     assert sorted(full.select("id", "goal").collect()) == sorted(slim.collect())
     assert sorted(full.collect()) == sorted(stored.collect())
+
+
+def test_distinct_counts_exact_and_approx(spark):
+    df = spark.createDataFrame([(f"c{i % 7}", f"k{i % 3}") for i in range(100)], "country string, category string")
+    exact = P.distinct_counts(df).first()
+    approx = P.distinct_counts(df, approx=True).first()
+    assert (exact["n_country"], exact["n_category"]) == (7, 3)
+    assert (approx["n_country"], approx["n_category"]) == (7, 3)  # exact at this size
+
+
+def test_top_funded_by_pledged(spark):
+    rows = [("a", 100, 1.0), ("a", 100, 1.0), ("b", 1, 500.0), ("c", 50, 10.0), (None, 999, 0.0)]
+    df = spark.createDataFrame(rows, "name string, backers_count int, pledged double")
+    by_backers = [r["name"] for r in D.top_funded(df, 2).collect()]
+    by_pledged = [r["name"] for r in D.top_funded(df, 2, by="pledged").collect()]
+    assert by_backers == [None, "a"]      # NULL is a member, ranked by AVG(backers)
+    assert by_pledged == ["b", "c"]
