@@ -50,7 +50,10 @@ def validation_predicate(required: Sequence[str] = DEFAULT_NOT_NULL) -> Column:
     cond = (_as_double("goal") > 0) & _as_int("state").isin(0, 1)
     for c in required:
         cond = cond & F.col(c).isNotNull()
-    return F.coalesce(cond, F.lit(False))
+    # A NULL outcome already fails both `filter` and `when`; leaving the
+    # conjunction bare lets each conjunct reach the Parquet scan as a
+    # pushed filter.
+    return cond
 
 
 def validate(df: DataFrame, required: Sequence[str] = DEFAULT_NOT_NULL) -> DataFrame:

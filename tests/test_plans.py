@@ -76,3 +76,9 @@ def test_materialized_table_prunes_columns(spark):
     scan = [line for line in p.splitlines() if line.startswith("ReadSchema")]
     assert scan == ["ReadSchema: struct<id:bigint,category:string,state:int>"]
     assert "Exchange" not in p
+
+
+def test_validation_rules_pushed_to_scan(spark):
+    p = plan(Q["validate"](spark, SF_SMALL))
+    pushed = [line for line in p.splitlines() if line.startswith("PushedFilters")]
+    assert pushed and "GreaterThan(goal,0.0)" in pushed[0] and "In(state" in pushed[0]
