@@ -62,19 +62,21 @@ FEATURES_CTE = """features AS (
   FROM validated)"""
 
 
-def double_list(values) -> str:
-    def lit(v):
-        if v == float("inf"):
-            return "'inf'::DOUBLE"
-        return f"{float(v)!r}::DOUBLE"
-    return "[" + ", ".join(lit(v) for v in values) + "]"
+def double_lit(v: float) -> str:
+    if v == float("inf"):
+        return "CAST('inf' AS DOUBLE)"
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
 def bucket_sql(col: str, splits) -> str:
-    """Bucketizer semantics: index of the last split <= x; NaN -> extra bucket."""
+    """Bucketizer semantics in plain SQL: the index of the last split <= x
+    (the last bucket also holds its upper bound), NaN to an extra bucket."""
     n = len(splits) - 1
-    return (f"CASE WHEN {col} IS NULL THEN NULL WHEN isnan({col}) THEN {n} "
-            f"ELSE CAST(len(list_filter({double_list(splits)}, lambda s: s <= {col})) - 1 AS INTEGER) END")
+    arms = [f"WHEN {col} IS NULL THEN NULL", f"WHEN isnan({col}) THEN {n}"]
+    # splits[n] is the closing bound (+inf here): x equal to it stays in bucket n-1
+    for i in range(n - 1, -1, -1):
+        arms.append(f"WHEN {col} >= {double_lit(splits[i])} THEN {i}")
+    return "CAST(CASE " + " ".join(arms) + " ELSE NULL END AS INTEGER)"
 
 
 def hash_unit_sql(key: str = "id", seed: int = 42, salt: str = "") -> str:
