@@ -21,7 +21,9 @@ def operators_used(fn) -> str:
     except (OSError, TypeError):
         return ""
     calls = re.findall(r"\b(?:D|K|E|P|SM|FT|M|EV|IO|C)\.([a-z_]+)\(", src)
-    return ", ".join(dict.fromkeys(calls))
+    helpers = [h for h in re.findall(r"\b(_?[a-z][a-z_]*)\(spark\b", src) if h not in ("def",)]
+    names = [c for c in calls] + [h for h in helpers if h != fn.__name__]
+    return ", ".join(dict.fromkeys(names))
 
 
 def main():
