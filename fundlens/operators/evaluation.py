@@ -158,9 +158,9 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
           else class_stats(df, label, prediction))
     w = F.col("support").cast("double")
     tot = F.sum(w)
-    return st.agg(_r(F.sum(w * F.col("precision")) / tot).alias("precision"),
-                  _r(F.sum(w * F.col("recall")) / tot).alias("recall"),
-                  _r(F.sum(w * F.col("f1")) / tot).alias("f1"))
+    return st.agg(_r(F.try_divide(F.sum(w * F.col("precision")), tot)).alias("precision"),
+                  _r(F.try_divide(F.sum(w * F.col("recall")), tot)).alias("recall"),
+                  _r(F.try_divide(F.sum(w * F.col("f1")), tot)).alias("f1"))
 
 
 def metric_rows(df: DataFrame, group_col: str = "model", label: str = "label", prediction: str = "prediction",
@@ -182,10 +182,10 @@ def metric_rows(df: DataFrame, group_col: str = "model", label: str = "label", p
     w = F.col("support").cast("double")
     tot = F.sum(w)
     cls = st.groupBy(group_col).agg(
-        _r(F.sum(F.col("tp").cast("double")) / tot).alias("accuracy"),
-        _r(F.sum(w * F.col("f1")) / tot).alias("f1"),
-        _r(F.sum(w * F.col("precision")) / tot).alias("precision"),
-        _r(F.sum(w * F.col("recall")) / tot).alias("recall"))
+        _r(F.try_divide(F.sum(F.col("tp").cast("double")), tot)).alias("accuracy"),
+        _r(F.try_divide(F.sum(w * F.col("f1")), tot)).alias("f1"),
+        _r(F.try_divide(F.sum(w * F.col("precision")), tot)).alias("precision"),
+        _r(F.try_divide(F.sum(w * F.col("recall")), tot)).alias("recall"))
     # both sides have one row per group (a handful of models)
     return a.join(cls, group_col, "full_outer").select(
         group_col, "auc", "accuracy", "f1", "precision", "recall")

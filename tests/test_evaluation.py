@@ -135,3 +135,11 @@ def test_grouped_metrics_equal_per_group(spark):
     for name, df in (("a", a), ("b", b)):
         single = EV.metric_row(df.drop("model"), name).first().asDict()
         assert grouped[name] == single
+
+
+def test_all_null_labels_give_null_metrics(spark):
+    df = spark.createDataFrame([(None, 0.3, 1.0), (None, 0.7, 0.0)], "label int, score double, prediction double")
+    wm = EV.weighted_metrics(df, classes=(0.0, 1.0)).first()
+    assert (wm["precision"], wm["recall"], wm["f1"]) == (None, None, None)
+    row = EV.metric_row(df, "m").first()
+    assert row["auc"] is None and row["accuracy"] is None
