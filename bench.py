@@ -39,7 +39,8 @@ def main():
     from fundlens.plans import registry
     from fundlens.session import get_session
 
-    spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="fundlens-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
+    spark = get_session(f"local[{cpus}]", parts, app_name="fundlens-bench",
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     from fundlens.sources.campaigns import campaigns_live
 
