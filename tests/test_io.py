@@ -66,3 +66,14 @@ def test_scale_conf():
     conf = scale_conf(100 << 40, executors=1000)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert scale_conf(1 << 30, executors=10)["spark.sql.shuffle.partitions"] == "80"
+
+
+def test_materialize_once_under_concurrency(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from fundlens.sources.campaigns import materialize
+
+    with ThreadPoolExecutor(4) as pool:
+        paths = set(pool.map(lambda _: materialize(spark, SF_SMALL), range(8)))
+    assert len(paths) == 1
+    assert materialize(spark, SF_SMALL) in paths
