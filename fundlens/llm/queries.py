@@ -6,23 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import bpe, html, pii, quality, sharding, token_counts
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from . import bpe
-
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
+    "op4_html_text": op4_html_text,
+    "op7_quality": op7_quality,
+    "op8_token_counts": op8_token_counts,
+    "op9_shards": op9_shards,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 #: Where SQL can express the operator's result.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op7_quality": quality.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
