@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, pii, quality, sharding, token_counts
+from . import bpe, html, pii, quality, sharding, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op4_html_text": op4_html_text,
+    "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op9_shards": op9_shards,
