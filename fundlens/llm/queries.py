@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, pii, quality, sharding, suffixes, token_counts, toxicity
+from . import bpe, html, jaccard, pii, quality, sharding, suffixes, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_pii": op2_pii,
     "op4_html_text": op4_html_text,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
