@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, jaccard, pii, quality, sharding, suffixes, token_counts, toxicity
+from . import bpe, decontaminate, html, jaccard, pii, quality, sharding, suffixes, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -52,6 +56,7 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_pii": op2_pii,
+    "op3_benchmark_leaks": op3_benchmark_leaks,
     "op4_html_text": op4_html_text,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,

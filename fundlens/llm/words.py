@@ -14,23 +14,42 @@ SPACES = np.zeros(256, dtype=bool)
 SPACES[[32, *range(9, 14)]] = True
 
 
+# Powers of an odd number and of its inverse, as far as texts have needed them.
+_BASE = int(FACTORS[42])
+_POWERS = [np.ones(1, dtype=_U), np.ones(1, dtype=_U)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS[0]) < n:
+        size = max(n, 1 << 20)
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, dtype=_U)
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps)
+    return _POWERS[0], _POWERS[1]
+
+
 def word_hashes(texts: Iterable[bytes], spaces: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit hash of each word of all texts in order, and where each text's words begin."""
+    """The 64-bit hash of each word of all texts in order, and where each text's words begin.
+
+    A word's hash is the sum of its bytes' numbers times powers of a base, with
+    exponents from its first byte on: the sum over places in the buffer, times
+    the inverse power of the place of its first byte.
+    """
     texts = list(texts)
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
-    between = spaces[data]
-    starts = np.flatnonzero(~between & np.concatenate([[True], between[:-1]]))
+    word = ~spaces[data]
+    starts = np.flatnonzero(word[1:] > word[:-1]) + 1
+    if word[0]:
+        starts = np.concatenate([[0], starts])
     ends = np.cumsum([len(t) + 1 for t in texts])
     begins = np.searchsorted(starts, np.concatenate([[0], ends]))
     if not len(starts):
         return np.empty(0, dtype=_U), begins
-    # Each byte's place in its word (what precedes the first word has none).
-    own = np.repeat(starts, np.diff(np.append(starts, len(data))))
-    at = np.zeros(len(data), dtype=np.int64)
-    at[starts[0]:] = np.arange(starts[0], len(data)) - own
-    place = FACTORS[at & 63] + (at >> 6).astype(_U) * FACTORS[41]
-    value = np.where(between, _U(0), BYTES[data] * place)
-    return mixed(np.add.reduceat(value, starts)), begins
+    up, back = _powers(len(data))
+    value = np.where(spaces, _U(0), BYTES)[data]
+    value *= up[:len(data)]
+    return mixed(np.add.reduceat(value, starts) * back[starts]), begins
 
 
 def shingle_sets(texts: Iterable[str | None], size: int = 5) -> list[np.ndarray]:
