@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -241,16 +242,19 @@ def find_items(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "edits", "word_at")
 
 
-def holds_item(text, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text",
-               block_bytes: int = BLOCK_BYTES):
-    """Boolean column: whether any item of the benchmark occurs in the text."""
-    out = F.lit(False)
-    sc = benchmark.sparkSession.sparkContext
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        held = sc.broadcast(items)
+def _holds(items: Broadcast):
+    def search(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(f) for f in items.value.find(texts)], dtype=bool)
+
+    return F.pandas_udf(search, "boolean")
 
-        def search(texts: pd.Series, held=held) -> pd.Series:
-            return pd.Series([bool(f) for f in held.value.find(texts)], dtype=bool)
 
-        out = out | F.pandas_udf(search, "boolean")(text)
+def without_items(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows in whose text no item of the benchmark occurs."""
+    sc, out = df.sparkSession.sparkContext, df
+    for n, items in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes)):
+        if n:  # of several blocks, one at a time is held
+            out = written(out, "clean")
+        out = out.filter(~_holds(sc.broadcast(items))(F.col(text_col)))
     return out
