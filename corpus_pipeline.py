@@ -7,8 +7,9 @@ go through Python, and only the similarity join shuffles texts.
 
 Cases: null texts pass every filter (no toxicity, no link, no leak) and stay
 null; texts are handled whole; equal texts leave one document, that of
-the least id; rows that repeat an id with an equal text leave one row; empty tables pass through; columns beyond
-those of ``documents`` are carried along.
+the least id; rows that repeat an id with an equal text are one document and
+stay or go together; empty tables pass through; columns beyond those of ``documents`` are
+carried along.
 """
 
 from __future__ import annotations
