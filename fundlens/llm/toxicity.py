@@ -202,7 +202,7 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             (toxic if label else clean).update(candidates(text or ""))
     # A candidate that no toxic row of this task has says nothing for the class.
     names = list(toxic | clean)
-    yield pd.DataFrame({"entry": names, "toxic": [toxic[e] for e in names], "clean": [clean[e] for e in names]})
+    yield pd.DataFrame({"entry": pd.Series(names, dtype=object), "toxic": [toxic[e] for e in names], "clean": [clean[e] for e in names]})
 
 
 def least_support(n_entries: int, rate: float) -> int:
