@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,19 +26,26 @@ from .operators import evaluation as EV
 from .operators import models as M
 from .operators import sampling as SM
 from .sources import files as IO
-from .sources.schema import RAW_CSV_SCHEMA
+from .sources.schema import RAW_CSV_SCHEMA, REQUIRED_COLUMNS
 
 MODEL_NAMES = ("LR", "RF", "DT", "GBT")
 
 
 def ingest(spark: SparkSession, csv_path: str, out_path: str, lookup: DataFrame | None = None,
-           infer: bool = False) -> DataFrame:
-    """Returns the validation report; writes the partitioned store."""
-    raw = IO.read_campaigns_csv(spark, csv_path, schema=None if infer else RAW_CSV_SCHEMA, infer=infer)
-    raw = raw.withColumn("duration", F.col("deadline") - F.col("launched_at"))
-    report = K.validation_report(raw)
-    enriched = E.region_enrich(K.validate(raw), lookup if lookup is not None else E.iso_region_lookup(spark))
-    IO.write_partitioned(enriched, out_path)
+           infer: bool = False, multiline: bool = True) -> DataFrame:
+    """Returns the validation report, with the number of rows that don't fit the schema; writes
+    the partitioned store. The export is parsed once: report, count of rows and store read the parsed rows."""
+    raw = IO.read_campaigns_csv(spark, csv_path, schema=None if infer else RAW_CSV_SCHEMA, infer=infer,
+                                multiline=multiline, required=REQUIRED_COLUMNS, keep_corrupt=not infer)
+    raw = raw.withColumn("duration", F.col("deadline") - F.col("launched_at")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        corrupt = F.count(IO.CORRUPT) if IO.CORRUPT in raw.columns else F.lit(0).cast("long")
+        report = K.validation_report(raw, extra=[corrupt.alias("rows_corrupt")])
+        report = spark.createDataFrame(report.collect(), report.schema)  # one row
+        good = K.validate(raw).drop(IO.CORRUPT)
+        IO.write_partitioned(E.region_enrich(good, lookup if lookup is not None else E.iso_region_lookup(spark)), out_path)
+    finally:
+        raw.unpersist()
     return report
 
 
@@ -48,8 +56,6 @@ def _split(spark: SparkSession, store: str, seed: int = 42, folds: int = 2) -> D
 
 def train(spark: SparkSession, store: str, models_dir: str, names=MODEL_NAMES, seed: int = 42) -> DataFrame:
     """Fit the models on the train split, save each whole pipeline, return metrics."""
-    from pyspark import StorageLevel
-
     data = _split(spark, store, seed).persist(StorageLevel.MEMORY_AND_DISK)
     train_df, test_df = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     fitters = {"LR": M.fit_lr, "RF": M.fit_rf, "DT": M.fit_dt,
@@ -69,22 +75,28 @@ def train(spark: SparkSession, store: str, models_dir: str, names=MODEL_NAMES, s
 
 def evaluate(spark: SparkSession, store: str, models_dir: str, report_dir: str, names=MODEL_NAMES,
              seed: int = 42) -> DataFrame:
-    test_df = _split(spark, store, seed).filter(F.col("split") == "test")
-    tables = []
+    """Score the test rows once per model; metrics, ROC and PR tables read the scores."""
+    test_df = _split(spark, store, seed).filter(F.col("split") == "test").persist(StorageLevel.MEMORY_AND_DISK)
+    scored = None
     for name in names:
-        scored = M.score_model(M.load_pipeline(f"{models_dir.rstrip('/')}/{name}"), test_df)
-        tables.append(EV.metric_row(scored, name))
-        IO.write_json(EV.roc_points(scored), f"{report_dir.rstrip('/')}/roc/{name}")
-        IO.write_json(EV.pr_points(scored), f"{report_dir.rstrip('/')}/pr/{name}")
-    metrics = tables[0]
-    for t in tables[1:]:
-        metrics = metrics.unionByName(t)
-    IO.write_json(metrics.coalesce(1), f"{report_dir.rstrip('/')}/metrics")
+        one = M.score_model(M.load_pipeline(f"{models_dir.rstrip('/')}/{name}"), test_df)
+        one = one.select(F.lit(name).alias("model"), "label", "prediction", "score")
+        scored = one if scored is None else scored.unionByName(one)
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name in names:
+            own = scored.filter(F.col("model") == name)
+            IO.write_json(EV.roc_points(own), f"{report_dir.rstrip('/')}/roc/{name}")
+            IO.write_json(EV.pr_points(own), f"{report_dir.rstrip('/')}/pr/{name}")
+        IO.write_json(EV.metric_rows(scored).coalesce(1), f"{report_dir.rstrip('/')}/metrics")
+    finally:
+        scored.unpersist()
+        test_df.unpersist()
     return spark.read.json(f"{report_dir.rstrip('/')}/metrics")
 
 
 def main(argv=None):
-    from .session import get_session
+    from .session import get_session, scale_conf
 
     ap = argparse.ArgumentParser(prog="fundlens.jobs")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -92,6 +104,10 @@ def main(argv=None):
     a.add_argument("--csv", required=True)
     a.add_argument("--out", required=True)
     a.add_argument("--infer", action="store_true")
+    a.add_argument("--single-line", action="store_true", help="no embedded newlines: large files are split")
+    for p in (a,):
+        p.add_argument("--input-gb", type=float, default=0, help="size of the export; sets partition sizes")
+        p.add_argument("--executors", type=int, default=1)
     t = sub.add_parser("train")
     t.add_argument("--store", required=True)
     t.add_argument("--models", required=True)
@@ -100,9 +116,10 @@ def main(argv=None):
     e.add_argument("--models", required=True)
     e.add_argument("--report", required=True)
     args = ap.parse_args(argv)
-    spark = get_session()
+    sized = scale_conf(int(args.input_gb * (1 << 30)), args.executors) if getattr(args, "input_gb", 0) else None
+    spark = get_session(extra=sized)
     if args.cmd == "ingest":
-        ingest(spark, args.csv, args.out, infer=args.infer).show()
+        ingest(spark, args.csv, args.out, infer=args.infer, multiline=not args.single_line).show()
     elif args.cmd == "train":
         train(spark, args.store, args.models).show()
     else:

@@ -20,7 +20,7 @@ FEATURE_NOT_NULL = ["goal_log", "duration", "staff_pick", "category", "country",
 
 
 def _count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+    return F.count_if(cond)  # 0, not NULL, on no rows
 
 
 def require_columns(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) -> None:
@@ -60,10 +60,11 @@ def validate(df: DataFrame, required: Sequence[str] = DEFAULT_NOT_NULL) -> DataF
     return df.filter(validation_predicate(required))
 
 
-def validation_report(df: DataFrame, required: Sequence[str] = DEFAULT_NOT_NULL) -> DataFrame:
-    """rows_before, rows_after, rows_dropped in one pass."""
+def validation_report(df: DataFrame, required: Sequence[str] = DEFAULT_NOT_NULL,
+                      extra: Sequence[Column] = ()) -> DataFrame:
+    """rows_before, rows_after, rows_dropped (and ``extra`` aggregates) in one pass."""
     ok = validation_predicate(required)
-    return df.agg(F.count(F.lit(1)).alias("rows_before"), _count_if(ok).alias("rows_after")) \
+    return df.agg(F.count(F.lit(1)).alias("rows_before"), _count_if(ok).alias("rows_after"), *extra) \
         .withColumn("rows_dropped", F.col("rows_before") - F.col("rows_after"))
 
 
@@ -100,14 +101,14 @@ def negative_duration(df: DataFrame) -> DataFrame:
 
 
 def exclude_members(df: DataFrame, col: str, values: Sequence, max_literal: int = 10_000) -> DataFrame:
-    """Drop rows whose ``col`` is in ``values``; NULL members are kept; an
-    empty set keeps everything.
+    """Drop rows whose ``col`` is in ``values``; NULL members are kept, and a
+    NULL in the list excludes nothing; an empty set keeps everything.
 
     Short lists become an IN predicate (pushed into the scan's filter); long
     lists become a left-anti join, where Spark decides on broadcast from the
-    list's measured size.
+    list's measured size. The rows are the same either way.
     """
-    values = list(values)
+    values = [v for v in values if v is not None]
     if not values:
         return df
     if len(values) <= max_literal:

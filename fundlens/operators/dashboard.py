@@ -103,6 +103,11 @@ def efficiency_by_category(df: DataFrame) -> DataFrame:
                                       F.round(F.avg("pledged"), RATE_DIGITS).alias("avg_pledged"))
 
 
+def money_sum(col: str) -> Column:
+    """The exact sum of amounts in cents, the same in whatever order they are added."""
+    return F.sum(F.expr(f"try_cast(`{col}` AS DECIMAL(18, {MONEY_DIGITS}))")).cast("double")
+
+
 def scalability_by_category(df: DataFrame) -> DataFrame:
     return df.groupBy("category").agg(scalability_index().alias("scalability_index"))
 
@@ -114,9 +119,9 @@ def funding_by_outcome(df: DataFrame) -> DataFrame:
 
 def backers_vs_pledged_by_outcome(df: DataFrame) -> DataFrame:
     return df.groupBy(success_flag().alias("success_flag")).agg(
-        F.round(F.sum("pledged"), MONEY_DIGITS).alias("sum_pledged"),
+        money_sum("pledged").alias("sum_pledged"),
         F.sum("backers_count").cast("long").alias("sum_backers"),
-        F.round(F.sum("goal"), MONEY_DIGITS).alias("sum_goal"))
+        money_sum("goal").alias("sum_goal"))
 
 
 def volume_by_month(df: DataFrame) -> DataFrame:
@@ -156,20 +161,39 @@ def _top_n(grouped: DataFrame, rank_col: str, dim: str, n: int) -> DataFrame:
 def top_funded(df: DataFrame, n: int = 10, by: str = "backers") -> DataFrame:
     """Top names ranked by AVG(backers_count) (the dashboard's rule) or SUM(pledged)."""
     g = df.groupBy("name").agg(avg_backers().alias("avg_backers"),
-                               F.round(F.sum("pledged"), MONEY_DIGITS).alias("sum_pledged"))
+                               money_sum("pledged").alias("sum_pledged"))
     return _top_n(g, "avg_backers" if by == "backers" else "sum_pledged", "name", n)
 
 
 def top_scatter(df: DataFrame, n: int = 10) -> DataFrame:
     g = df.groupBy("name").agg(
         avg_backers().alias("avg_backers"),
-        F.round(F.sum("pledged"), MONEY_DIGITS).alias("sum_pledged"),
+        money_sum("pledged").alias("sum_pledged"),
         F.sum("backers_count").cast("long").alias("sum_backers"),
-        F.round(F.sum("goal"), MONEY_DIGITS).alias("sum_goal"),
+        money_sum("goal").alias("sum_goal"),
         F.sum("state").cast("long").alias("sum_state"))
     return _top_n(g, "avg_backers", "name", n)
 
 
-def top_blurb_completeness(df: DataFrame, n: int = 10) -> DataFrame:
-    g = df.groupBy("blurb").agg(completeness().alias("completeness"))
-    return _top_n(g, "completeness", "blurb", n)
+def top_blurb_completeness(df: DataFrame, n: int = 10, prefix: int = 64) -> DataFrame:
+    """Most complete blurbs, ties by text.
+
+    Blurbs are grouped by a 256-bit digest and their first characters. Only
+    the texts of groups that reach the n-th rank by completeness and those
+    characters (``n`` rows on the driver) are fetched and ordered in full.
+    """
+    keyed = df.withColumn("_digest", F.sha2("blurb", 256)).withColumn("_start", F.substring("blurb", 1, prefix))
+    groups = keyed.groupBy("_digest", "_start").agg(completeness().alias("completeness"))
+    top = _top_n(groups, "completeness", "_start", n).collect()
+    if not top:
+        return groups.select(F.col("_start").alias("blurb"), "completeness")
+    last, start = top[-1]["completeness"], top[-1]["_start"]
+    score = F.col("completeness")
+    above = score.isNotNull() if last is None else score > F.lit(last)
+    within = F.lit(True) if start is None else F.col("_start") <= F.lit(start)
+    reached = groups.filter(above | (score.eqNullSafe(F.lit(last)) & within))
+    texts = keyed.filter(F.col("_digest").isNotNull()).select("_digest", "blurb")
+    found = (texts.join(reached.select("_digest", "completeness"), "_digest").groupBy("_digest", "completeness")
+             .agg(F.first("blurb").alias("blurb")).select("blurb", "completeness"))
+    null_group = reached.filter(F.col("_digest").isNull()).select(F.col("_digest").alias("blurb"), "completeness")
+    return _top_n(found.unionByName(null_group), "completeness", "blurb", n)

@@ -2,34 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.campaigns import load_table
 
-# A lookup is broadcast only when a count proves it small; above this the
-# join falls back to a shuffle (sort-merge) join.
+# A lookup is broadcast only when its rows and its bytes prove it small; above
+# either the join falls back to a shuffle (sort-merge) join.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a row-count check (one small job on the lookup)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                    max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint behind a check of rows and of their text size (one small job on the lookup)."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    return F.broadcast(df) if n <= max_rows and (total or 0) <= max_bytes else df
 
 
-def region_lookup(spark: SparkSession, sf_dir: str, exclude_regions: Sequence[str] = ("MIDDLE EAST",)) -> DataFrame:
-    """(country, region) from nation x region; countries of excluded regions are
-    left out, so the lookup, like any hand-kept mapping, misses some keys."""
+def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(country, region) of every nation whose region is known."""
     nation = load_table(spark, sf_dir, "nation", ["n_name", "n_regionkey"])
     region = load_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    lk = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner") \
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "inner") \
         .select(F.col("n_name").alias("country"), F.col("r_name").alias("region"))
-    if exclude_regions:
-        lk = lk.filter(~F.col("region").isin(list(exclude_regions)))
-    return lk
 
 
 # The ISO-country -> region mapping used for real campaign

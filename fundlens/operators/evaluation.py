@@ -27,9 +27,10 @@ def _div(a: Column, b: Column) -> Column:
 
 
 def score_counts(df: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = ()) -> DataFrame:
-    """(groups..., score, pos, neg): one row per distinct non-null score."""
+    """(groups..., score, pos, neg): one row per distinct score. Rows without a
+    label, or whose score is NULL or NaN, rank nowhere and are left out by all curves alike."""
     pos = F.col(label) == 1
-    return (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    return (df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
               .groupBy(*group_cols, F.col(score).alias("score"))
               .agg(F.sum(F.when(pos, 1).otherwise(0)).cast("long").alias("pos"),
                    F.sum(F.when(pos, 0).otherwise(1)).cast("long").alias("neg")))
@@ -105,7 +106,7 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
         for b in classes:
             name = f"c_{len(names)}"
             cond = (F.col(label).cast("double") == float(a)) & (F.col(prediction).cast("double") == float(b))
-            aggs.append(F.sum(F.when(cond, 1).otherwise(0)).cast("long").alias(name))
+            aggs.append(F.count_if(cond).alias(name))
             names.append((float(a), float(b), name))
     stack = ", ".join(f"CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), {n}" for a, b, n in names)
     return df.agg(*aggs).selectExpr(f"stack({len(names)}, {stack}) AS (label, prediction, n)")

@@ -68,10 +68,10 @@ def drop_any_null(spark, sf):
 
 @register("clean_features", with_campaigns("""
 SELECT COUNT(*) AS rows_before,
-       CAST(SUM(CASE WHEN goal_log IS NOT NULL AND duration IS NOT NULL AND staff_pick IS NOT NULL
-                 AND category IS NOT NULL AND country IS NOT NULL AND state IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_after,
-       CAST(SUM(CASE WHEN goal_log IS NOT NULL AND duration IS NOT NULL AND staff_pick IS NOT NULL
-                 AND category IS NOT NULL AND country IS NOT NULL AND state IS NOT NULL THEN 0 ELSE 1 END) AS BIGINT) AS rows_removed
+       COUNT(*) FILTER (WHERE goal_log IS NOT NULL AND duration IS NOT NULL AND staff_pick IS NOT NULL
+                 AND category IS NOT NULL AND country IS NOT NULL AND state IS NOT NULL) AS rows_after,
+       COUNT(*) FILTER (WHERE NOT (goal_log IS NOT NULL AND duration IS NOT NULL AND staff_pick IS NOT NULL
+                 AND category IS NOT NULL AND country IS NOT NULL AND state IS NOT NULL)) AS rows_removed
 FROM (SELECT category, country, state, CAST(staff_pick AS INTEGER) AS staff_pick,
              deadline - launched_at AS duration, ln(1 + goal) AS goal_log FROM campaigns) t"""), S)
 def clean_features(spark, sf):
@@ -100,7 +100,7 @@ def cast_staff_pick(spark, sf):
 
 
 @register("negative_duration", with_campaigns(
-    "SELECT CAST(SUM(CASE WHEN deadline - launched_at < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_durations "
+    "SELECT COUNT(*) FILTER (WHERE deadline - launched_at < 0) AS negative_durations "
     "FROM campaigns"), S)
 def negative_duration(spark, sf):
     return K.negative_duration(campaigns(spark, sf, ["launched_at", "deadline"]))
@@ -117,14 +117,14 @@ def exclude_members(spark, sf):
 
 _DQ_ONE = """one AS (
   SELECT CAST(CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS not_empty,
-         CAST(SUM(CASE WHEN goal <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS goal_non_positive,
-         CAST(SUM(CASE WHEN state NOT IN (0, 1) THEN 1 ELSE 0 END) AS BIGINT) AS state_not_binary,
-         CAST(SUM(CASE WHEN category IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_category,
-         CAST(SUM(CASE WHEN country IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_country,
-         CAST(SUM(CASE WHEN goal IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_goal,
-         CAST(SUM(CASE WHEN state IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_state,
-         CAST(SUM(CASE WHEN goal > -1 AND goal < 0 THEN 1 ELSE 0 END) AS BIGINT) AS goal_log_negative,
-         CAST(SUM(CASE WHEN deadline - launched_at IS NULL OR goal IS NULL OR goal <= -1 THEN 1 ELSE 0 END) AS BIGINT)
+         COUNT(*) FILTER (WHERE goal <= 0) AS goal_non_positive,
+         COUNT(*) FILTER (WHERE state NOT IN (0, 1)) AS state_not_binary,
+         COUNT(*) FILTER (WHERE category IS NULL) AS null_category,
+         COUNT(*) FILTER (WHERE country IS NULL) AS null_country,
+         COUNT(*) FILTER (WHERE goal IS NULL) AS null_goal,
+         COUNT(*) FILTER (WHERE state IS NULL) AS null_state,
+         COUNT(*) FILTER (WHERE goal > -1 AND goal < 0) AS goal_log_negative,
+         COUNT(*) FILTER (WHERE deadline - launched_at IS NULL OR goal IS NULL OR goal <= -1)
            AS null_duration_or_goal_log
   FROM campaigns)"""
 _DQ_BODY = "\nUNION ALL ".join(
@@ -140,8 +140,7 @@ def dq_checks(spark, sf):
 
 LOOKUP_SQL = """lookup AS (
   SELECT n.n_name AS country, r.r_name AS region
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE r.r_name NOT IN ('MIDDLE EAST'))"""
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 
 @register("region_lookup", with_campaigns("SELECT country, region FROM lookup", LOOKUP_SQL), "join")

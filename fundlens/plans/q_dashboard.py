@@ -79,8 +79,8 @@ def funding_by_outcome(spark, sf):
 
 
 @register("backers_vs_pledged_by_outcome", with_campaigns(f"""
-SELECT {SUCCESS_FLAG} AS success_flag, ROUND(SUM(pledged), 2) AS sum_pledged,
-       CAST(SUM(backers_count) AS BIGINT) AS sum_backers, ROUND(SUM(goal), 2) AS sum_goal
+SELECT {SUCCESS_FLAG} AS success_flag, CAST(SUM(CAST(pledged AS DECIMAL(18, 2))) AS DOUBLE) AS sum_pledged,
+       CAST(SUM(backers_count) AS BIGINT) AS sum_backers, CAST(SUM(CAST(goal AS DECIMAL(18, 2))) AS DOUBLE) AS sum_goal
 FROM campaigns GROUP BY 1"""), S)
 def backers_vs_pledged_by_outcome(spark, sf):
     return D.backers_vs_pledged_by_outcome(campaigns(spark, sf, ["state", "pledged", "backers_count", "goal"]))
@@ -121,7 +121,7 @@ def overfunded_summary(spark, sf):
 # ---- top-N ----------------------------------------------------------------------
 
 @register("top10_funded", with_campaigns("""
-SELECT name, ROUND(AVG(backers_count), 6) AS avg_backers, ROUND(SUM(pledged), 2) AS sum_pledged
+SELECT name, ROUND(AVG(backers_count), 6) AS avg_backers, CAST(SUM(CAST(pledged AS DECIMAL(18, 2))) AS DOUBLE) AS sum_pledged
 FROM campaigns GROUP BY name
 ORDER BY avg_backers DESC NULLS LAST, name ASC NULLS LAST LIMIT 10"""), "topk")
 def top10_funded(spark, sf):
@@ -129,8 +129,8 @@ def top10_funded(spark, sf):
 
 
 @register("top10_scatter", with_campaigns("""
-SELECT name, ROUND(AVG(backers_count), 6) AS avg_backers, ROUND(SUM(pledged), 2) AS sum_pledged,
-       CAST(SUM(backers_count) AS BIGINT) AS sum_backers, ROUND(SUM(goal), 2) AS sum_goal,
+SELECT name, ROUND(AVG(backers_count), 6) AS avg_backers, CAST(SUM(CAST(pledged AS DECIMAL(18, 2))) AS DOUBLE) AS sum_pledged,
+       CAST(SUM(backers_count) AS BIGINT) AS sum_backers, CAST(SUM(CAST(goal AS DECIMAL(18, 2))) AS DOUBLE) AS sum_goal,
        CAST(SUM(state) AS BIGINT) AS sum_state
 FROM campaigns GROUP BY name
 ORDER BY avg_backers DESC NULLS LAST, name ASC NULLS LAST LIMIT 10"""), "topk")

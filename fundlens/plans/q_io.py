@@ -12,8 +12,8 @@ from ..operators import enrich as E
 from ..operators import profile as P
 from ..session import scratch_path
 from ..sources import files as IO
-from ..sources.campaigns import campaigns
-from ..sources.schema import CAMPAIGN_SCHEMA, MODEL_COLUMNS
+from ..sources.campaigns import campaigns, snapshot
+from ..sources.schema import CAMPAIGN_SCHEMA, MODEL_COLUMNS, RAW_CSV_SCHEMA
 from .oracle import FEATURES_CTE, VALIDATED_CTE, with_campaigns
 from .q_clean import LOOKUP_SQL, feature_table
 from .q_profile import MERGED_SQL, VF
@@ -37,7 +37,7 @@ def enriched_store_df(spark, sf):
 
 def campaign_store(spark, sf) -> str:
     """Country-partitioned Parquet store, written once per application and sf."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, snapshot(spark, sf))
     with _lock:
         if key not in _stores:
             _stores[key] = IO.write_partitioned(enriched_store_df(spark, sf), scratch_path(spark, "store"))
@@ -50,6 +50,22 @@ def csv_scan(spark, sf):
     return IO.read_campaigns_csv(spark, path)
 
 
+_RAW = {f.name: f.dataType for f in RAW_CSV_SCHEMA.fields}
+_RAW_SQL = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
+            T.BooleanType: "BOOLEAN"}
+
+
+@register("raw_csv_scan", with_campaigns("SELECT " + ", ".join(
+    n if n in CAMPAIGN_SCHEMA.names else f"CAST(NULL AS {_RAW_SQL[type(t)]}) AS {n}" for n, t in _RAW.items())
+    + " FROM campaigns"), S)
+def raw_csv_scan(spark, sf):
+    """The 41-column export, written in another column order and read by its header."""
+    df = campaigns(spark, sf)
+    raw = df.select(*[F.col(n) if n in df.columns else F.lit(None).cast(t).alias(n) for n, t in sorted(_RAW.items())])
+    path = IO.write_csv(raw, scratch_path(spark, "raw_csv"))
+    return IO.read_campaigns_csv(spark, path, schema=RAW_CSV_SCHEMA, required=MODEL_COLUMNS)
+
+
 @register("parquet_partitioned_write", with_campaigns("SELECT * FROM store", STORE_SQL), S)
 def parquet_partitioned_write(spark, sf):
     path = IO.write_partitioned(enriched_store_df(spark, sf), scratch_path(spark, "partitioned"))
@@ -69,10 +85,13 @@ def partition_pruned_count(spark, sf):
     return df.filter(F.col("country") == PRUNED_COUNTRY).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("partition_inventory", with_campaigns(
-    "SELECT country, COUNT(*) AS n_rows FROM store GROUP BY country", STORE_SQL), S)
+# A country's files follow its rows: one up to IO.ROWS_PER_FILE of them.
+@register("partition_inventory", with_campaigns(f"""
+SELECT country, CAST(CASE WHEN COUNT(*) <= {IO.ROWS_PER_FILE} THEN 1 END AS BIGINT) AS n_files, COUNT(*) AS n_rows
+FROM store GROUP BY country""", STORE_SQL), S)
 def partition_inventory(spark, sf):
-    return IO.partition_inventory(spark, campaign_store(spark, sf), schema=STORE_SCHEMA).select("country", "n_rows")
+    found = IO.partition_inventory(spark, campaign_store(spark, sf), schema=STORE_SCHEMA)
+    return found.withColumn("n_files", F.when(F.col("n_rows") <= IO.ROWS_PER_FILE, F.col("n_files")))
 
 
 @register("features_write", with_campaigns(

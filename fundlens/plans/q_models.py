@@ -20,6 +20,7 @@ from ..operators import models as M
 from ..operators import sampling as SM
 from ..operators.learning import learning_curve as _learning_curve
 from ..session import scratch_path
+from ..sources.campaigns import snapshot
 from ..sources import files as IO
 from .oracle import FEATURES_CTE, VALIDATED_CTE, hash_unit_sql, with_campaigns
 from .q_clean import model_table
@@ -92,13 +93,25 @@ _guard = threading.Lock()
 
 def _memo(spark, sf, name, fn):
     """Fit (or prepare) once per application, even under concurrent callers."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    key, source = (spark.sparkContext.applicationId, sf, name), snapshot(spark, sf)
     with _guard:
         lock = _locks.setdefault(key, threading.Lock())
     with lock:
-        if key not in _cache:
-            _cache[key] = fn()
-    return _cache[key]
+        if key not in _cache or _cache[key][0] != source:
+            old = _cache.pop(key, (None, None))[1]
+            if hasattr(old, "unpersist"):  # of sources that have changed since
+                old.unpersist()
+            _cache[key] = (source, fn())
+    return _cache[key][1]
+
+
+def release(spark):
+    """Forget this application's fits and prepared tables."""
+    with _guard:
+        for key in [k for k in _cache if k[0] == spark.sparkContext.applicationId]:
+            held = _cache.pop(key)[1]
+            if hasattr(held, "unpersist"):
+                held.unpersist()
 
 
 def linear_scored(spark, sf):

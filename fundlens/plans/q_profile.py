@@ -20,7 +20,7 @@ def row_count(spark, sf):
 
 
 _np = ", ".join(
-    f"CAST(SUM(CASE WHEN {c} IS NULL{' OR isnan(' + c + ')' if c == 'goal' else ''} THEN 1 ELSE 0 END) AS BIGINT) AS {c}"
+    f"COUNT(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c == 'goal' else ''}) AS {c}"
     for c in REQUIRED_COLUMNS)
 
 

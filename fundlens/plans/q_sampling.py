@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ..operators import clean as K
 from ..operators import profile as P
 from ..operators import sampling as SM
+from ..session import scratch_path
+from ..sources import files as IO
 from ..sources.campaigns import campaigns
 from .oracle import VALIDATED_CTE, hash_unit_sql, with_campaigns
 from .q_clean import model_table
@@ -56,12 +59,12 @@ def repartition_balance(spark, sf):
     "SELECT state, COUNT(*) AS n, (SELECT COUNT(*) FROM validated) AS n_total FROM validated GROUP BY state",
     VALIDATED_CTE), S)
 def cache_scope(spark, sf):
-    """Two actions over one persisted table; the second reads the cache."""
+    """Two aggregates over one persisted table, in a result that outlives the cache."""
     with SM.cache_scope(K.validate(model_table(spark, sf))) as cached:
-        n = cached.count()
-        dist = P.class_distribution(cached).collect()  # one row per class
-    rows = [(int(r["state"]), int(r["n"]), int(n)) for r in dist]
-    return spark.createDataFrame(rows, "state int, n long, n_total long")
+        total = cached.agg(F.count(F.lit(1)).alias("n_total"))  # one row
+        out = P.class_distribution(cached).select("state", "n").join(F.broadcast(total))
+        path = IO.write_parquet(out.select("state", "n", "n_total"), scratch_path(spark, "cache_scope"))
+    return spark.read.parquet(path)
 
 
 @register("lineage_checkpoint", with_campaigns(

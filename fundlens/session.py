@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,17 +59,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint dir for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/fundlens/{name}-{uuid.uuid4().hex[:12]}"
+_scratch: dict[str, list[str]] = {}
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always set in practice
-        return os.cpu_count() or 8
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint dir for written tables; ``clear_scratch`` removes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fundlens/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written under ``scratch_path``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
 def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,

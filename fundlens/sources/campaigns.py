@@ -26,7 +26,6 @@ dropping an unused join never changes the row count.
 
 from __future__ import annotations
 
-import os
 import threading
 from collections.abc import Iterable
 
@@ -84,21 +83,18 @@ _materialized: dict = {}
 _lock = threading.Lock()
 
 
-def _snapshot(sf_dir: str) -> tuple:
-    """Identity of the local source files (path, size, mtime) the table derives from."""
+def snapshot(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of the source tables: files, bytes and time of change of each, as
+    the file system that Spark reads them from has it. All that is derived from
+    the sources and kept is kept under it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for name in _SOURCES:
-        base = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        if os.path.isdir(base):
-            paths = sorted(os.path.join(r, f) for r, _, fs in os.walk(base) for f in fs)
-        else:
-            paths = [base]
-        for p in paths:
-            try:
-                st = os.stat(p)
-                out.append((p, st.st_size, st.st_mtime_ns))
-            except OSError:
-                out.append((p, -1, -1))
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            held = fs.getContentSummary(path)
+            out.append((name, held.getFileCount(), held.getLength(), fs.getFileStatus(path).getModificationTime()))
     return tuple(out)
 
 
@@ -112,7 +108,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
     """
     from ..session import scratch_path
 
-    key = (spark.sparkContext.applicationId, sf_dir, _snapshot(sf_dir) if "://" not in sf_dir else None)
+    key = (spark.sparkContext.applicationId, sf_dir, snapshot(spark, sf_dir))
     with _lock:
         path = _materialized.get(key)
         if path is None:
@@ -173,9 +169,3 @@ def campaigns_live(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
         df = df.join(docs, "id", "left")
 
     return df.select(*cols)
-
-
-def register_campaigns(spark: SparkSession, sf_dir: str, view: str = "campaigns") -> DataFrame:
-    df = campaigns(spark, sf_dir)
-    df.createOrReplaceTempView(view)
-    return df

@@ -15,23 +15,60 @@ from pyspark.sql import types as T
 from .schema import CAMPAIGN_SCHEMA
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+CORRUPT = "_corrupt_record"
+#: Rows of a partitioned file, unless the caller says otherwise.
+ROWS_PER_FILE = 1_000_000
+
+
+def header_schema(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = (),
+                  multiline: bool = True) -> T.StructType:
+    """``schema`` in the order of the files' header: only the header is read.
+
+    Columns that ``schema`` does not have are strings. A required column that the
+    header lacks is an error.
+    """
+    names = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()).csv(path).columns
+    missing = [c for c in required if c not in names]
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")
+    known = {f.name: f.dataType for f in schema.fields}
+    return T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
 
 
 def read_campaigns_csv(spark: SparkSession, path: str, schema: T.StructType | None = CAMPAIGN_SCHEMA,
-                       infer: bool = False, multiline: bool = True) -> DataFrame:
+                       infer: bool = False, multiline: bool = True, required: Sequence[str] = (),
+                       keep_corrupt: bool = False) -> DataFrame:
     """Read campaign CSV: header, quoted multi-line text, doubled quotes.
 
-    An explicit schema is the default (no inference pass over the data);
-    ``infer=True`` asks Spark to infer types instead. ``multiline`` may be
-    turned off for exports without embedded newlines, which makes large
-    files splittable across tasks.
+    Columns are found by their names in the header, in whatever order a file
+    has them; all files must have the same header (Spark checks each). The
+    result has the columns of ``schema``, NULL where the files lack one;
+    ``required`` ones must be there, or the read fails before any row.
+    ``infer=True`` asks Spark to infer types instead. With ``keep_corrupt``,
+    the text of rows that don't fit the schema is kept in ``_corrupt_record``
+    (their other columns are as far as they could be read).
+
+    A file with embedded newlines is one task, so large exports should come as many files
+    of a few hundred MB at most; ``multiline=False``, for exports without
+    them, makes files splittable.
     """
     r = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     if infer or schema is None:
-        r = r.option("inferSchema", "true")
-    else:
-        r = r.schema(schema)
-    return r.csv(path)
+        df = r.option("inferSchema", "true").csv(path)
+        missing = [c for c in required if c not in df.columns]
+        if missing:
+            raise ValueError(f"missing required columns: {missing}")
+        return df
+    own = header_schema(spark, path, schema, required, multiline)
+    if keep_corrupt:
+        own = own.add(CORRUPT, T.StringType())
+        r = r.option("columnNameOfCorruptRecord", CORRUPT)
+    if not own.fields:  # no file, or an empty one
+        return spark.createDataFrame([], schema)
+    df = r.option("enforceSchema", "false").schema(own).csv(path)
+    there = set(own.names)
+    return df.select(*[F.col(f"`{f.name}`") if f.name in there else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in schema.fields], *([CORRUPT] if keep_corrupt else []))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -40,19 +77,25 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",),
-                      mode: str = "overwrite", max_records_per_file: int | None = None) -> str:
+                      mode: str = "overwrite", max_records_per_file: int = ROWS_PER_FILE) -> str:
     """Snappy Parquet partitioned by ``partition_by``.
 
-    Rows are first clustered on the partition columns *within* each task
-    (``sortWithinPartitions``) so each task opens one writer per key
-    instead of many small files; no shuffle is added, so a country holding a
-    third of all rows is still written by all tasks in parallel.
-    ``max_records_per_file`` caps file size for hot partitions.
+    The rows of each key are counted, and dealt to as many tasks as the
+    key fills files: files per key follow its rows, not the number of tasks
+    that hold some, and a key with a third of all rows is still written in parallel.
     """
-    w = df.sortWithinPartitions(*partition_by).write.mode(mode).partitionBy(*partition_by)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(path)
+    keys = list(partition_by)
+    # A row for each partition folder.
+    salts = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / max_records_per_file).cast("int").alias("_salts"))
+    same = [F.col(f"_d.{k}").eqNullSafe(F.col(f"_s.{k}")) for k in keys]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    dealt = (df.alias("_d").join(salts.alias("_s"), on, "left")
+             .select("_d.*", F.pmod(F.xxhash64(*[F.col(f"_d.`{c}`") for c in df.columns]),
+                                    F.coalesce("_s._salts", F.lit(1))).alias("_salt")))
+    (dealt.repartition(*keys, "_salt").sortWithinPartitions(*keys).drop("_salt")
+     .write.mode(mode).partitionBy(*keys).option("maxRecordsPerFile", max_records_per_file).parquet(path))
     return path
 
 

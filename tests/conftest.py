@@ -18,6 +18,9 @@ def spark():
 
     s = get_session("local[*]", 8)
     yield s
+    from fundlens.session import clear_scratch
+
+    clear_scratch(s)
     s.stop()
 
 

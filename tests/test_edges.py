@@ -2,11 +2,14 @@
 
 import math
 
+from pyspark.sql import functions as F
+
 
 from fundlens.functions import columns as C
 from fundlens.operators import clean as K
 from fundlens.operators import dashboard as D
 from fundlens.operators import enrich as E
+from fundlens.operators import evaluation as EV
 from fundlens.operators import profile as P
 from fundlens.session import scratch_path
 from fundlens.sources import files as IO
@@ -103,8 +106,43 @@ def test_exclude_members(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, creator string")
     assert sorted(r["id"] for r in K.exclude_members(df, "creator", ["a"]).collect()) == [2, 3]
     assert K.exclude_members(df, "creator", []).count() == 3
-    # long lists take the anti-join path with identical results
+    # long lists take the anti-join path with identical results, NULLs in the list or not
     assert sorted(r["id"] for r in K.exclude_members(df, "creator", ["a"], max_literal=0).collect()) == [2, 3]
+    for limit in (10_000, 1, 0):
+        assert sorted(r["id"] for r in K.exclude_members(df, "creator", ["a", None], max_literal=limit).collect()) == [2, 3]
+        assert K.exclude_members(df, "creator", [None], max_literal=limit).count() == 3
+
+
+def test_counts_on_an_empty_table(spark):
+    df = spark.createDataFrame([], "category string, country string, goal double, state int, launched_at long, "
+                                   "deadline long, staff_pick boolean")
+    assert tuple(K.validation_report(df).first()) == (0, 0, 0)
+    assert tuple(K.clean_report(K.with_features(df)).first()) == (0, 0, 0)
+    assert K.negative_duration(df).first()[0] == 0
+    assert set(K.null_profile(df).first()) == {0}
+    checks = {r["check"]: (r["violations"], r["passed"]) for r in K.dq_checks(df).collect()}
+    assert checks.pop("not_empty") == (1, False) and set(checks.values()) == {(0, True)}
+    cells = EV.confusion_matrix(spark.createDataFrame([], "label int, prediction double")).collect()
+    assert [r["n"] for r in cells] == [0, 0, 0, 0]
+
+
+def test_money_sums_do_not_depend_on_order(spark):
+    df = spark.range(20_000).select((F.col("id") % 2).cast("int").alias("state"),
+                                    (F.col("id") * 37 % 100_003 / 100).alias("pledged"),
+                                    F.lit(1).alias("backers_count"), (F.col("id") / 100).alias("goal"))
+    got = [sorted(map(tuple, D.backers_vs_pledged_by_outcome(df.repartition(n)).collect())) for n in (3, 7, 31)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_top_blurbs_break_ties_on_whole_texts(spark):
+    start = "x" * 100
+    rows = [(n, start + chr(122 - n % 20) + str(n), 1.0, "c") for n in range(60)] + [(99, None, 1.0, "c"), (98, "a", None, "c")]
+    df = spark.createDataFrame(rows, "id long, blurb string, goal double, category string")
+    got = [(r["blurb"], r["completeness"]) for r in D.top_blurb_completeness(df, 5).collect()]
+    want = sorted((b for _, b, g, _ in rows if b and g))[:5]
+    assert got == [(b, 1.0) for b in want]
+    assert D.top_blurb_completeness(df, 100).count() == 62
+    assert D.top_blurb_completeness(df.limit(0), 5).count() == 0
 
 
 def test_time_edges(spark):

@@ -1,6 +1,13 @@
 """Sources and sinks beyond the registered round trips."""
 
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
+from fundlens import session
 from fundlens.operators import clean as K
 from fundlens.operators import sampling as SM
 from fundlens.session import scale_conf, scratch_path
@@ -45,6 +52,51 @@ def test_partitioned_write_inventory(spark):
     assert all(r["n_files"] >= -(-r["n_rows"] // 20) for r in inv)  # file cap respected
 
 
+def test_files_follow_rows_and_not_tasks(spark):
+    df = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.concat(F.lit("c"), (F.col("id") % 25).cast("string"))).alias("country")).repartition(64)
+    path = IO.write_partitioned(df, scratch_path(spark, "files"), max_records_per_file=500)
+    inv = {r["country"]: r for r in IO.partition_inventory(spark, path, schema=df.schema).collect()}
+    assert sum(r["n_rows"] for r in inv.values()) == 6000 and len(inv) == 26
+    assert all(r["n_files"] == 1 for c, r in inv.items() if c != "hot")
+    assert 4 <= inv["hot"]["n_files"] <= 9  # 2000 rows, in files of at most 500
+
+
+def test_csv_columns_by_header(spark):
+    path = scratch_path(spark, "reordered")
+    spark.sparkContext.parallelize(["goal,id,extra,category\n7.5,3,x,Art\noops,4,y,Film\n"], 1).saveAsTextFile(path)
+    schema = "id long, category string, country string, goal double"
+    schema = spark.createDataFrame([], schema).schema
+    df = IO.read_campaigns_csv(spark, path, schema, required=["id", "goal"], keep_corrupt=True)
+    rows = [tuple(r) for r in df.orderBy("id").collect()]
+    assert rows[0] == (3, "Art", None, 7.5, None)
+    assert rows[1][:4] == (4, "Film", None, None) and rows[1][4].startswith("oops")
+    with pytest.raises(ValueError, match="country"):
+        IO.read_campaigns_csv(spark, path, schema, required=["country"])
+
+
+def test_changed_source_changes_what_is_kept(spark, tmp_path):
+    from fundlens.plans import registry
+
+    for t in ("orders", "lineitem", "customer", "nation", "region", "documents"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    scan = registry.queries()["parquet_scan"]
+    before = scan(spark, str(tmp_path)).count()
+    half = spark.read.parquet(f"{SF_SMALL}/orders.parquet").filter("o_orderkey % 2 = 0").toPandas()
+    half.to_parquet(tmp_path / "orders.parquet", coerce_timestamps="us")
+    spark.catalog.clearCache()
+    assert 0 < scan(spark, str(tmp_path)).count() < before
+
+
+def test_scratch_is_cleared(spark):
+    path = IO.write_parquet(spark.range(3), scratch_path(spark, "gone"))
+    assert os.path.isdir(path.removeprefix("file:"))
+    kept, session._scratch[spark.sparkContext.applicationId] = session._scratch[spark.sparkContext.applicationId], [path]
+    session.clear_scratch(spark)
+    session._scratch[spark.sparkContext.applicationId] = kept
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
 def test_hash_split_independent_of_partitioning(spark):
     df = campaigns(spark, SF_SMALL, ["id"])
     a = SM.hash_split(df.repartition(2))[0].select("id").collect()
