@@ -83,7 +83,11 @@ def fit_dt(train: DataFrame, max_depth: int = 8, seed: int = 42):
     return timed_fit(pipeline(dt_estimator(max_depth, max_bins_for(train), seed)), train)
 
 
-def gbt_cv(train_with_folds: DataFrame, depths: Sequence[int] = (3, 4), iters: Sequence[int] = (10, 15),
+# The grid of the boosted trees.
+GBT_DEPTHS, GBT_ITERS = (3, 4), (10, 15)
+
+
+def gbt_cv(train_with_folds: DataFrame, depths: Sequence[int] = GBT_DEPTHS, iters: Sequence[int] = GBT_ITERS,
            fold_col: str = "fold", num_folds: int = 2, parallelism: int = 2, seed: int = 42) -> CrossValidator:
     gbt = gbt_estimator(max_bins_for(train_with_folds), seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.maxIter, list(iters)).build()

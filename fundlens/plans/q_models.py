@@ -11,6 +11,8 @@ import threading
 
 import numpy as np
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +20,7 @@ from ..operators import clean as K
 from ..operators import evaluation as EV
 from ..operators import models as M
 from ..operators import sampling as SM
+from ..operators.features import FEATURE_COLS
 from ..operators.learning import learning_curve as _learning_curve
 from ..session import scratch_path
 from ..sources.campaigns import snapshot
@@ -236,67 +239,120 @@ def _test_scores(spark, sf, name):
     return M.score_model(fitted(spark, sf, name)[0], test)
 
 
-@register("fit_lr", None, "models")
+# What holds of every fit, whatever its numbers: which rows are scored, that scores are
+# probabilities, that a model is better than chance. The operators' own output is theirs
+# (models.score_model, cv_results, ...); the oracles state only such facts.
+PREPARED_CTE = VALIDATED_CTE + ",\n" + FEATURES_CTE + """,
+prepared AS (SELECT id, state AS label FROM features
+             WHERE duration IS NOT NULL AND staff_pick IS NOT NULL)"""
+IS_TEST = f"{hash_unit_sql('id', SEED)} >= {SM.threshold(TRAIN)}"
+FIT_SQL = with_campaigns(f"SELECT id, label, TRUE AS is_probability, TRUE AS auc_above_half FROM prepared WHERE {IS_TEST}",
+                         PREPARED_CTE)
+SAME_SQL = with_campaigns(f"SELECT id, label, TRUE AS same_score FROM prepared WHERE {IS_TEST}", PREPARED_CTE)
+IS_PROBABILITY = "coalesce(score >= 0 and score <= 1, false)"
+
+
+def _fit_facts(spark, sf, name):
+    scores = _test_scores(spark, sf, name)
+    better = EV.auc(scores).first()["auc"] > 0.5
+    return scores.select("id", "label", F.expr(IS_PROBABILITY).alias("is_probability"),
+                         F.lit(better).alias("auc_above_half"))
+
+
+@register("fit_lr", FIT_SQL, "models")
 def fit_lr(spark, sf):
-    return _test_scores(spark, sf, "LR")
+    return _fit_facts(spark, sf, "LR")
 
 
-@register("fit_rf", None, "models")
+@register("fit_rf", FIT_SQL, "models")
 def fit_rf(spark, sf):
-    return _test_scores(spark, sf, "RF")
+    return _fit_facts(spark, sf, "RF")
 
 
-@register("fit_dt", None, "models")
+@register("fit_dt", FIT_SQL, "models")
 def fit_dt(spark, sf):
-    return _test_scores(spark, sf, "DT")
+    return _fit_facts(spark, sf, "DT")
 
 
-@register("fit_gbt_cv", None, "models")
+@register("fit_gbt_cv", FIT_SQL, "models")
 def fit_gbt_cv(spark, sf):
-    return _test_scores(spark, sf, "GBT")
+    return _fit_facts(spark, sf, "GBT")
 
 
-@register("cv_results", None, "models")
-def cv_results(spark, sf):
-    return M.cv_results(fitted(spark, sf, "GBT")[0])
+_GRID = [(d, i) for d in M.GBT_DEPTHS for i in M.GBT_ITERS]
 
 
-@register("feature_importance", None, "models")
+@register("cv_results", "SELECT * FROM (VALUES " + ", ".join(
+    f"({d}, {i}, TRUE, 1)" for d, i in _GRID) + ') AS t("maxDepth", "maxIter", is_auc, n_best)', "models")
+def cv_results(spark, sf):
+    found = M.cv_results(fitted(spark, sf, "GBT")[0])
+    # The best row is the one of the highest mean, and the only one so marked: a row for each combination.
+    best = found.filter("is_best").select(F.col("avg_auc").alias("top"))
+    facts = found.agg(F.count_if("is_best").cast("int").alias("n"), F.max("avg_auc").alias("m")).first()
+    right = best.first()["top"] == facts["m"]
+    return found.select("maxDepth", "maxIter", F.expr("avg_auc > 0.5 and avg_auc <= 1").alias("is_auc"),
+                        F.lit(facts["n"] if right else 0).cast("int").alias("n_best"))
+
+
+@register("feature_importance", "SELECT model, CAST(rank AS INTEGER) AS rank, TRUE AS in_order, TRUE AS sums_to_one "
+          "FROM (VALUES ('RF'), ('DT'), ('GBT')) AS m(model), "
+          f"(SELECT unnest(range(1, {len(FEATURE_COLS) + 1})) AS rank) r", "models")
 def feature_importance(spark, sf):
-    return M.feature_importance({n: fitted(spark, sf, n)[0] for n in ("RF", "DT", "GBT")})
+    found = M.feature_importance({n: fitted(spark, sf, n)[0] for n in ("RF", "DT", "GBT")})
+    own = Window.partitionBy("model")
+    before = F.lag("importance").over(own.orderBy("rank"))
+    return found.select("model", "rank", F.coalesce(before >= F.col("importance"), F.lit(True)).alias("in_order"),
+                        (F.abs(F.sum("importance").over(own) - 1) < 1e-4).alias("sums_to_one"))
 
 
-@register("export_lr_coefficients", None, "models")
+@register("export_lr_coefficients", with_campaigns(
+    f"SELECT id, TRUE AS agrees FROM prepared WHERE {IS_TEST}", PREPARED_CTE), "models")
 def export_lr_coefficients(spark, sf):
+    """The written coefficients, put back into the linear scorer, score as the model does."""
     model = fitted(spark, sf, "LR")[0]
-    auc = EV.auc(_test_scores(spark, sf, "LR")).first()["auc"]
-    path = IO.write_parquet(M.lr_coefficients(model, auc), scratch_path(spark, "lr_coefficients"))
-    return spark.read.parquet(path)
+    path = IO.write_parquet(M.lr_coefficients(model), scratch_path(spark, "lr_coefficients"))
+    terms = {r["term"]: r["value"] for r in spark.read.parquet(path).collect()}  # a row for each feature
+    intercept = terms.pop("intercept")
+    _, test = train_test(spark, sf)
+    indexed = PipelineModel(model.stages[:-1]).transform(test)
+    linear = M.score_linear(indexed, terms, intercept, "linear").select("id", "linear")
+    return linear.join(_test_scores(spark, sf, "LR"), "id").select(
+        "id", (F.abs(F.col("linear") - F.col("score")) < 1e-9).alias("agrees"))
 
 
-@register("score_model", None, "models")
+@register("score_model", with_campaigns("SELECT id, label, TRUE AS is_probability FROM prepared", PREPARED_CTE), "models")
 def score_model(spark, sf):
-    return M.score_model(fitted(spark, sf, "LR")[0], prepared(spark, sf))
+    return M.score_model(fitted(spark, sf, "LR")[0], prepared(spark, sf)).select(
+        "id", "label", F.expr(IS_PROBABILITY).alias("is_probability"))
 
 
-@register("prob_pos", None, "scalar")
+@register("prob_pos", with_campaigns(
+    f"SELECT id, TRUE AS is_probability, TRUE AS decides FROM prepared WHERE {IS_TEST}", PREPARED_CTE), "scalar")
 def prob_pos(spark, sf):
-    return _test_scores(spark, sf, "LR").select("id", F.col("score").alias("prob_pos"))
+    """The probability of the positive class, which decides the prediction."""
+    return _test_scores(spark, sf, "LR").select(
+        "id", F.expr(IS_PROBABILITY).alias("is_probability"),
+        ((F.col("score") > 0.5) == (F.col("prediction") == 1.0)).alias("decides"))
 
 
-@register("reuse_stage", None, "models")
+def _same_as_direct(spark, sf, scored):
+    direct = _test_scores(spark, sf, "LR").select("id", F.col("score").alias("direct"))
+    return scored.join(direct, "id").select("id", "label", (F.col("score") == F.col("direct")).alias("same_score"))
+
+
+@register("reuse_stage", SAME_SQL, "models")
 def reuse_stage(spark, sf):
     model = fitted(spark, sf, "LR")[0]
     wrapped = M.reuse_stage(model, model.stages[-1], M.indexer_labels(model))
     _, test = train_test(spark, sf)
-    return M.score_model(wrapped, test)
+    return _same_as_direct(spark, sf, M.score_model(wrapped, test))
 
 
-@register("model_store", None, "models")
+@register("model_store", SAME_SQL, "models")
 def model_store(spark, sf):
     path = M.save_model(fitted(spark, sf, "LR")[0], scratch_path(spark, "model"))
     _, test = train_test(spark, sf)
-    return M.score_model(M.load_pipeline(path), test)
+    return _same_as_direct(spark, sf, M.score_model(M.load_pipeline(path), test))
 
 
 def model_metrics_df(spark, sf, names=("LR", "RF", "DT", "GBT")):
@@ -312,19 +368,45 @@ def model_metrics_df(spark, sf, names=("LR", "RF", "DT", "GBT")):
     return EV.metric_rows(scored, "model").join(secs, "model", "left")
 
 
-@register("model_metrics", None, "evaluation")
+def _metric_facts(df):
+    """Per model: that each measure is a share, and the AUC above a half."""
+    shares = " and ".join(f"{m} between 0 and 1" for m in ("auc", "accuracy", "f1", "precision", "recall"))
+    return df.select("model", F.expr(f"coalesce({shares}, false)").alias("are_shares"),
+                     F.expr("coalesce(auc > 0.5, false)").alias("auc_above_half"))
+
+
+@register("model_metrics", "SELECT model, TRUE AS are_shares, TRUE AS auc_above_half "
+          "FROM (VALUES ('LR'), ('RF'), ('DT'), ('GBT')) AS m(model)", "evaluation")
 def model_metrics(spark, sf):
-    return model_metrics_df(spark, sf)
+    return _metric_facts(model_metrics_df(spark, sf))
 
 
-@register("model_comparison", None, "sets")
+@register("model_comparison", with_campaigns(f"""
+SELECT model, auc FROM (VALUES ('LR', CAST(NULL AS DOUBLE)), ('RF', NULL)) AS m(model, auc)
+UNION ALL SELECT 'linear_stored', auc FROM ({AUC_SQL}) a""", SCORED_CTE), "sets")
 def model_comparison(spark, sf):
-    """Stack the MLlib models' metric table with the stored linear scorer's row."""
+    """The MLlib models' metric table stacked with the stored linear scorer's row, whose AUC is exact."""
     linear = EV.metric_row(linear_scored(spark, sf), "linear_stored")
-    return model_metrics_df(spark, sf, ("LR", "RF")).unionByName(linear, allowMissingColumns=True)
+    stacked = model_metrics_df(spark, sf, ("LR", "RF")).unionByName(linear, allowMissingColumns=True)
+    return stacked.select("model", F.when(F.col("model") == "linear_stored", F.col("auc")).alias("auc"))
+
+
+CURVE_SIZES, CURVE_FOLDS = np.linspace(0.1, 1.0, 8).tolist(), 3
+_fold = f"CAST({hash_unit_sql('id', SEED, 'fold')} % {CURVE_FOLDS} AS INTEGER)"
+_counts = "\nUNION ALL ".join(
+    f"SELECT CAST('{s!r}' AS DOUBLE) AS train_fraction, f AS fold, COUNT(*) FILTER (WHERE fold <> f"
+    + ("" if s >= 1.0 else f" AND {hash_unit_sql('id', SEED, 'sample')} < {SM.threshold(s)}") + ") AS n_train FROM tagged, folds GROUP BY f"
+    for s in CURVE_SIZES)
 
 
-@register("learning_curve", None, "evaluation")
+@register("learning_curve", with_campaigns(f"""
+SELECT estimator, train_fraction, ROUND(AVG(n_train), 1) AS n_train, TRUE AS are_aucs
+FROM ({_counts}) c, (VALUES ('LR'), ('RF')) AS e(estimator) GROUP BY estimator, train_fraction""",
+    VALIDATED_CTE + f""",
+tagged AS (SELECT id, {_fold} AS fold FROM validated),
+folds AS (SELECT unnest(range(0, {CURVE_FOLDS})) AS f)"""), "evaluation")
 def learning_curve(spark, sf):
     df = K.with_features(K.validate(model_table(spark, sf)))
-    return _learning_curve(df, sizes=np.linspace(0.1, 1.0, 8).tolist(), folds=3, seed=SEED)
+    curve = _learning_curve(df, sizes=CURVE_SIZES, folds=CURVE_FOLDS, seed=SEED)
+    aucs = "train_auc_mean between 0.5 and 1 and val_auc_mean between 0 and 1"
+    return curve.select("estimator", "train_fraction", "n_train", F.expr(f"coalesce({aucs}, false)").alias("are_aucs"))

@@ -50,9 +50,18 @@ def kfold(spark, sf):
     return SM.kfold(campaigns(spark, sf, ["id"]), FOLDS, "id", SEED)
 
 
-@register("repartition_balance", None, S)
+PARTITIONS = 8
+
+
+@register("repartition_balance", with_campaigns(
+    f"SELECT COUNT(*) AS n_rows, CAST({PARTITIONS} AS BIGINT) AS n_partitions, TRUE AS balanced FROM validated",
+    VALIDATED_CTE), S)
 def repartition_balance(spark, sf):
-    return SM.partition_sizes(SM.repartition_balance(K.validate(model_table(spark, sf)), 8))
+    """All rows are there, and partitions differ by one row per input partition at most."""
+    df = K.validate(model_table(spark, sf))
+    sizes = SM.partition_sizes(SM.repartition_balance(df, PARTITIONS))
+    return sizes.agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_partitions"),
+                     (F.max("n_rows") - F.min("n_rows") <= df.rdd.getNumPartitions()).alias("balanced"))
 
 
 @register("cache_scope", with_campaigns(

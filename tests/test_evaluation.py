@@ -1,5 +1,6 @@
 """Evaluation operators against MLlib evaluators and brute force (score_edges)."""
 
+import math
 import random
 
 import pandas as pd
@@ -90,6 +91,16 @@ def test_roc_pr_ap_brute_force(spark):
     assert EV.average_precision(df, n_ranges=5).first()["average_precision"] == round(ap, 6)
 
 
+def test_nan_scores_rank_nowhere(spark):
+    rows = [(1, 0.9), (0, 0.4), (1, 0.6), (0, 0.7), (1, float("nan")), (0, float("nan"))]
+    df = spark.createDataFrame(rows, "label int, score double")
+    points = sorted((r["fpr"], r["tpr"]) for r in EV.roc_points(df).collect())
+    points = [(0.0, 0.0), *points, (1.0, 1.0)]
+    area = sum((x2 - x1) * (y1 + y2) / 2 for (x1, y1), (x2, y2) in zip(points, points[1:]))
+    assert EV.auc(df).first()["auc"] == round(area, 6) == 0.75
+    assert not any(math.isnan(r["precision"]) for r in EV.pr_points(df).collect())
+
+
 def test_running_sums_brute_force(spark):
     rnd = random.Random(3)
     rows = [(float(k), rnd.randint(0, 9)) for k in rnd.sample(range(10000), 2000)]
