@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import running_sums
+from .ordered import FINENESS, running_sums
 
 DIGITS = 6
 
@@ -36,14 +36,13 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score", grou
                    F.sum(F.when(pos, 0).otherwise(1)).cast("long").alias("neg")))
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int | None = None,
-        materialize: bool = True, group_cols: Sequence[str] = ()) -> DataFrame:
+def auc(df: DataFrame, label: str = "label", score: str = "score", fineness: int = FINENESS,
+        group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact area under ROC with ties (Mann-Whitney): equals MLlib's evaluator
     with ``numBins=0``. NULL when one class is absent. One row, or one per
     ``group_cols`` group (e.g. several models scored on the same rows)."""
     g = list(group_cols)
-    c = running_sums(score_counts(df, label, score, g), "score", ["neg"], descending=False, n_ranges=n_ranges,
-                     materialize=materialize, group_cols=g)
+    c = running_sums(score_counts(df, label, score, g), "score", ["neg"], descending=False, fineness=fineness, group_cols=g)
     below = F.col("cum_neg") - F.col("neg")
     u = F.sum(F.col("pos").cast("double") * (below.cast("double") + F.col("neg").cast("double") / 2))
     p, n = F.sum("pos"), F.sum("neg")
@@ -51,32 +50,32 @@ def auc(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int
     return c.groupBy(*g).agg(out) if g else c.agg(out)
 
 
-def _desc_curve(df, label, score, n_ranges):
+def _desc_curve(df, label, score, fineness):
     return running_sums(score_counts(df, label, score), "score", ["pos", "neg"], descending=True,
-                        n_ranges=n_ranges)
+                        fineness=fineness)
 
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int | None = None) -> DataFrame:
+def roc_points(df: DataFrame, label: str = "label", score: str = "score", fineness: int = FINENESS) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, scores >= threshold positive."""
-    c = _desc_curve(df, label, score, n_ranges)
+    c = _desc_curve(df, label, score, fineness)
     return c.select(_r(F.col("score")).alias("threshold"),
                     _r(_div(F.col("cum_neg"), F.col("tot_neg"))).alias("fpr"),
                     _r(_div(F.col("cum_pos"), F.col("tot_pos"))).alias("tpr"))
 
 
-def pr_points(df: DataFrame, label: str = "label", score: str = "score", n_ranges: int | None = None) -> DataFrame:
+def pr_points(df: DataFrame, label: str = "label", score: str = "score", fineness: int = FINENESS) -> DataFrame:
     """(threshold, precision, recall) at every distinct score."""
-    c = _desc_curve(df, label, score, n_ranges)
+    c = _desc_curve(df, label, score, fineness)
     return c.select(_r(F.col("score")).alias("threshold"),
                     _r(_div(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
                     _r(_div(F.col("cum_pos"), F.col("tot_pos"))).alias("recall"))
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score",
-                      n_ranges: int | None = None) -> DataFrame:
+                      fineness: int = FINENESS) -> DataFrame:
     """Step-sum AP: sum over thresholds of (recall increment) x precision.
     Differs from MLlib's trapezoidal ``areaUnderPR``."""
-    c = _desc_curve(df, label, score, n_ranges)
+    c = _desc_curve(df, label, score, fineness)
     term = _div(F.col("pos"), F.col("tot_pos")) * _div(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
     return c.agg(_r(F.sum(term)).alias("average_precision"))
 
@@ -169,15 +168,12 @@ def metric_rows(df: DataFrame, group_col: str = "model", label: str = "label", p
     """One row per ``group_col`` value (e.g. per model): auc, accuracy, f1,
     precision, recall.
 
-    All groups are evaluated together: the scored table is checkpointed once
-    (shared checkpoint dir, so a costly model transform is not recomputed by
-    each metric), AUC comes from one grouped running-sum pass and the class
-    metrics from one grouped conditional aggregation.
+    All groups are evaluated together: AUC comes from one grouped running-sum
+    pass and the class metrics from one grouped conditional aggregation. A
+    caller whose scores are costly persists them.
     """
-    from .sampling import lineage_checkpoint
-
-    df = lineage_checkpoint(df.select(group_col, label, prediction, score))
-    a = auc(df, label, score, materialize=False, group_cols=[group_col])
+    df = df.select(group_col, label, prediction, score)
+    a = auc(df, label, score, group_cols=[group_col])
     # accuracy and the weighted metrics share one pass of class counts
     st = binary_class_stats(df, label, prediction, (0.0, 1.0), group_cols=[group_col])
     w = F.col("support").cast("double")

@@ -2,15 +2,13 @@
 
 A cumulative sum over *all* rows ordered by a key is, written naively, a
 ``Window.orderBy`` without ``partitionBy``: Spark moves every row into one
-task. Here it is done in two levels:
+task. Here it is done in two levels, in one lazy plan:
 
-1. ``approxQuantile`` (one pass) picks ``n`` range boundaries of the key;
-   ``Bucketizer`` assigns each row its range (no shuffle).
-2. Within each range a partitioned window computes the local running sum
-   (ranges are balanced by the quantiles, spread over all tasks).
-3. Range totals (at most ``n`` rows - a proven bound) get their prefix
-   offsets and grand totals from a window over that small table, and are
-   broadcast back to the rows.
+1. Each row's range is a function of its key alone (``key_range``), that
+   never falls as the key grows: no pass over the data picks bounds.
+2. Within each range a partitioned window computes the local running sum.
+3. Range totals get their prefix offsets and grand totals from a window over
+   that small table, and are joined back to the rows.
 
 The caller passes one row per distinct key (aggregate first), so a key
 holding a third of all rows is a single row here.
@@ -18,69 +16,58 @@ holding a third of all rows is a single row here.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RANGES = 256
+#: Ranges between a key and its double. Doubles have 2,100 such steps, so there
+#: are 4,300 times as many ranges at most, over all possible keys.
+FINENESS = 1024
+_STEPS = 1100
 
 
-def default_ranges(spark) -> int:
-    """Ranges scale with the cluster's shuffle width (4 per shuffle
-    partition, at least 256), so rows per range stay bounded as data grows
-    with the partition count; the offsets table stays small enough to
-    broadcast (tens of thousands of rows at most)."""
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover
-        parts = 200
-    return min(max(DEFAULT_RANGES, 4 * parts), 100_000)
+def _steps(x: Column, fineness: int) -> Column:
+    """Ranges from 0 to x > 0: even ones between a power of two and the next."""
+    power = F.floor(F.log2(x))
+    within = F.least(F.greatest(x / F.pow(F.lit(2.0), power) - 1, F.lit(0.0)), F.lit(1.0))
+    return F.when(x > 0, F.greatest(F.floor((power + within + _STEPS) * fineness), F.lit(1))).otherwise(0).cast("long")
+
+
+def key_range(key: Column, fineness: int = FINENESS) -> Column:
+    """The number of a key's range. Ranges are narrow near 0 and near 1, where
+    probabilities crowd; larger and negative keys have ranges of their own."""
+    half = 2 * _STEPS * fineness
+    return (F.when(key < 0, -_steps(-key, fineness))
+            .when(key <= 0.5, _steps(key, fineness))
+            .when(key <= 1, F.lit(2 * half) - _steps(1 - key, fineness))
+            .otherwise(F.lit(2 * half) + _steps(key, fineness)))
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                 n_ranges: int | None = None, materialize: bool = True,
-                 group_cols: Sequence[str] = ()) -> DataFrame:
+                 fineness: int = FINENESS, group_cols: Sequence[str] = ()) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in the given direction) and
     ``tot_<c>`` (grand total) for each ``c`` in ``sum_cols``, separately per
-    ``group_cols`` group if given (ranges are shared by all groups).
+    ``group_cols`` group if given.
 
-    ``order_col`` must be unique per row within a group. With
-    ``materialize`` the input is checkpointed (eager, into the shared
-    checkpoint dir) so the quantile pass and the window pass read it instead
-    of recomputing everything upstream twice.
+    ``order_col`` must be unique per row within a group, and not NULL or NaN.
     """
-    if materialize:
-        from .sampling import lineage_checkpoint
-
-        df = lineage_checkpoint(df)
-    n_ranges = n_ranges or default_ranges(df.sparkSession)
     k = F.col(order_col).cast("double")
-    keyed = df.withColumn("_k", -k if descending else k)
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    bounds = keyed.approxQuantile("_k", probs, 1.0 / (4 * n_ranges)) if probs else []
-    inner = sorted({b for b in bounds if b is not None and not math.isnan(b) and not math.isinf(b)})
-    # Bucketizer needs three splits at least; any finite middle split works.
-    splits = [-math.inf] + (inner or [0.0]) + [math.inf]
-    ranged = Bucketizer(splits=splits, inputCol="_k", outputCol="_r", handleInvalid="keep").transform(keyed) \
-        .withColumn("_r", F.col("_r").cast("int"))
-
+    at = key_range(k, fineness)
+    ranged = df.withColumn("_r", -at if descending else at)
     g = list(group_cols)
-    w_in = Window.partitionBy(*g, "_r").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_in = Window.partitionBy(*g, "_r").orderBy(k.desc() if descending else k.asc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(*df.columns, "_r", *[F.sum(c).over(w_in).alias(f"_l_{c}") for c in sum_cols])
 
+    # A row for each range that has any key.
     totals = ranged.groupBy(*g, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    # At most n_ranges rows per group: windows over this table are small.
     w_before = (Window.partitionBy(*g) if g else Window).orderBy("_r") \
         .rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     offsets = totals.select(*g, "_r", *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_o_{c}")
                                         for c in sum_cols],
                             *[F.sum(f"_t_{c}").over(w_all).alias(f"tot_{c}") for c in sum_cols])
-    # Ungrouped, the offsets table is bounded by n_ranges: broadcast it. With
-    # groups its size is groups x ranges, so AQE decides from runtime size.
-    out = local.join(offsets if g else F.broadcast(offsets), [*g, "_r"], "inner")
+    out = local.join(offsets, [*g, "_r"], "inner")
     return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sum_cols],
                       *[F.col(f"tot_{c}") for c in sum_cols])

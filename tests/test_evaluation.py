@@ -9,7 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from fundlens.operators import evaluation as EV
-from fundlens.operators.ordered import running_sums
+from fundlens.operators.ordered import key_range, running_sums
 
 
 def _scored(spark, n=3000, seed=7, ties=True):
@@ -31,10 +31,10 @@ def _brute_auc(pdf):
     return num / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("n_ranges", [1, 7, 256])
-def test_auc_exact_with_ties(spark, n_ranges):
+@pytest.mark.parametrize("fineness", [1, 7, 256])
+def test_auc_exact_with_ties(spark, fineness):
     df = _scored(spark, 1200)
-    got = EV.auc(df, n_ranges=n_ranges).first()["auc"]
+    got = EV.auc(df, fineness=fineness).first()["auc"]
     assert got == round(_brute_auc(df.toPandas()), 6)
 
 
@@ -79,8 +79,8 @@ def test_roc_pr_ap_brute_force(spark):
     df = _scored(spark, 800)
     pdf = df.toPandas()
     P, N = (pdf.label == 1).sum(), (pdf.label == 0).sum()
-    roc = {r["threshold"]: (r["fpr"], r["tpr"]) for r in EV.roc_points(df, n_ranges=5).collect()}
-    pr = {r["threshold"]: (r["precision"], r["recall"]) for r in EV.pr_points(df, n_ranges=5).collect()}
+    roc = {r["threshold"]: (r["fpr"], r["tpr"]) for r in EV.roc_points(df, fineness=5).collect()}
+    pr = {r["threshold"]: (r["precision"], r["recall"]) for r in EV.pr_points(df, fineness=5).collect()}
     ap = 0.0
     for t in sorted(pdf.score.unique(), reverse=True):
         sel = pdf[pdf.score >= t]
@@ -88,7 +88,7 @@ def test_roc_pr_ap_brute_force(spark):
         assert roc[round(t, 6)] == (round(fp / N, 6), round(tp / P, 6))
         assert pr[round(t, 6)] == (round(tp / (tp + fp), 6), round(tp / P, 6))
         ap += ((pdf[pdf.score == t].label == 1).sum() / P) * (tp / (tp + fp))
-    assert EV.average_precision(df, n_ranges=5).first()["average_precision"] == round(ap, 6)
+    assert EV.average_precision(df, fineness=5).first()["average_precision"] == round(ap, 6)
 
 
 def test_nan_scores_rank_nowhere(spark):
@@ -101,6 +101,17 @@ def test_nan_scores_rank_nowhere(spark):
     assert not any(math.isnan(r["precision"]) for r in EV.pr_points(df).collect())
 
 
+def test_ranges_never_fall(spark):
+    r = random.Random(9)
+    keys = [r.uniform(0, 1) for _ in range(500)] + [2.0 ** -n for n in range(0, 1075, 7)] + [1 - 2.0 ** -n for n in range(1, 54)]
+    keys += [math.nextafter(x, 2) for x in keys] + [math.nextafter(x, -1) for x in keys] + [0.0, 1e300, -3.5, -1e-300, 7.0]
+    df = spark.createDataFrame([(k,) for k in keys], "k double")
+    for fineness in (1, 1024):
+        got = [r["r"] for r in df.select("k", key_range(F.col("k"), fineness).alias("r")).orderBy("k").collect()]
+        assert got == sorted(got)
+    assert len(set(got)) > 500
+
+
 def test_running_sums_brute_force(spark):
     rnd = random.Random(3)
     rows = [(float(k), rnd.randint(0, 9)) for k in rnd.sample(range(10000), 2000)]
@@ -108,7 +119,7 @@ def test_running_sums_brute_force(spark):
     pdf = pd.DataFrame(rows, columns=["k", "v"]).sort_values("k")
     pdf["cum"] = pdf.v.cumsum()
     for desc in (False, True):
-        out = {r["k"]: (r["cum_v"], r["tot_v"]) for r in running_sums(df, "k", ["v"], descending=desc, n_ranges=13).collect()}
+        out = {r["k"]: (r["cum_v"], r["tot_v"]) for r in running_sums(df, "k", ["v"], descending=desc, fineness=13).collect()}
         ref = pdf.sort_values("k", ascending=not desc).assign(c=lambda d: d.v.cumsum())
         for k, c in zip(ref.k, ref.c):
             assert out[k] == (c, pdf.v.sum())

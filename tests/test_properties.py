@@ -18,7 +18,7 @@ def brute_auc(data):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=rows, n_ranges=st.integers(1, 6))
-def test_auc_property(spark, data, n_ranges):
+@given(data=rows, fineness=st.integers(1, 6))
+def test_auc_property(spark, data, fineness):
     df = spark.createDataFrame(data, "label int, score double")
-    assert EV.auc(df, n_ranges=n_ranges, materialize=False).first()["auc"] == brute_auc(data)
+    assert EV.auc(df, fineness=fineness).first()["auc"] == brute_auc(data)
