@@ -64,7 +64,8 @@ def campaigns(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
 
     By default it is read from the materialized campaign table (written once
     per source snapshot, see ``materialize``), with column pruning at the
-    scan. ``live=True`` (or the session conf ``fundlens.campaigns.live``)
+    scan; until that is written, columns that need neither line items nor
+    documents are planned over the driver tables. ``live=True`` (or the session conf ``fundlens.campaigns.live``)
     plans the joins over the driver tables instead.
     """
     cols = list(columns) if columns else list(CAMPAIGN_COLUMNS)
@@ -73,7 +74,9 @@ def campaigns(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
         raise ValueError(f"unknown campaign columns: {sorted(unknown)}")
     if live is None:
         live = spark.conf.get("fundlens.campaigns.live", "false").lower() == "true"
-    if live:
+    # Columns of orders and customers alone don't wait for the first build of the whole table.
+    narrow = not set(cols) & (_LINE_COLS | {"blurb"})
+    if live or (narrow and _key(spark, sf_dir) not in _materialized):
         return campaigns_live(spark, sf_dir, cols)
     return spark.read.schema(CAMPAIGN_SCHEMA).parquet(materialize(spark, sf_dir)).select(*cols)
 
@@ -98,6 +101,10 @@ def snapshot(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(out)
 
 
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    return (spark.sparkContext.applicationId, sf_dir, snapshot(spark, sf_dir))
+
+
 def materialize(spark: SparkSession, sf_dir: str) -> str:
     """Write the campaigns table once per (application, source snapshot).
 
@@ -108,7 +115,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
     """
     from ..session import scratch_path
 
-    key = (spark.sparkContext.applicationId, sf_dir, snapshot(spark, sf_dir))
+    key = _key(spark, sf_dir)
     with _lock:
         path = _materialized.get(key)
         if path is None:

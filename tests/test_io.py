@@ -75,6 +75,14 @@ def test_csv_columns_by_header(spark):
         IO.read_campaigns_csv(spark, path, schema, required=["country"])
 
 
+def test_narrow_columns_do_not_build_the_table(spark, tmp_path):
+    for t in ("orders", "customer", "nation"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    got = campaigns(spark, str(tmp_path), ["id", "category", "country"])  # the other tables aren't there
+    want = campaigns(spark, SF_SMALL, ["id", "category", "country"])
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def test_changed_source_changes_what_is_kept(spark, tmp_path):
     from fundlens.plans import registry
 
