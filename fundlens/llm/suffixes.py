@@ -51,8 +51,8 @@ LENGTH = 200
 ANCHOR = 48
 #: Different texts around one anchor that are brought together in a task.
 MAX_GROUP = 10_000
-#: Bytes of text that are worked on at a time.
-CHUNK = 1 << 23
+#: Bytes of text, and contexts, that are worked on at a time (each byte takes some 60 bytes of arrays).
+CHUNK, CONTEXTS = 1 << 20, 4000
 _POSITION = 26  # bits of a position in a chunk, which is shorter than that
 
 
@@ -181,7 +181,7 @@ def _repeated(length: int):
     return sweep
 
 
-def _pieces(rows: pd.DataFrame, size: int = 2 * MAX_GROUP) -> Iterator[pd.DataFrame]:
+def _pieces(rows: pd.DataFrame, size: int = CONTEXTS) -> Iterator[pd.DataFrame]:
     """Sorted rows in pieces of about ``size`` that never part the rows of one anchor."""
     h, at = rows["h"].to_numpy(), 0
     while at < len(rows):
