@@ -2,8 +2,9 @@
 
 Texts are sequences of words. An item is found where a document's words differ
 from it by at most ``MAX_EDITS`` of its length in word edits. Windows have the size of
-an item and are placed where a few words in a row of the item occur: with that few
-edits, some run of the item's words is untouched, so no occurrence is missed.
+an item and are placed where its runs of a few words occur: each edit touches ``RUN`` of
+them at most, so of all its runs enough are left, near their places (those of
+fewer, or too far apart, can't be an occurrence).
 
 Windows and items are embedded by the random walk of Chakraborty, Goldenberg
 and Koucky: at each of 3n steps the walk copies the word that it stands on and
@@ -43,9 +44,9 @@ from .shared import written
 from .words import word_hashes
 
 #: Word edits per word of an item.
-MAX_EDITS = 0.15
-#: Words in a row that a window shares with its item, at most (fewer in short items).
-RUN = 4
+MAX_EDITS = 0.25
+#: Words of a run (two in short items).
+RUN = 3
 MIN_WORDS = 5
 #: Sampled steps of a key, and the share of occurrences with the most edits that the keys find.
 SAMPLED, RECALL = 3, 0.95
@@ -119,7 +120,7 @@ class Items:
 
     def __init__(self, ids: list, texts: list[str | None], recall: float = RECALL):
         words, begins = _words(texts)
-        self.ids, self.words, self.edits, self.runs = [], [], [], []
+        self.ids, self.words, self.edits, self.runs, self.least = [], [], [], [], []
         for i, a, b in zip(ids, begins[:-1].tolist(), begins[1:].tolist(), strict=True):
             n = b - a
             if n >= MIN_WORDS:
@@ -127,7 +128,9 @@ class Items:
                 self.ids.append(i)
                 self.words.append(words[a:b])
                 self.edits.append(k)
-                self.runs.append(min(RUN, (n - k) // (k + 1)))
+                run = next(r for r in range(RUN, 0, -1) if r == 1 or n - r + 1 - r * k >= 2)
+                self.runs.append(run)
+                self.least.append(max(1, n - run + 1 - run * k))  # runs that k edits leave
         # Runs of words: (hash, item, place), sorted, for each length.
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for size in sorted(set(self.runs)):
@@ -137,6 +140,8 @@ class Items:
             self.seeds[size] = (np.array([f[0] for f in found], dtype=_U), np.array([f[1] for f in found]),
                                 np.array([f[2] for f in found]))
         self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.band = 2 * np.array(self.edits, dtype=np.int64) + 1
+        self.least = np.array(self.least, dtype=np.int64)
         self.repeats = repetitions(recall)
         # Items by size, repetition and key.
         self.keys: dict[tuple[int, int, int], list[int]] = defaultdict(list)
@@ -163,10 +168,29 @@ class Items:
             count = np.searchsorted(hashes, runs[at], "right") - first
             seed = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             at = np.repeat(at, count)
-            text = text_of[at]
-            out.append(np.column_stack([text, np.maximum(at - place[seed], begins[text]), self.sizes[item[seed]]]))
+            own, text = item[seed], text_of[at]
+            out.append(self._placed(own, text, at - place[seed], begins))
         return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 3), dtype=np.int64)
 
+    def _placed(self, item: np.ndarray, text: np.ndarray, start: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """(text, first word, size) of seeds with enough others of their item close by."""
+        band = start // self.band[item]  # occurrences span two neighbouring bands at most
+        order = np.lexsort((band, text, item))
+        item, text, band, start = item[order], text[order], band[order], start[order]
+        new = np.ones(len(item), dtype=bool)
+        new[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (band[1:] != band[:-1])
+        first = np.flatnonzero(new)
+        count = np.diff(np.append(first, len(item)))
+        gi, gt, gb = item[first], text[first], band[first]
+        near = count.copy()
+        beside = np.flatnonzero((gi[1:] == gi[:-1]) & (gt[1:] == gt[:-1]) & (gb[1:] == gb[:-1] + 1))
+        near[beside] += count[beside + 1]
+        near[beside + 1] = np.maximum(near[beside + 1], count[beside + 1] + count[beside])
+        enough = near >= self.least[gi]
+        keep = np.repeat(enough, count)
+        item, text, start = item[keep], text[keep], start[keep]
+        return np.column_stack([text, np.maximum(start, begins[text]), self.sizes[item]])
+
     def find(self, texts) -> list[dict[int, tuple[int, int]]]:
         """For each text the items in it: (edits, first word of the window)."""
         texts = list(texts)
@@ -198,6 +222,8 @@ class Items:
                     near.add((w, i))
         for w, i in sorted(near):
             t, s, n = place[w]
+            if out[t].get(i, (n, 0))[0] == 0:
+                continue  # found without an edit further in front
             before, k = min(s, most), self.edits[i]
             edits, _ = edit_distance(self.words[i], around[w][max(before - k, 0):before + n + k])
             if edits <= k and (edits, s) < out[t].get(i, (n, 0)):
