@@ -7,10 +7,11 @@ from the start, of which the least id stands for all.
 1. Every class gets ``KEYS`` group keys, each of ``KEY_PARTS`` minimum hashes of its
    set. Two sets of similarity s share no key with probability
    (1 - s^KEY_PARTS)^KEYS, below 2e-12 at 75 percent, whatever their sizes.
-2. In each group and size class, all are paired with the least id (a star), and with
-   that of the next smaller size class. Pairs whose signatures allow the
-   similarity are verified on their texts; components of what links follow.
-   This ties a group of thousands of near copies together by thousands of pairs.
+2. In each group and size class, all are paired with one head (a star), and with
+   that of the next smaller size class: first with the least id, then, where a
+   group still holds several components, with a member that differs from group to group.
+   Pairs whose signatures allow the similarity are verified on their texts. This ties
+   a family of thousands of near copies together by a few pairs for each.
 3. In each group that still holds several components, the members are joined by
    a signature tree (see ``signature_trees``), whose nodes are dropped as soon as they hold one
    component or cannot overlap enough. What remains is verified too.
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +49,9 @@ SHINGLE = 5
 #: Group keys of a class, and minimum hashes that make up each.
 KEYS, KEY_PARTS = 50, 3
 #: 64-bit numbers of a signature's bitmap.
-BITMAP = 16
+BITMAP = 32
+#: Rounds of stars, with other heads each, before the trees.
+STAR_ROUNDS = 2
 #: Members of a group that are joined in one task, and pairs of one star that a task verifies.
 MAX_GROUP, MAX_STAR = 4096, 2000
 
@@ -182,32 +185,23 @@ def links(df: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFra
     members = written(keyed.join(several, "key", "left_semi").withColumn(
         "size_class", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / PERCENT) + 1e-9).cast("int")), "members")
 
-    # Stars of each group and size class.
-    heads = members.groupBy("key", "size_class").agg(F.min(F.struct("id", "n")).alias("head"))
-    near = heads.unionByName(heads.select("key", (F.col("size_class") + 1).alias("size_class"), "head"))
-    stars = (members.join(near, ["key", "size_class"]).filter("id <> head.id")
-             .filter(f"100 * least(n, head.n) >= {PERCENT} * greatest(n, head.n)")
-             .select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct())
     signs = classes.select("id", "n", "bits")
-    signed = (stars.join(signs.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-              .join(signs.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b"))
-
-    def allowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if not len(b):
-                continue
-            x, y = (trees.items(np.array(b[f"bits_{s}"].tolist(), dtype=np.int64).view(np.uint64),
-                                b[f"n_{s}"].to_numpy(dtype=np.int64), np.full(len(b), -1)) for s in "ab")
-            every = np.arange(len(b))
-            yield b.loc[trees.possible(x, every, y, every, PERCENT), ["a", "b"]]
-
-    tried = written(signed.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(allowed, pair), "stars")
-    first = written(_verified(tried, docs, id_type), "links")
+    labelled = members.withColumn("label", F.col("id"))
+    tried, found = None, None
+    for n_round in range(STAR_ROUNDS):
+        # First the least id heads all its groups, then a member that depends on the group.
+        rank = F.col("id") if not n_round else F.struct(F.xxhash64("id", "key"), F.col("id"))
+        stars = _stars(labelled, rank)
+        if tried is not None:
+            stars = stars.join(tried, ["a", "b"], "left_anti")
+        stars = written(_allowed(stars, signs, pair), "stars")
+        tried = stars if tried is None else tried.unionByName(stars)
+        new = written(_verified(stars, docs, id_type), "links")
+        found = new if found is None else found.unionByName(new)
+        labelled = (members.join(connected(found), "id", "left")
+                    .withColumn("label", F.coalesce("component", "id")).drop("component"))
 
     # Groups that hold several components by now.
-    labels = connected(first)
-    labelled = (members.select("key", "id", "n").join(labels, "id", "left")
-                .withColumn("label", F.coalesce("component", "id")).drop("component"))
     mixed_groups = (labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),
                                                 F.count(F.lit(1)).alias("c"))
                     .filter("x <> y").select("key", F.ceil(F.col("c") / MAX_GROUP).cast("int").alias("blocks")))
@@ -217,9 +211,39 @@ def links(df: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFra
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("block"),
                     (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "n", "label", "bits"))
-    second = (rows.repartition("key", "block").sortWithinPartitions("key", "block")
-              .mapInPandas(_joined(), pair).distinct().join(tried, ["a", "b"], "left_anti"))
-    return first.unionByName(written(_verified(written(second, "pairs"), docs, id_type), "links"))
+    rest = (rows.repartition("key", "block").sortWithinPartitions("key", "block")
+            .mapInPandas(_joined(), pair).distinct().join(tried, ["a", "b"], "left_anti"))
+    return found.unionByName(written(_verified(written(rest, "pairs"), docs, id_type), "links"))
+
+
+def _stars(labelled: DataFrame, rank: Column) -> DataFrame:
+    """Pairs (a, b) of each group's and size class's head, the first by rank, with the members of
+    that and the next larger class, where sizes allow a link and labels differ."""
+    heads = labelled.groupBy("key", "size_class").agg(
+        F.min(F.struct(rank.alias("rank"), "id", "n", "label")).alias("head")).select("key", "size_class", "head")
+    near = heads.unionByName(heads.select("key", (F.col("size_class") + 1).alias("size_class"), "head"))
+    return (labelled.join(near, ["key", "size_class"]).filter("label <> head.label")
+            .filter(f"100 * least(n, head.n) >= {PERCENT} * greatest(n, head.n)")
+            .select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct())
+
+
+def _allowed(pairs: DataFrame, signs: DataFrame, pair: T.StructType) -> DataFrame:
+    """The pairs whose signatures allow the similarity."""
+    signed = pairs
+    for s in "ab":
+        signed = signed.join(signs.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"),
+                                          F.col("bits").alias(f"bits_{s}")), s)
+
+    def allowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if not len(b):
+                continue
+            x, y = (trees.items(np.array(b[f"bits_{s}"].tolist(), dtype=np.int64).view(np.uint64),
+                                b[f"n_{s}"].to_numpy(dtype=np.int64), np.full(len(b), -1)) for s in "ab")
+            every = np.arange(len(b))
+            yield b.loc[trees.possible(x, every, y, every, PERCENT), ["a", "b"]]
+
+    return signed.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(allowed, pair)
 
 
 def join_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 
 FAN_OUT = 8
 #: Pairs of nodes that are looked at together.
-AT_ONCE = 1 << 16
+AT_ONCE = 1 << 14
 
 
 @dataclass

@@ -21,7 +21,7 @@ _POWERS = [np.ones(1, dtype=_U), np.ones(1, dtype=_U)]
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 2 * AT_ONCE)
         for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, base, dtype=_U)
             steps[0] = 1
@@ -29,14 +29,38 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+#: Bytes whose words are hashed at a time (longer texts by themselves); each takes some 30 of arrays.
+AT_ONCE = 1 << 19
+
+
 def word_hashes(texts: Iterable[bytes], spaces: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit hash of each word of all texts in order, and where each text's words begin.
+    """The 64-bit hash of each word of all texts in order, and where each text's words begin."""
+    words, begins, part, size, at = [], [np.zeros(1, dtype=np.int64)], [], 0, 0
+
+    def done() -> int:
+        own, starts = _word_hashes(part, spaces)
+        words.append(own)
+        begins.append(starts[1:] + at)
+        return at + len(own)
+
+    for text in texts:
+        if part and size + len(text) > AT_ONCE:
+            at = done()
+            part, size = [], 0
+        part.append(text)
+        size += len(text) + 1
+    if part:
+        at = done()
+    return (np.concatenate(words) if words else np.empty(0, dtype=_U)), np.concatenate(begins)
+
+
+def _word_hashes(texts: list[bytes], spaces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of some texts.
 
     A word's hash is the sum of its bytes' numbers times powers of a base, with
     exponents from its first byte on: the sum over places in the buffer, times
     the inverse power of the place of its first byte.
     """
-    texts = list(texts)
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     word = ~spaces[data]
     starts = np.flatnonzero(word[1:] > word[:-1]) + 1
