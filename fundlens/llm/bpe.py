@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Entries that a worker keeps of encoded pre-tokens, states and transitions.
+#: Entries that a worker keeps of states and of encoded pre-tokens, some 500 bytes each
+#: with their transitions. Fewer cost time, as what is forgotten is worked out again.
 MAX_CACHED = 500_000
 INF = float("inf")
 #: A space beside other white space, or at an end of the text.
@@ -255,14 +256,15 @@ class Codec:
         return self.decoder.decode(ids)
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
+_codecs: dict[tuple, Codec] = {}
 
 
-def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+def codec(path: str, pattern: str, max_cached: int = MAX_CACHED) -> Codec:
+    """One codec per worker process, vocabulary and size."""
+    key = (path, pattern, max_cached)
+    if key not in _codecs:
+        _codecs[key] = Codec(*key)
+    return _codecs[key]
 
 
 def encode_ids(text, path: str | None = None, pattern: str | None = None):
@@ -289,7 +291,7 @@ def decode_ids(ids, path: str | None = None, pattern: str | None = None):
     return decoded(ids)
 
 
-def encoding_digest(text, path: str | None = None, pattern: str | None = None):
+def encoding_digest(text, path: str | None = None, pattern: str | None = None, max_cached: int = MAX_CACHED):
     """Struct column ENCODED: a text is encoded, its ids decoded again, both digested.
 
     The ids themselves stay in the task, so a text of any length costs the
@@ -299,7 +301,7 @@ def encoding_digest(text, path: str | None = None, pattern: str | None = None):
 
     @F.pandas_udf(ENCODED)
     def digest(texts: pd.Series) -> pd.DataFrame:
-        c = codec(path, pattern)
+        c = codec(path, pattern, max_cached)
         rows = []
         for t in texts:
             ids = c.encode(t or "")

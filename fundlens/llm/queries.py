@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from . import bpe, decontaminate, html, jaccard, pii, quality, sharding, suffixes, token_counts, toxicity
 
 
+#: Rows and bytes of the batches that go to Python: a worker holds a few of them at a time.
+BATCH_ROWS, BATCH_BYTES = 2000, "8m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

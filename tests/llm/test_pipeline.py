@@ -24,7 +24,7 @@ def test_run_equals_brute_force(spark):
     all_words, at = decontaminate._words([t for _, t in left])
 
     def leaks(text):
-        return any(len(set(i) & set(text)) >= 0.8 * len(set(i))
+        return any(len(set(i) & set(text)) >= len(set(i)) - int(decontaminate.MAX_EDITS * len(i))
                    and brute.stretch_distance(i, text) <= int(decontaminate.MAX_EDITS * len(i)) for i in own)
 
     left = [x for n, x in enumerate(left) if not leaks(all_words[at[n]:at[n + 1]].tolist())]
