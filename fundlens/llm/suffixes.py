@@ -222,7 +222,8 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     runs = docs.mapInArrow(lambda batches: _runs(batches, length, arrow), runs_type)
 
     # Pass 1: runs whose anchor occurs again.
-    again = runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    # Written, so that both sides of the join are shuffles that Spark can split where one anchor is hot.
+    again = written(runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "anchors")
     left = written(runs.join(again, "h", "left_semi"), "runs")
     # Pass 2: texts of runs, with how often they occur and one place.
     texts = written(left.groupBy("h", "u").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("one")),
