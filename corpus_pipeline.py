@@ -33,7 +33,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (5): of each group of linked documents the least id stays."""
-    groups = jaccard.join_documents(docs)
+    groups = jaccard.join_documents(docs, counted=False)
     copies = groups.filter("doc_id <> component_id").select("doc_id")
     return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 

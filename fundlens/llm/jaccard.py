@@ -20,6 +20,12 @@ from the start, of which the least id stands for all.
 Verification brings the texts of a pair's two classes together by the least id of a
 star, with many members split over several salts.
 
+The links found so far tie components together; inside of one most pairs are not looked at.
+As every link lies within a component, ``link_counts`` then compares all pairs of classes of each
+component exactly. A component's members are dealt as pairs of blocks of ``MAX_BLOCK``
+members and ``MAX_TOKENS`` shingles on average to tasks of their own, which return a count for each
+member and never a row for each pair.
+
 Cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing (its component is its own id); with fewer than five words the whole
 sequence is one shingle; texts are read whole; repeated rows and equal texts
@@ -54,6 +60,8 @@ BITMAP = 32
 STAR_ROUNDS = 2
 #: Members of a group that are joined in one task, and pairs of one star that a task verifies.
 MAX_GROUP, MAX_STAR = 4096, 2000
+#: Members and shingles of a block of a component whose links are counted, and shingles compared at a time.
+MAX_BLOCK, MAX_TOKENS, COLUMNS = 512, 1 << 19, 2048
 
 _FACTOR = _constants(11, KEYS * KEY_PARTS)
 _SHIFT = _constants(12, KEYS * KEY_PARTS)
@@ -246,14 +254,95 @@ def _allowed(pairs: DataFrame, signs: DataFrame, pair: T.StructType) -> DataFram
     return signed.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(allowed, pair)
 
 
-def join_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id."""
+def similar(sets: list[np.ndarray], split: int | None = None) -> np.ndarray:
+    """Whether each two sets link: all with all, or with ``split`` those before that place with those from it on."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = count > 1  # a shingle of one set is common to none
+    place = np.cumsum(several) - 1
+    held = several[column]
+    row, column = row[held], place[column[held]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    a, b = (sizes, sizes) if split is None else (sizes[:split], sizes[split:])
+    common = np.zeros((len(a), len(b)), dtype=np.int64)
+    for at in range(0, int(several.sum()), COLUMNS):
+        begin, end = np.searchsorted(column, [at, at + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), dtype=np.float32)  # sums up to COLUMNS are exact
+        has[row[begin:end], column[begin:end] - at] = 1
+        x, y = (has, has) if split is None else (has[:split], has[split:])
+        common += (x @ y.T).astype(np.int64)
+    found = (common > 0) & (100 * common >= PERCENT * (a[:, None] + b[None, :] - common))
+    if split is None:
+        np.fill_diagonal(found, False)
+    return found
+
+
+def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by component, block, side and id; repeated rows count once."""
+    own, ids, sets, sides = None, [], [], []
+
+    def done() -> pd.DataFrame:
+        split = None if 0 in sides else sides.count(-1)  # a block with itself, or two
+        if len(ids) < 2 or split in (0, len(ids)):
+            return pd.DataFrame({"id": ids[:0], "n_links": []})
+        found = similar(sets, split)
+        counts = found.sum(axis=1) if split is None else np.concatenate([found.sum(axis=1), found.sum(axis=0)])
+        return pd.DataFrame({"id": ids, "n_links": counts})
+
+    for batch in batches:
+        for at in range(0, len(batch), 500):
+            b = batch.iloc[at:at + 500]
+            out = []
+            for c, block, side, i, s in zip(b["component"], b["block"], b["side"], b["id"],
+                                            shingle_sets(b["text"], SHINGLE), strict=True):
+                if (c, block) != own:
+                    out.append(done())
+                    own, ids, sets, sides = (c, block), [], [], []
+                if not ids or ids[-1] != i:
+                    ids.append(i)
+                    sets.append(s)
+                    sides.append(side)
+            if any(map(len, out)):
+                yield pd.concat([o for o in out if len(o)], ignore_index=True)
+    if len(last := done()):
+        yield last
+
+
+def link_counts(df: DataFrame, classes: DataFrame, components: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_links): the other classes that each class (id, n) of a component (id, component) links with."""
+    id_type = df.schema[id_col].dataType
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    members = written(classes.select("id", "n").join(components, "id"), "members")
+    blocks = members.groupBy("component").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / MAX_BLOCK, F.sum("n") / MAX_TOKENS)).cast("int").alias("blocks"))
+    roles = (members.join(blocks, "component")
+             .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("long"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
+             .select("component", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("block"),
+                     F.signum(F.col("own") - F.col("other")).cast("int").alias("side"), "id"))
+    wanted = id_filter(members.select("id"))
+    counts = (docs.filter(wanted(F.col("id"))).join(roles, "id")
+              .repartition("component", "block").sortWithinPartitions("component", "block", "side", "id")
+              .select("component", "block", "side", "id", "text")
+              .mapInPandas(_counts, T.StructType([T.StructField("id", id_type), T.StructField("n_links", T.LongType())])))
+    return counts.groupBy("id").agg(F.sum("n_links").alias("n_links"))
+
+
+def join_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
+    """One row per document: id, n_shingles, component_id, and if ``counted`` n_links: with how many
+    other classes (different sets) the document's own links."""
     sets = signatures(df, id_col, text_col)
     found = links(df, sets, id_col, text_col)
     components = connected(found)
     classes = sets.filter("n > 0").groupBy("content", "n").agg(F.min("id").alias("id"))
-    named = classes.join(components, "id", "left").select(
-        "content", "n", F.coalesce("component", "id").alias("component_id"))
-    return (sets.select("id", "content", "n").join(named, ["content", "n"], "left")
+    named = classes.join(components, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
+    if counted:
+        named = named.join(link_counts(df, classes, components, id_col, text_col), "id", "left")
+    more = ["n_links"] if counted else []
+    return (sets.select("id", "content", "n").join(named.select("content", "n", "component_id", *more),
+                                                   ["content", "n"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "id").alias("component_id")))
+                    F.coalesce("component_id", "id").alias("component_id"),
+                    *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in more)))

@@ -71,3 +71,31 @@ def test_cases(edges, empty):
     want = brute.components(docs)
     assert got == sorted((i, *want[i]) for i, _ in docs)
     assert rows(jaccard.join_documents(empty)) == []
+
+
+def link_counts(docs):
+    """By definition: of each text the other sets that its own links with."""
+    sets = {i: brute.shingles(t) for i, t in docs}
+    every = set(sets.values()) - {frozenset()}
+    return {i: sum(s != x and 100 * len(s & x) >= 75 * len(s | x) for x in every) if s else 0 for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("limits", [(512, 1 << 19, 2048), (3, 100, 7)])
+def test_links_within_components_are_counted(spark, edges, empty, monkeypatch, limits):
+    for name, value in zip(("MAX_BLOCK", "MAX_TOKENS", "COLUMNS"), limits):
+        monkeypatch.setattr(jaccard, name, value)
+    r, docs = random.Random(6), []
+    for family in range(3):
+        base = [f"{family}w{n}" for n in range(120)]
+        for _ in range(14):  # a chain and its shortcuts, copies included
+            docs.append((len(docs), " ".join(base[r.randrange(30):120 - r.randrange(30)])))
+    docs += [(len(docs), docs[3][1]), (len(docs) + 1, docs[3][1].upper()), (3, docs[3][1])]
+    want = link_counts(docs)
+    assert max(want.values()) > 2 and 0 < sum(want.values()) < 14 * 13 * 3
+    got = jaccard.join_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.n_links) for x in got) == sorted((i, want[i]) for i, _ in docs)
+    cases = [(x.doc_id, x.text) for x in edges.collect()]
+    want = link_counts(cases)
+    assert sorted((x.doc_id, x.n_links) for x in jaccard.join_documents(edges).collect()) == sorted(
+        (i, want[i]) for i, _ in cases)
+    assert jaccard.join_documents(empty).columns[-1] == "n_links" and jaccard.join_documents(empty).count() == 0
