@@ -85,13 +85,13 @@ def partition_pruned_count(spark, sf):
     return df.filter(F.col("country") == PRUNED_COUNTRY).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-# A country's files follow its rows: one up to IO.ROWS_PER_FILE of them.
+# A country's files follow its rows: one up to IO.ROWS_PER_FILE of them. The query gives the count of
+# every country; the SQL has none above that (NULL), where it can't know the layout.
 @register("partition_inventory", with_campaigns(f"""
 SELECT country, CAST(CASE WHEN COUNT(*) <= {IO.ROWS_PER_FILE} THEN 1 END AS BIGINT) AS n_files, COUNT(*) AS n_rows
 FROM store GROUP BY country""", STORE_SQL), S)
 def partition_inventory(spark, sf):
-    found = IO.partition_inventory(spark, campaign_store(spark, sf), schema=STORE_SCHEMA)
-    return found.withColumn("n_files", F.when(F.col("n_rows") <= IO.ROWS_PER_FILE, F.col("n_files")))
+    return IO.partition_inventory(spark, campaign_store(spark, sf), schema=STORE_SCHEMA)
 
 
 @register("features_write", with_campaigns(

@@ -62,6 +62,18 @@ def test_files_follow_rows_and_not_tasks(spark):
     assert 4 <= inv["hot"]["n_files"] <= 9  # 2000 rows, in files of at most 500
 
 
+def test_inventory_query_counts_files_of_large_countries(spark, monkeypatch):
+    from fundlens.plans import q_io
+
+    df = q_io.enriched_store_df(spark, SF_SMALL)
+    path = IO.write_partitioned(df, scratch_path(spark, "large"), max_records_per_file=3)
+    monkeypatch.setattr(IO, "ROWS_PER_FILE", 3)
+    monkeypatch.setattr(q_io, "campaign_store", lambda spark, sf: path)
+    rows = q_io.partition_inventory(spark, SF_SMALL).collect()
+    assert any(r["n_rows"] > 3 for r in rows)
+    assert all(r["n_files"] is not None and r["n_files"] >= -(-r["n_rows"] // 3) for r in rows)
+
+
 def test_csv_columns_by_header(spark):
     path = scratch_path(spark, "reordered")
     spark.sparkContext.parallelize(["goal,id,extra,category\n7.5,3,x,Art\noops,4,y,Film\n"], 1).saveAsTextFile(path)
