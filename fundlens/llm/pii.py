@@ -6,6 +6,10 @@ Further kinds (iban, ssn, bank card numbers of 13 digits, local phone numbers)
 get a score: what the pattern alone is worth, plus what a valid checksum and a
 nearby context word add. They are kept from ``MIN_SCORE`` on.
 
+An IBAN ends where its country's length is reached, at a border of its groups, so a word or number
+after it isn't taken with it; else its longest run counts, and for a country without a listed length every border
+(the longest first) that mod 97 confirms. A card number of 13 digits ends at its own last group, whatever follows.
+
 Cases: a null or empty text has no spans; texts are read whole, in time linear
 in their length; equal rows give equal results; an empty table gives an empty
 result; other columns are passed over. Spans are code points, end exclusive.
@@ -43,6 +47,15 @@ CONTEXT_WORDS = {
     "tel": ("tel", "phone", "call", "mobile", "fax", "telefon", "telephone", "telefono"),
 }
 
+# Characters of an IBAN by country (ISO 13616 registry).
+IBAN_LENGTH = {
+    code: n for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+        33: "RU"}.items() for code in codes.split()}
+
 Span = tuple[int, str, int, float]
 
 _EMAIL_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -51,9 +64,12 @@ _EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_BORDER = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
-_CARD13 = re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12}(?![ -]?[0-9])")
+_CARD13 = re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12}(?![0-9])")
+_MORE = re.compile(r"[ -][0-9]")
 _TEL = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _DIGITS = re.compile(r"[^0-9]+")
 _CONTEXT = re.compile(r"(?<![a-z])(?:" + "|".join(w for ws in CONTEXT_WORDS.values() for w in ws) + r")(?![a-z])")
@@ -105,11 +121,48 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Runs that mod 97 confirms, each up to the first of its possible ends."""
+    at = 0
+    while head := _IBAN_HEAD.search(text, at):
+        start, at = head.start(), head.end()
+        if not (run := _IBAN.match(text, start)):
+            continue
+        ends = [(e, e - start - text.count(" ", start, e)) for e in
+                (m.start() for m in _BORDER.finditer(text, start + 15, run.end()))]
+        if run.end() < len(text) and re.match("[A-Za-z0-9]", text[run.end()]):
+            ends = [x for x in ends if x[0] < run.end()]
+        ends = [x for x in reversed(ends) if x[1] >= 15]
+        length = IBAN_LENGTH.get(text[start:start + 2])
+        if length:
+            ends = [x for x in ends if x[1] == length] + ends[:1]
+        for end, _ in ends:
+            if mod97(text[start:end]):
+                yield start, end
+                at = end
+                break
+
+
+def _cards13(text: str) -> Iterator[tuple[int, int]]:
+    """Confirmed numbers, those that nothing follows first; none overlaps an earlier one."""
+    found, at = [], 0
+    while m := _CARD13.search(text, at):
+        if luhn(_DIGITS.sub("", m[0])):
+            found.append((bool(_MORE.match(text, m.end())), m.start(), m.end()))
+        at = m.start() + 1
+    taken, used = [], set()
+    for _, start, end in sorted(found):
+        if used.isdisjoint(range(start, end)):
+            taken.append((start, end))
+            used.update(range(start, end))
+    yield from sorted(taken)
+
+
 def extra_spans(text: str) -> list[Span]:
     """Kinds beyond the base, with their scores."""
-    proposed = [(m.start(), "iban", m.end(), mod97(m[0])) for m in _IBAN.finditer(text)]
+    proposed = [(a, "iban", b, True) for a, b in _ibans(text)]
     proposed += [(m.start(), "ssn", m.end(), False) for m in _SSN.finditer(text)]
-    proposed += [(m.start(), "card13", m.end(), luhn(_DIGITS.sub("", m[0]))) for m in _CARD13.finditer(text)]
+    proposed += [(a, "card13", b, True) for a, b in _cards13(text)]
     proposed += [(m.start(), "tel", m.end(), False) for m in _TEL.finditer(text)]
     found = []
     for start, kind, end, valid in proposed:

@@ -43,6 +43,20 @@ def test_context_and_checksum_decide():
     assert kinds("tel 555-123-4567") == ["tel"] and kinds("lot 555-123-4567") == []
 
 
+def test_what_follows_a_number_is_not_taken_with_it():
+    for text, want in (("IBAN DE89370400440532013000 BIC COBADEFF", "DE89370400440532013000"),
+                       ("DE89 3704 0044 0532 0130 00 EUR 50", "DE89 3704 0044 0532 0130 00"),
+                       ("AB12 GB82 WEST 1234 5698 7654 32 DE89370400440532013000.", "GB82 WEST 1234 5698 7654 32"),
+                       ("card 4222222222222 12/25", "4222222222222"),
+                       ("credit card 4222 2222 2222 2 09 27", "4222 2222 2222 2")):
+        spans = [(k, text[a:b]) for a, k, b, _ in pii.find_spans(text)[1] if k in ("iban", "card13")]
+        assert spans[0] == ("card13" if "card" in text else "iban", want) and len(spans) == 1 + text.startswith("AB12")
+    assert pii.redact("DE89 3704 0044 0532 0130 00 EUR 50") == "[IBAN] EUR 50"
+    assert kinds("card 4222222222223 12/25") == [] and kinds("DE89 3704 0044 0532 0130 01 EUR 50") == []
+    for text in ("AB12 " * 40_000, "1 " * 100_000, "DE89 3704 0044 0532 0130 00 " * 5000):
+        pii.find_spans(text)
+
+
 def test_redaction():
     assert pii.redact("mail a@b.org or +1 (555) 010-9999!") == "mail [EMAIL] or [PHONE]!"
     assert pii.redact(None) is None and pii.redact("") == "" and pii.redact("clean") == "clean"
