@@ -40,7 +40,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination (3): documents that hold a benchmark item go."""
-    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

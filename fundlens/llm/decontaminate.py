@@ -19,16 +19,19 @@ Items are broadcast in blocks of ``BLOCK_BYTES`` at most on average; a larger be
 takes one pass over the documents for each block.
 
 Cases: a null or empty text holds no item; texts are read whole; a
-null item, or one of fewer than ``MIN_WORDS`` words, is not searched for; equal
+null item, or one without words, is not searched for; one of fewer than ``MIN_WORDS`` words is
+searched for as a run of exactly these words if ``short_items`` is set, as the query and the pipeline do; equal
 items are each found; of equal distances the first place is given; repeated
 documents each have rows of their own; empty tables give an empty result; other columns are
 passed over. Words are lower-cased runs of ASCII letters and digits and of all
-characters beyond ASCII.
+characters beyond ASCII; in scripts without spaces (``_UNSPACED``) each character is a word, and
+their punctuation separates words.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -59,8 +62,21 @@ SEPARATORS = np.zeros(256, dtype=bool)
 SEPARATORS[:128] = [not chr(c).isalnum() for c in range(128)]
 
 
+# East Asian punctuation, and characters of Chinese, Japanese, Yi, Thai, Lao, Tibetan, Burmese, Khmer and Tai.
+_PUNCTUATION = re.compile("[\u3000-\u3004\u3008-\u3020\u3030\u303d\u30a0\u30fb"
+                          "\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]+")
+_UNSPACED = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u3005-\u3007\u3021-\u302f"
+                       "\u3031-\u303c\u3041-\u30ff\u3100-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf"
+                       "\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af])")
+
+
+def _spaced(text: str | None) -> str:
+    text = (text or "").lower()
+    return text if text.isascii() else _UNSPACED.sub(r" \1 ", _PUNCTUATION.sub(" ", text))
+
+
 def _words(texts) -> tuple[np.ndarray, np.ndarray]:
-    return word_hashes([(t or "").lower().encode("utf-8", "surrogatepass") for t in texts], SEPARATORS)
+    return word_hashes([_spaced(t).encode("utf-8", "surrogatepass") for t in texts], SEPARATORS)
 
 
 def _runs(words: np.ndarray, size: int) -> np.ndarray:
@@ -118,8 +134,9 @@ def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
 class Items:
     """Benchmark items with what is looked up of them."""
 
-    def __init__(self, ids: list, texts: list[str | None], recall: float = RECALL):
+    def __init__(self, ids: list, texts: list[str | None], recall: float = RECALL, short_items: bool = False):
         words, begins = _words(texts)
+        few: dict[int, list[tuple[int, object]]] = defaultdict(list)
         self.ids, self.words, self.edits, self.runs, self.least = [], [], [], [], []
         for i, a, b in zip(ids, begins[:-1].tolist(), begins[1:].tolist(), strict=True):
             n = b - a
@@ -131,6 +148,14 @@ class Items:
                 run = next(r for r in range(RUN, 0, -1) if r == 1 or n - r + 1 - r * k >= 2)
                 self.runs.append(run)
                 self.least.append(max(1, n - run + 1 - run * k))  # runs that k edits leave
+            elif n and short_items:
+                few[n].append((int(_runs(words[a:b], n)[0]), i))
+        # Items of few words after the others: (hash, item), sorted, for each length.
+        self.few: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size, rows in few.items():
+            rows.sort(key=lambda r: r[0])
+            self.few[size] = (np.array([h for h, _ in rows], dtype=_U), len(self.ids) + np.arange(len(rows)))
+            self.ids += [i for _, i in rows]
         # Runs of words: (hash, item, place), sorted, for each length.
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for size in sorted(set(self.runs)):
@@ -191,17 +216,35 @@ class Items:
         item, text, start = item[keep], text[keep], start[keep]
         return np.column_stack([text, np.maximum(start, begins[text]), self.sizes[item]])
 
+    def exact(self, words: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(text, item, word) of the items of few words, at their first place in a text."""
+        text_of = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+        for size, (hashes, item) in self.few.items():
+            runs = _runs(words, size)
+            if not len(runs):
+                continue
+            first = np.searchsorted(hashes, runs, "left")
+            hit = (hashes[np.minimum(first, len(hashes) - 1)] == runs) & (text_of[:len(runs)] == text_of[size - 1:])
+            at = np.flatnonzero(hit)
+            _, once = np.unique(np.column_stack([text_of[at], first[at]]), axis=0, return_index=True)
+            for a in at[once].tolist():
+                t, f = int(text_of[a]), int(first[a])
+                for n in item[f:int(np.searchsorted(hashes, hashes[f], "right"))].tolist():
+                    yield t, n, a - int(begins[t])
+
     def find(self, texts) -> list[dict[int, tuple[int, int]]]:
         """For each text the items in it: (edits, first word of the window)."""
         texts = list(texts)
         out: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
         if not self.ids:
             return out
-        most = max(self.edits)
+        most = max(self.edits, default=0)
         place: list[tuple[int, int, int]] = []  # text, first word, size
         around: list[np.ndarray] = []  # a window's words and those next to it
         for first in range(0, len(texts), AT_ONCE):
             words, begins = _words(texts[first:first + AT_ONCE])
+            for t, i, s in self.exact(words, begins):
+                out[first + t][i] = (0, s)
             for t, s, n in self.windows(words, begins).tolist():
                 place.append((first + t, s - int(begins[t]), n))
                 around.append(words[max(int(begins[t]), s - most):min(int(begins[t + 1]), s + n + most)].copy())
@@ -230,18 +273,20 @@ class Items:
                 out[t][i] = (edits, s)
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[Items]:
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int,
+            short_items: bool) -> Iterator[Items]:
     """The items, a block at a time."""
     items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).filter("t is not null")
     total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for block in range(n):
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == block).orderBy("i", "t").collect()
-        yield Items([r["i"] for r in rows], [r["t"] for r in rows])
+        yield Items([r["i"] for r in rows], [r["t"] for r in rows], short_items=short_items)
 
 
 def find_items(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+               short_items: bool = False) -> DataFrame:
     """One row per document and item in it: id, item, edits, word_at (the window's first word)."""
     out_type = T.StructType([T.StructField("id", df.schema[id_col].dataType),
                              T.StructField("item", benchmark.schema[item_col].dataType),
@@ -249,7 +294,7 @@ def find_items(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sc = df.sparkSession.sparkContext
     parts: list[DataFrame] = []
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
+    for items in _blocks(benchmark, item_col, item_text_col, block_bytes, short_items):
         held = sc.broadcast(items)
 
         def search(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
@@ -276,10 +321,11 @@ def _holds(items: Broadcast):
 
 
 def without_items(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+                  short_items: bool = False) -> DataFrame:
     """The rows in whose text no item of the benchmark occurs."""
     sc, out = df.sparkSession.sparkContext, df
-    for n, items in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes)):
+    for n, items in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes, short_items)):
         if n:  # of several blocks, one at a time is held
             out = written(out, "clean")
         out = out.filter(~_holds(sc.broadcast(items))(F.col(text_col)))

@@ -81,3 +81,20 @@ def test_cases(spark, edges, empty):
     assert got == [(6, 4, 0), (6, 6, 0), (7, 4, 0), (7, 4, 0), (7, 6, 0), (7, 6, 0), (10, 5, 0)]
     assert D.find_items(empty, items).count() == 0 and D.find_items(edges, items.limit(0)).count() == 0
     assert D.without_items(edges, items.limit(0)).count() == edges.count()
+
+
+def test_short_and_unspaced_items(spark, tmp_path):
+    from fundlens.llm.queries import queries
+
+    items = [(1, "two Three"), (2, "one"), (3, "two, three"), (4, "四 五"), (5, "今天天气很好，我们去公园散步吧。"), (6, "..."), (7, None),
+             (8, "a b c d")]
+    docs = [(1, "One two three"), (2, "two"), (3, "two four three"), (4, "x四五六y"), (5, "他说今天天气很好我们去公园散步吧然后走了"),
+            (6, "今天天气很糟，我们去公园散步吧"), (7, None), (8, "a b c"), (9, "d")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(map(tuple, queries()["op3_benchmark_leaks"](spark, str(tmp_path)).collect()))
+    assert [r[:3] for r in got] == [(1, 1, 0), (1, 2, 0), (1, 3, 0), (4, 4, 0), (5, 5, 0), (6, 5, 1)]
+    assert [r[3] for r in got[:4]] == [1, 0, 1, 1]
+    benchmark = spark.read.parquet(f"{tmp_path}/benchmark.parquet")
+    left = D.without_items(spark.read.parquet(f"{tmp_path}/documents.parquet"), benchmark, short_items=True)
+    assert sorted(r.doc_id for r in left.collect()) == [2, 3, 7, 8, 9]
