@@ -6,12 +6,15 @@ path is its text per block, weighted by its punctuation per block (prose has
 both, menus have neither). Ratios are smoothed along the page by a Gaussian
 over neighbouring blocks, the smoothed text and punctuation ratios are
 fused by their product, and paths above a share of the page's deviation are
-content. The content node is the article-like element (or else the deepest
-common node of the content paths) that holds the most fused score; all its
+content. The content node is the article-like element that holds the most fused score, or else the
+deepest node that holds ``MOST`` of it, several content blocks (if there are several), and every block of the
+content paths that it has any of; paths with no block in it are outliers. All its
 blocks belong to the text, so a short paragraph in an article is not lost.
 
 Never content, by tag or by words in class, id or role: menus, headers and
-footers of the page, sidebars, notices, adverts, forms, scripts, styles, reader comments.
+footers of the page, sidebars, notices, adverts, forms, scripts, styles, reader comments. An id is
+not judged where it names a part of the text: of a heading, within an <article>, or of a section within
+an article-like element.
 
 Cases: a null or empty page has an empty text; pages are read whole, in time
 linear in their length; broken markup (unclosed or stray tags, comments and
@@ -24,6 +27,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -52,6 +56,9 @@ ARTICLE_TAGS = frozenset(("article", "main"))
 ARTICLE_WORDS = frozenset("article main content post story entry".split())
 #: Width of the smoothing over neighbouring blocks, and the share of the deviation that content paths exceed.
 SIGMA, THRESHOLD = 1.0, 0.5
+#: Share of the content paths' score that the content node holds.
+MOST = 0.8
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -69,22 +76,29 @@ class Node:
     def __init__(self, tag: str, parent: Node | None, attributes: str):
         self.tag, self.parent = tag, parent
         words: set[str] = set()
+        ids: set[str] = set()
         hidden = False
         if attributes and "=" in attributes or "hidden" in attributes:
             for name, *values in _ATTR.findall(attributes):
                 if name.lower() in ("class", "id", "role"):
-                    words.update(_WORD.findall("".join(values).lower()))
+                    (ids if name.lower() == "id" else words).update(_WORD.findall("".join(values).lower()))
                 hidden |= name.lower() == "hidden"
         self.path = (parent.path if parent else "") + "/" + tag
-        self.article = tag in ARTICLE_TAGS or bool(words & ARTICLE_WORDS) and tag in ("div", "section")
+        self.article = tag in ARTICLE_TAGS or bool((words | ids) & ARTICLE_WORDS) and tag in ("div", "section")
         # A header within an article heads the article, not the page.
         own = tag in SKIPPED and not (tag == "header" and parent is not None and parent.within_article())
+        if ids & BOILERPLATE and not (tag in HEADINGS or parent is not None and parent.names_parts(tag)):
+            words |= ids
         boilerplate = bool(words & BOILERPLATE) and tag not in ("html", "body") and tag not in ARTICLE_TAGS
         self.skipped = bool(parent and parent.skipped) or own or hidden or boilerplate
 
     def within_article(self) -> bool:
         return any(n.tag in ARTICLE_TAGS for n in self.line())
 
+    def names_parts(self, tag: str) -> bool:
+        """Whether the id of such an element in here names a part of the article."""
+        return any(n.tag == "article" or tag == "section" and n.article for n in self.line())
+
     def line(self):
         node: Node | None = self
         while node is not None:
@@ -199,10 +213,19 @@ def main_text(page: str | None) -> str:
     # What each element holds of the content paths' score and text.
     held: dict[int, float] = {}
     nodes: dict[int, Node] = {}
+    of_path = Counter(n.path for n, _ in content)
+    inside_of: Counter[int] = Counter()  # content blocks in an element,
+    wanted: Counter[int] = Counter()  # and all those of the paths that it has any of
+    touched: set[tuple[int, str]] = set()
     for node, t in content:
         for n in node.line():
-            held[id(n)] = held.get(id(n), 0.0) + scores[node.path] * len(t)
-            nodes[id(n)] = n
+            k = id(n)
+            held[k] = held.get(k, 0.0) + scores[node.path] * len(t)
+            nodes[k] = n
+            inside_of[k] += 1
+            if (k, node.path) not in touched:
+                touched.add((k, node.path))
+                wanted[k] += of_path[node.path]
     articles = [k for k, n in nodes.items() if n.article]
     if articles:
         root = nodes[max(articles, key=lambda k: (held[k], -len(nodes[k].path)))]
@@ -210,7 +233,8 @@ def main_text(page: str | None) -> str:
         tops = [n for n in nodes.values() if n.tag == root.tag and n.parent is root.parent and n.article]
     else:
         most = max(held.values())
-        tops = [max((n for k, n in nodes.items() if held[k] >= 0.8 * most), key=lambda n: len(n.path))]
+        tops = [max((n for k, n in nodes.items() if held[k] >= MOST * most and inside_of[k] == wanted[k]
+                     and inside_of[k] >= min(2, len(content))), key=lambda n: len(n.path))]
     inside = {id(n) for n in tops}
     return " ".join(t for n, t in found if any(id(x) in inside for x in n.line()))
 

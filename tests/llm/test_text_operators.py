@@ -50,6 +50,25 @@ def test_pages_without_article_tag(kind):
     assert html.main_text(PAGE % kind) == MAIN
 
 
+def test_unmarked_pages_keep_short_paragraphs():
+    long, short = "Prose, of some kind, goes on. " * 34, ("A shorter one, to be kept, with care. " * 3).strip()
+    want = " ".join([long.strip(), short, short])
+    for page in (f"<div id=page><p>{long}</p><p>{short}</p><p>{short}</p></div>",
+                 f"<div id=page><div><p>{long}</p></div><div><p>{short}</p></div><div><p>{short}</p></div></div>",
+                 f"<div id=page><p>{long}</p><ul><li>{short}</li><li>{short}</li></ul></div>"):
+        assert html.main_text(f"<html><body><div class=nav><a>Menu</a></div>{page}</body></html>") == want
+    assert html.main_text(f"<div><p>{short}</p></div>") == short
+
+
+@pytest.mark.parametrize("tag", ["article", "div class=content", "div"])
+def test_ids_of_parts_are_no_boilerplate(tag):
+    prose = "Some prose, as it is, goes on."
+    page = (f"<{tag}><h2 id='related-work'>Related work</h2><p>{prose}</p><h2 id='search-results'>Results</h2><p>{prose}</p>"
+            f"<section id='{'discussion' if tag != 'div' else 'x'}'><p>{prose}</p></section>"
+            f"<div class='related'><p>{prose}</p></div></{tag.split()[0]}><div id=comments><p>{prose}</p></div>")
+    assert html.main_text(page) == f"Related work {prose} Results {prose} {prose}"
+
+
 def test_broken_pages():
     for page in (None, "", "   ", "<", "<p", "<!--", "&#xZZ;", "</p></p>", "<script>x", "<p class='a"):
         assert isinstance(html.main_text(page), str)
