@@ -89,7 +89,7 @@ def test_csv_columns_by_header(spark):
 
 def test_narrow_columns_do_not_build_the_table(spark, tmp_path):
     for t in ("orders", "customer", "nation"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
     got = campaigns(spark, str(tmp_path), ["id", "category", "country"])  # the other tables aren't there
     want = campaigns(spark, SF_SMALL, ["id", "category", "country"])
     assert sorted(got.collect()) == sorted(want.collect())
@@ -99,7 +99,7 @@ def test_changed_source_changes_what_is_kept(spark, tmp_path):
     from fundlens.plans import registry
 
     for t in ("orders", "lineitem", "customer", "nation", "region", "documents"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
     scan = registry.queries()["parquet_scan"]
     before = scan(spark, str(tmp_path)).count()
     half = spark.read.parquet(f"{SF_SMALL}/orders.parquet").filter("o_orderkey % 2 = 0").toPandas()
