@@ -12,7 +12,7 @@ after it isn't taken with it; else its longest run counts, and for a country wit
 
 Cases: a null or empty text has no spans; texts are read whole, in time linear
 in their length; equal rows give equal results; an empty table gives an empty
-result; other columns are passed over. Spans are code points, end exclusive.
+result; other columns are passed over; a null id is returned as any other. Spans are code points, end exclusive.
 Spans of different kinds may overlap, spans of one kind never do.
 """
 
@@ -109,7 +109,8 @@ def base_spans(text: str) -> list[Span]:
     """The base kinds, by start, then kind as listed."""
     found = [(a, "email", b, 1.0) for a, b in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups()):
+        parts = [p.lstrip("0") for p in m.groups()]  # zeros without end are still a part
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             found.append((m.start(), "ip", m.end(), 1.0))
     for m in _CARD.finditer(text):
         if 14 <= m.end() - m.start() <= 38 and 14 <= len(d := _DIGITS.sub("", m[0])) <= 19 and luhn(d):
@@ -215,7 +216,7 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, kind, end, _ in spans)
 
 
-FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_extra long"
+FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_extra long, n_spans long"
 
 
 def pii_columns(text):
@@ -228,7 +229,8 @@ def pii_columns(text):
             base, spans = find_spans(t)
             kinds = [s[1] for s in base]
             rows.append((*(kinds.count(k) for k in BASE_KINDS),
-                         hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans), len(spans) - len(base)))
+                         hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans), len(spans) - len(base),
+                         len(spans)))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in FOUND.split(", ")])
 
     return found(text)

@@ -39,7 +39,7 @@ def base_pii(text):
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t):
         out.append((m.start(), 0, f"email:{m.start()}:{m.end()}"))
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
-        if all(int(p) <= 255 for p in m[0].split(".")):
+        if all(re.fullmatch("0*([0-9]{0,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])", p) for p in m[0].split(".")):
             out.append((m.start(), 1, f"ip:{m.start()}:{m.end()}"))
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
         d = re.sub("[^0-9]", "", m[0])
