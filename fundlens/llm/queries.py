@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, jaccard, pii, quality, sharding, suffixes, token_counts, toxicity
+from . import (bpe, decontaminate, divergence, html, jaccard, pii, prefix_trie, quality, sharding, simhash, suffixes,
+               token_counts, toxicity)
 
 
 #: Rows and bytes of the batches that go to Python: a worker holds a few of them at a time.
@@ -59,6 +60,18 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_pii": op2_pii,
@@ -70,10 +83,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_shards": op9_shards,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_simhash": op13_simhash,
 }
 
 #: Where SQL can express the operator's result.
-SQL: dict[str, str] = {"op7_quality": quality.SQL}
+SQL: dict[str, str] = {
+    "op7_quality": quality.SQL,
+    "op11_conversation_trie": prefix_trie.SQL,
+    "op12_source_divergence": divergence.SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,8 +2,11 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 SPACE = "\x20\x09-\x0d"
 
 
@@ -101,3 +104,82 @@ def stretch_distance(item, words):
             row.append(min(before[k] + 1, row[-1] + 1, before[k - 1] + (x != y)))
         before = row
     return min(before)
+
+
+def trie(rows):
+    """(conv_id, turn, role, text) rows to the sorted rows of the nodes of all rebuilt conversations."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            key = hashlib.md5(f"{len(role or '')}:{role or ''}{text or ''}".encode()).hexdigest()
+            own[c].append((turn is not None, turn or 0, key, role or "", text or ""))
+    for turns in own.values():
+        turns.sort()
+    paths = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - c % 100
+        paths[c] = tuple(t[3:] for t in own.get(base, [])[:h] + own[c][h:])
+    members = defaultdict(list)
+    for c in sorted(paths):
+        for d in range(len(paths[c]) + 1):
+            members[paths[c][:d]].append(c)
+    children = defaultdict(set)
+    for node in members:
+        if node:
+            children[node[:-1]].add(node)
+    leaves, saved = Counter(), Counter()
+    for node, ids in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in children
+            saved[node[:d]] += (len(ids) - 1) * len(node[-1][1]) if node else 0
+    return sorted((ids[0], len(node), members[node[:-1]][0] if node else None, len(ids), len(children[node]) if node in children else 0,
+                   leaves[node], saved[node], sha(",".join(str(c) for c in ids if paths[c] == node)))
+                  for node, ids in list(members.items()))
+
+
+def divergence(docs, top=200):
+    """(lang, source, text) rows to the sorted rows of pairs and terms."""
+    count, found = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, text in docs:
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        count[lang or "", source or ""].update(terms)
+        found[lang or ""].update(set(terms))
+    out = []
+    for lang in found:
+        kept = [t for t, n in found[lang].items() if n >= 3]
+        sources = [s for x, s in count if x == lang]
+        total = {s: sum(count[lang, s][t] for t in kept) for s in sources}
+        share = {s: {t: 1 + 10**9 * (count[lang, s][t] + 1) // (total[s] + len(kept)) for t in kept} for s in sources}
+        whole = {t: 1 + 10**9 * (sum(count[lang, s][t] for s in sources) + 1) // (sum(total.values()) + len(kept)) for t in kept}
+        far = lambda p, q: (p - q) ** 2 // q
+        for s in sources:
+            pair = [(-sum(far(share[s][t], share[x][t]) for t in kept), x.encode()) for x in sources if x != s]
+            term = [(-far(share[s][t], whole[t]), t.encode()) for t in kept if count[lang, s][t] and share[s][t] > whole[t]]
+            for part, rows in (("pair", sorted(pair)), ("term", sorted(term)[:top])):
+                out += [(lang, s, part, x.decode(), -v, n + 1) for n, (v, x) in enumerate(rows)]
+    return sorted(out)
+
+
+def simhash(docs, most=3):
+    """(id, text) pairs to {id: (fingerprint, component)}."""
+    prints = {}
+    for i, t in docs:
+        words = re.findall(f"[^{SPACE}]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        grams = [" ".join(words[n:n + 3]) for n in range(max(len(words) - 2, min(len(words), 1)))]
+        hashes = [xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass"), 42) for g in grams]
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(prints)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            if (prints[a] ^ prints[b]).bit_count() <= most:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: (f"{p:016x}", find(i)) for i, p in prints.items()}
