@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import csv_split
 from .schema import CAMPAIGN_SCHEMA
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
@@ -37,7 +38,7 @@ def header_schema(spark: SparkSession, path: str, schema: T.StructType, required
 
 def read_campaigns_csv(spark: SparkSession, path: str, schema: T.StructType | None = CAMPAIGN_SCHEMA,
                        infer: bool = False, multiline: bool = True, required: Sequence[str] = (),
-                       keep_corrupt: bool = False) -> DataFrame:
+                       keep_corrupt: bool = False, split: bool = True) -> DataFrame:
     """Read campaign CSV: header, quoted multi-line text, doubled quotes.
 
     Columns are found by their names in the header, in whatever order a file
@@ -48,9 +49,9 @@ def read_campaigns_csv(spark: SparkSession, path: str, schema: T.StructType | No
     the text of rows that don't fit the schema is kept in ``_corrupt_record``
     (their other columns are as far as they could be read).
 
-    A file with embedded newlines is one task, so large exports should come as many files
-    of a few hundred MB at most; ``multiline=False``, for exports without
-    them, makes files splittable.
+    Files with embedded newlines are read in splits (see ``csv_split``). ``split=False`` reads each in
+    one task, as files with quote characters inside of unquoted fields need it, and so does ``infer``;
+    ``multiline=False`` is the quickest for exports without embedded newlines.
     """
     r = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     if infer or schema is None:
@@ -65,7 +66,12 @@ def read_campaigns_csv(spark: SparkSession, path: str, schema: T.StructType | No
         r = r.option("columnNameOfCorruptRecord", CORRUPT)
     if not own.fields:  # no file, or an empty one
         return spark.createDataFrame([], schema)
-    df = r.option("enforceSchema", "false").schema(own).csv(path)
+    if multiline and split:
+        names = [n for n in own.names if n != CORRUPT or not keep_corrupt]
+        more = {"columnNameOfCorruptRecord": CORRUPT} if keep_corrupt else {}
+        df = csv_split.parsed(csv_split.records(spark, path, names), own, CSV_OPTIONS | more)
+    else:
+        df = r.option("enforceSchema", "false").schema(own).csv(path)
     there = set(own.names)
     return df.select(*[F.col(f"`{f.name}`") if f.name in there else F.lit(None).cast(f.dataType).alias(f.name)
                        for f in schema.fields], *([CORRUPT] if keep_corrupt else []))
