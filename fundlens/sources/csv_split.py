@@ -47,7 +47,7 @@ def fix_splits(spark: SparkSession) -> None:
 def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """value, file, start (of the split), line (ascending within a split), odd (an odd number of quotes)."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
                         F.monotonically_increasing_id().alias("line"), (quotes % 2 == 1).alias("odd"))
 
