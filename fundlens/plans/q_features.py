@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import clean as K
+from ..operators import encoding as EN
 from ..operators import features as FT
 from ..operators import profile as P
 from .oracle import FEATURES_CTE, VALIDATED_CTE, bucket_sql, index_sql, with_campaigns
@@ -39,9 +40,7 @@ def log_goal_transformer(spark, sf):
 
 
 def _indexed(spark, sf, order):
-    df = _validated(spark, sf)
-    model = Pipeline(stages=FT.indexers(order=order)).fit(df)
-    return model.transform(df).select("id", "category_index", "country_index")
+    return EN.encode(_validated(spark, sf), FT.CATEGORICAL, order).select("id", "category_index", "country_index")
 
 
 @register("index_frequency", with_campaigns("""
