@@ -77,13 +77,17 @@ def tree_value(nodes: Mapping[int, Row], of: Mapping[str, Column], at: int = 0)
     return F.when(_goes_left(n, of), tree_value(nodes, of, n["left"])).otherwise(tree_value(nodes, of, n["right"]))
 
 
-def tree_values(table: DataFrame | Sequence[Row], of: Mapping[str, Column] | None = None) -> tuple[list[Column], bool]:
-    """An expression for each tree in order, and whether the trees vote."""
-    rows = table.collect() if isinstance(table, DataFrame) else list(table)
-    of = of or {c: F.col(c).cast("double") for c in {r["feature"] for r in rows} - {None}}
+def _by_tree(rows: Sequence[Row], of: Mapping[str, Column] | None):
     trees: dict[int, dict[int, Row]] = {}
     for r in rows:
         trees.setdefault(r["tree"], {})[r["node"]] = r
+    return trees, of or {c: F.col(c).cast("double") for c in {r["feature"] for r in rows} - {None}}
+
+
+def tree_values(table: DataFrame | Sequence[Row], of: Mapping[str, Column] | None = None) -> tuple[list[Column], bool]:
+    """An expression for each tree in order, and whether the trees vote."""
+    rows = table.collect() if isinstance(table, DataFrame) else list(table)
+    trees, of = _by_tree(rows, of)
     return [tree_value(trees[t], of) for t in sorted(trees)], bool(rows and rows[0]["votes"])
 
 
@@ -116,6 +120,40 @@ def staged_scores(columns: Sequence[Column], rounds: Sequence[int]) -> Column:
         for n in rounds]))[0]
 
 
+def _path(nodes: Mapping[int, Row], of: Mapping[str, Column], at: int = 0, before: tuple[int, ...] = ()) -> Column:
+    """The numbers of all nodes that a row passes in one tree."""
+    n, passed = nodes[at], (*before, at)
+    if n["left"] is None:
+        return F.array(*map(F.lit, passed))
+    return F.when(_goes_left(n, of), _path(nodes, of, n["left"], passed)).otherwise(_path(nodes, of, n["right"], passed))
+
+
+def on_rows(df: DataFrame, table: DataFrame, label: str) -> DataFrame:
+    """The node table with ``n`` and ``gain`` (decrease of Gini impurity by each split) of the rows of ``df`` with a 0/1 label."""
+    trees, of = _by_tree(table.collect(), None)
+
+    def visits(t: int) -> Column:
+        return F.transform(_path(trees[t], of), lambda x: F.struct(F.lit(t).alias("tree"), x.alias("node")))
+
+    passed = F.concat(*map(visits, sorted(trees)))
+    counts = (df.filter(F.col(label).isNotNull()).select(F.explode(passed).alias("v"), F.col(label).cast("long").alias("y"))
+              .groupBy("v.tree", "v.node").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("p")))
+    # From here on a row for each node.
+    counted = table.drop("n", "gain").join(counts, ["tree", "node"], "left").fillna(0, ["c", "p"])
+    own = counted.select("tree", F.col("node").alias("child"), F.struct("c", "p").alias("s"))
+    for side in ("left", "right"):
+        counted = counted.join(own.select("tree", F.col("child").alias(side), F.col("s").alias(f"_{side}")), ["tree", side], "left")
+
+    def gini(c: Column, p: Column) -> Column:
+        share = F.coalesce(F.try_divide(p.cast("double"), c.cast("double")), F.lit(0.0))
+        return 1 - share * share - (1 - share) * (1 - share)
+
+    part = lambda side: F.coalesce(F.try_divide(F.col(f"_{side}.c").cast("double"), F.col("c").cast("double")), F.lit(0.0)) * gini(
+        F.col(f"_{side}.c"), F.col(f"_{side}.p"))
+    gain = F.when(F.col("left").isNotNull(), gini(F.col("c"), F.col("p")) - part("left") - part("right"))
+    return counted.withColumn("n", F.col("c")).withColumn("gain", gain).select(table.columns)
+
+
 def importances(table: DataFrame, features: Sequence[str] = FEATURE_COLS) -> DataFrame:
     """(feature, importance, rank): gain times rows of each feature's splits, for voting trees
     as a share of its tree first, and then as a share of all trees."""

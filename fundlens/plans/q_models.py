@@ -1,31 +1,37 @@
 """Models (§2.12), evaluation (§2.13), model tables (§2.8) and report sinks.
 
-Evaluation keys run on the test split scored by ``score_linear`` with fixed
-stored coefficients, so each has an exact DuckDB oracle. MLlib fits are
-rows-only checked (their invariants are asserted in tests/).
+Evaluation keys run on the test split scored by two stored scorers with fixed values, a
+linear one and boosted trees as a node table, so each has an exact DuckDB oracle. Keys of
+MLlib fits return the fits' own numbers, which no SQL can give; what holds of every fit, whatever its
+numbers, is stated by the ``*_facts`` keys and their SQL.
 """
 
 from __future__ import annotations
 
+import re
 import threading
 
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import prob_pos as _prob_pos
 from ..operators import clean as K
+from ..operators import encoding as EN
+from ..operators import ensembles as ENS
 from ..operators import evaluation as EV
 from ..operators import models as M
 from ..operators import sampling as SM
-from ..operators.features import FEATURE_COLS
+from ..operators.features import CATEGORICAL, FEATURE_COLS
 from ..operators.learning import learning_curve as _learning_curve
 from ..session import scratch_path
 from ..sources.campaigns import snapshot
 from ..sources import files as IO
-from .oracle import FEATURES_CTE, VALIDATED_CTE, hash_unit_sql, with_campaigns
+from .oracle import FEATURES_CTE, VALIDATED_CTE, hash_unit_sql, index_sql, with_campaigns
 from .q_clean import model_table
 from .registry import register
 
@@ -131,6 +137,84 @@ def score_linear(spark, sf):
     return linear_scored(spark, sf).withColumn("score", F.round("score", 6))
 
 
+# Stored boosted trees on the model's features, in the columns of a node table
+# (category codes by frequency).
+STORED_NODES = [
+    (0, 0, "goal_log", 12.18, None, None, 1, 2, None, 1200, 0.42, False),
+    (0, 1, "category_index", None, [0.0, 2.0, 5.0, 9.0], 15, 3, 4, None, 450, 0.06, False),
+    (0, 2, "duration", 9979200.0, None, None, 5, 6, None, 750, 0.03, False),
+    (0, 3, None, None, None, None, None, None, 0.71, 250, None, False),
+    (0, 4, None, None, None, None, None, None, 0.28, 200, None, False),
+    (0, 5, None, None, None, None, None, None, -0.33, 300, None, False),
+    (0, 6, None, None, None, None, None, None, -0.64, 450, None, False),
+    (1, 0, "country_index", None, [0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 10.0, 11.0, 12.0, 13.0], 25, 1, 2, None, 1200, 0.02, False),
+    (1, 1, "staff_pick", 0.5, None, None, 3, 4, None, 700, 0.01, False),
+    (1, 2, None, None, None, None, None, None, -0.041, 500, None, False),
+    (1, 3, None, None, None, None, None, None, 0.023, 400, None, False),
+    (1, 4, None, None, None, None, None, None, 0.057, 300, None, False),
+    (2, 0, "goal_log", 11.4, None, None, 1, 2, None, 1200, 0.11, False),
+    (2, 1, None, None, None, None, None, None, 0.052, 220, None, False),
+    (2, 2, "goal_log", 12.6, None, None, 3, 4, None, 980, 0.04, False),
+    (2, 3, None, None, None, None, None, None, 0.006, 410, None, False),
+    (2, 4, None, None, None, None, None, None, -0.044, 570, None, False),
+]
+
+
+def _sql_value(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, list):
+        return "[" + ", ".join(map(_d, v)) + "]"
+    return f"'{v}'" if isinstance(v, str) else _d(v) if isinstance(v, float) else str(v).upper()
+
+
+def _walk_sql(at: str) -> str:
+    """The node after node ``at`` of a row x."""
+    v = "CASE " + " ".join(f"WHEN {at}.feature = '{f}' THEN x.{f}" for f in FEATURE_COLS) + " END"
+    left = (f"CASE WHEN {at}.categories IS NULL THEN {v} <= {at}.threshold WHEN len({at}.categories) <= {at}.n_categories // 2 "
+            f"THEN list_contains({at}.categories, {v}) ELSE list_contains({at}.categories, {v}) OR {v} >= {at}.n_categories END")
+    return f"CASE WHEN {at}.l IS NULL THEN {at}.node WHEN {left} THEN {at}.l ELSE {at}.r END"
+
+
+NODES_CTE = """nodes(tree, node, feature, threshold, categories, n_categories, l, r, value, n, gain, votes) AS (VALUES
+  """ + ",\n  ".join("(" + ", ".join(map(_sql_value, row)) + ")" for row in STORED_NODES) + ")"
+# The trees are at most two splits deep.
+STORED_CTE = f"""{NODES_CTE},
+cat_idx AS ({index_sql('category', 'features')}),
+ctr_idx AS ({index_sql('country', 'features')}),
+x AS (
+  SELECT f.id, f.state AS label, f.goal_log, CAST(f.duration AS DOUBLE) AS duration, CAST(f.staff_pick AS DOUBLE) AS staff_pick,
+         a.idx AS category_index, b.idx AS country_index
+  FROM features f JOIN cat_idx a ON f.category = a.v JOIN ctr_idx b ON f.country = b.v
+  WHERE f.duration IS NOT NULL AND f.staff_pick IS NOT NULL),
+one AS (SELECT x.*, n.tree, {_walk_sql('n')} AS node FROM x, nodes n WHERE n.node = 0),
+two AS (SELECT x.* EXCLUDE (node), {_walk_sql('n')} AS node FROM one x JOIN nodes n ON n.tree = x.tree AND n.node = x.node),
+boosted AS (
+  SELECT id, label, score, CASE WHEN score > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM (
+    SELECT x.id, any_value(x.label) AS label, 1.0 / (1.0 + exp(-2.0 * sum(n.value ORDER BY n.tree))) AS score
+    FROM two x JOIN nodes n ON n.tree = x.tree AND n.node = x.node GROUP BY x.id) b)"""
+
+
+def stored_ensemble(spark):
+    """The node table of the stored boosted trees, written and read as any model's."""
+    path = IO.write_parquet(spark.createDataFrame(STORED_NODES, ENS.NODE_SCHEMA), scratch_path(spark, "stored_trees"))
+    return spark.read.parquet(path)
+
+
+def _stored_features(spark, sf):
+    """The columns that the stored trees split by."""
+    rows = M.prepare(K.validate(model_table(spark, sf))).withColumn("goal_log", F.log1p("goal"))
+    return EN.encode(rows, CATEGORICAL)
+
+
+def boosted_scored(spark, sf, test_only: bool = False):
+    """Prepared rows scored by the stored boosted trees: id, label, score, prediction."""
+    out = ENS.score_table(_stored_features(spark, sf), stored_ensemble(spark))
+    if test_only:
+        out = out.filter(~SM.in_fraction(TRAIN, "id", SEED))
+    return out.select("id", F.col(M.LABEL).alias("label"), "score", "prediction")
+
+
 @register("eval_auc", with_campaigns(AUC_SQL, SCORED_CTE), "evaluation")
 def eval_auc(spark, sf):
     return EV.auc(linear_scored(spark, sf))
@@ -239,52 +323,59 @@ def _test_scores(spark, sf, name):
     return M.score_model(fitted(spark, sf, name)[0], test)
 
 
-# What holds of every fit, whatever its numbers: which rows are scored, that scores are
-# probabilities, that a model is better than chance. The operators' own output is theirs
-# (models.score_model, cv_results, ...); the oracles state only such facts.
 PREPARED_CTE = VALIDATED_CTE + ",\n" + FEATURES_CTE + """,
 prepared AS (SELECT id, state AS label FROM features
              WHERE duration IS NOT NULL AND staff_pick IS NOT NULL)"""
 IS_TEST = f"{hash_unit_sql('id', SEED)} >= {SM.threshold(TRAIN)}"
-FIT_SQL = with_campaigns(f"SELECT id, label, TRUE AS is_probability, TRUE AS auc_above_half FROM prepared WHERE {IS_TEST}",
-                         PREPARED_CTE)
 SAME_SQL = with_campaigns(f"SELECT id, label, TRUE AS same_score FROM prepared WHERE {IS_TEST}", PREPARED_CTE)
 IS_PROBABILITY = "coalesce(score >= 0 and score <= 1, false)"
+FITTED = ("LR", "RF", "DT", "GBT")
 
 
-def _fit_facts(spark, sf, name):
-    scores = _test_scores(spark, sf, name)
-    better = EV.auc(scores).first()["auc"] > 0.5
-    return scores.select("id", "label", F.expr(IS_PROBABILITY).alias("is_probability"),
-                         F.lit(better).alias("auc_above_half"))
-
-
-@register("fit_lr", FIT_SQL, "models")
+@register("fit_lr", None, "models")
 def fit_lr(spark, sf):
-    return _fit_facts(spark, sf, "LR")
+    return _test_scores(spark, sf, "LR")
 
 
-@register("fit_rf", FIT_SQL, "models")
+@register("fit_rf", None, "models")
 def fit_rf(spark, sf):
-    return _fit_facts(spark, sf, "RF")
+    return _test_scores(spark, sf, "RF")
 
 
-@register("fit_dt", FIT_SQL, "models")
+@register("fit_dt", None, "models")
 def fit_dt(spark, sf):
-    return _fit_facts(spark, sf, "DT")
+    return _test_scores(spark, sf, "DT")
 
 
-@register("fit_gbt_cv", FIT_SQL, "models")
+@register("fit_gbt_cv", None, "models")
 def fit_gbt_cv(spark, sf):
-    return _fit_facts(spark, sf, "GBT")
+    return _test_scores(spark, sf, "GBT")
+
+
+_MODELS = ", ".join(f"('{n}')" for n in FITTED)
+
+
+@register("fit_facts", with_campaigns(
+    f"SELECT model, id, label, TRUE AS is_probability, TRUE AS auc_above_half FROM prepared, (VALUES {_MODELS}) AS m(model) WHERE {IS_TEST}",
+    PREPARED_CTE), "models")
+def fit_facts(spark, sf):
+    """Of each fit: which rows it scores, that scores are probabilities and better than chance."""
+    scored = _all_test_scores(spark, sf)
+    better = EV.auc(scored, group_cols=["model"]).select("model", (F.col("auc") > 0.5).alias("auc_above_half"))
+    return scored.join(better, "model").select("model", "id", "label", F.expr(IS_PROBABILITY).alias("is_probability"), "auc_above_half")
 
 
 _GRID = [(d, i) for d in M.GBT_DEPTHS for i in M.GBT_ITERS]
 
 
-@register("cv_results", "SELECT * FROM (VALUES " + ", ".join(
-    f"({d}, {i}, TRUE, 1)" for d, i in _GRID) + ') AS t("maxDepth", "maxIter", is_auc, n_best)', "models")
+@register("cv_results", None, "models")
 def cv_results(spark, sf):
+    return M.cv_results(fitted(spark, sf, "GBT")[0])
+
+
+@register("cv_facts", "SELECT * FROM (VALUES " + ", ".join(
+    f"({d}, {i}, TRUE, 1)" for d, i in _GRID) + ') AS t("maxDepth", "maxIter", is_auc, n_best)', "models")
+def cv_facts(spark, sf):
     found = M.cv_results(fitted(spark, sf, "GBT")[0])
     # The best row is the one of the highest mean, and the only one so marked: a row for each combination.
     best = found.filter("is_best").select(F.col("avg_auc").alias("top"))
@@ -294,11 +385,47 @@ def cv_results(spark, sf):
                         F.lit(facts["n"] if right else 0).cast("int").alias("n_best"))
 
 
-@register("feature_importance", "SELECT model, CAST(rank AS INTEGER) AS rank, TRUE AS in_order, TRUE AS sums_to_one "
+_gini = lambda c, p: f"(1 - ({p} / {c}) * ({p} / {c}) - (1 - {p} / {c}) * (1 - {p} / {c}))"
+_part = lambda k: f"COALESCE({k}.c / n.c * {_gini(f'{k}.c', f'{k}.p')}, 0)"
+
+
+@register("feature_importance", with_campaigns(f"""
+SELECT feature, importance, CAST(ROW_NUMBER() OVER (ORDER BY importance DESC, place) AS INTEGER) AS rank FROM (
+  SELECT f.feature, f.place, ROUND(COALESCE(g.g, 0) / (SELECT sum(g) FROM gains), 6) AS importance
+  FROM (VALUES {', '.join(f"('{f}', {i})" for i, f in enumerate(FEATURE_COLS))}) AS f(feature, place)
+  LEFT JOIN gains g ON g.feature = f.feature) s""", VALIDATED_CTE + ",\n" + FEATURES_CTE + ",\n" + STORED_CTE + f""",
+passed AS (SELECT id, label, tree, 0 AS node FROM one UNION SELECT id, label, tree, node FROM one
+           UNION SELECT id, label, tree, node FROM two),
+counted AS (SELECT tree, node, CAST(count(*) AS DOUBLE) AS c, CAST(sum(label) AS DOUBLE) AS p FROM passed GROUP BY tree, node),
+gains AS (
+  SELECT m.feature, sum(n.c * ({_gini('n.c', 'n.p')} - {_part('a')} - {_part('b')})) AS g
+  FROM nodes m JOIN counted n ON n.tree = m.tree AND n.node = m.node
+  LEFT JOIN counted a ON a.tree = m.tree AND a.node = m.l LEFT JOIN counted b ON b.tree = m.tree AND b.node = m.r
+  WHERE m.l IS NOT NULL GROUP BY m.feature)"""), "models")
+def feature_importance(spark, sf):
+    """Of the stored boosted trees over all prepared rows: what their splits separate there."""
+    rows = _stored_features(spark, sf)
+    return ENS.importances(ENS.on_rows(rows, stored_ensemble(spark), M.LABEL))
+
+
+def _fitted_importance(spark, sf):
+    out = None
+    for n in ("RF", "DT", "GBT"):
+        own = ENS.importances(ENS.node_table(fitted(spark, sf, n)[0])).withColumn("model", F.lit(n))
+        out = own if out is None else out.unionByName(own)
+    return out.select("model", "feature", "importance", "rank")
+
+
+@register("feature_importance_fitted", None, "models")
+def feature_importance_fitted(spark, sf):
+    return _fitted_importance(spark, sf)
+
+
+@register("importance_facts", "SELECT model, CAST(rank AS INTEGER) AS rank, TRUE AS in_order, TRUE AS sums_to_one "
           "FROM (VALUES ('RF'), ('DT'), ('GBT')) AS m(model), "
           f"(SELECT unnest(range(1, {len(FEATURE_COLS) + 1})) AS rank) r", "models")
-def feature_importance(spark, sf):
-    found = M.feature_importance({n: fitted(spark, sf, n)[0] for n in ("RF", "DT", "GBT")})
+def importance_facts(spark, sf):
+    found = _fitted_importance(spark, sf)
     own = Window.partitionBy("model")
     before = F.lag("importance").over(own.orderBy("rank"))
     return found.select("model", "rank", F.coalesce(before >= F.col("importance"), F.lit(True)).alias("in_order"),
@@ -320,19 +447,20 @@ def export_lr_coefficients(spark, sf):
         "id", (F.abs(F.col("linear") - F.col("score")) < 1e-9).alias("agrees"))
 
 
-@register("score_model", with_campaigns("SELECT id, label, TRUE AS is_probability FROM prepared", PREPARED_CTE), "models")
+@register("score_model", with_campaigns("SELECT id, label, prediction, ROUND(score, 6) AS score FROM boosted",
+                                       VALIDATED_CTE + ",\n" + FEATURES_CTE + ",\n" + STORED_CTE), "models")
 def score_model(spark, sf):
-    return M.score_model(fitted(spark, sf, "LR")[0], prepared(spark, sf)).select(
-        "id", "label", F.expr(IS_PROBABILITY).alias("is_probability"))
+    """All prepared rows scored by the stored boosted trees."""
+    return boosted_scored(spark, sf).select("id", "label", "prediction", F.round("score", 6).alias("score"))
 
 
-@register("prob_pos", with_campaigns(
-    f"SELECT id, TRUE AS is_probability, TRUE AS decides FROM prepared WHERE {IS_TEST}", PREPARED_CTE), "scalar")
+@register("prob_pos", with_campaigns("SELECT id, ROUND(score, 6) AS score FROM boosted",
+                                    VALIDATED_CTE + ",\n" + FEATURES_CTE + ",\n" + STORED_CTE), "scalar")
 def prob_pos(spark, sf):
-    """The probability of the positive class, which decides the prediction."""
-    return _test_scores(spark, sf, "LR").select(
-        "id", F.expr(IS_PROBABILITY).alias("is_probability"),
-        ((F.col("score") > 0.5) == (F.col("prediction") == 1.0)).alias("decides"))
+    """The positive class's element of a probability vector, as classifiers return it."""
+    vector = array_to_vector(F.array(1 - F.col("score"), F.col("score")))
+    return boosted_scored(spark, sf).withColumn("probability", vector).select(
+        "id", F.round(_prob_pos("probability"), 6).alias("score"))
 
 
 def _same_as_direct(spark, sf, scored):
@@ -350,45 +478,89 @@ def reuse_stage(spark, sf):
 
 @register("model_store", SAME_SQL, "models")
 def model_store(spark, sf):
+    """A saved and loaded pipeline scores as the fitted one; so do the written node tables of the tree models."""
     path = M.save_model(fitted(spark, sf, "LR")[0], scratch_path(spark, "model"))
     _, test = train_test(spark, sf)
-    return _same_as_direct(spark, sf, M.score_model(M.load_pipeline(path), test))
+    same = _same_as_direct(spark, sf, M.score_model(M.load_pipeline(path), test))
+    for name in ("RF", "DT", "GBT"):
+        model = fitted(spark, sf, name)[0]
+        table = spark.read.parquet(IO.write_parquet(ENS.node_table(model), scratch_path(spark, "trees")))
+        indexed = PipelineModel(stages=getattr(model, "bestModel", model).stages[:-1]).transform(test)
+        scored = ENS.score_table(indexed, table).select("id", F.col("score").alias("table"))
+        direct = _test_scores(spark, sf, name).select("id", "score")
+        agrees = scored.join(direct, "id").select("id", (F.abs(F.col("table") - F.col("score")) < 1e-9).alias("agrees"))
+        same = same.join(agrees, "id").withColumn("same_score", F.col("same_score") & F.col("agrees")).drop("agrees")
+    return same
+
+
+def _all_test_scores(spark, sf, names=FITTED):
+    """The test rows scored by each model, stacked."""
+    scored = None
+    for n in names:
+        s = _test_scores(spark, sf, n).withColumn("model", F.lit(n))
+        scored = s if scored is None else scored.unionByName(s)
+    return scored
 
 
-def model_metrics_df(spark, sf, names=("LR", "RF", "DT", "GBT")):
+def model_metrics_df(spark, sf, names=FITTED):
     """Metrics of several models on the same test rows, evaluated together:
     the scored tables are stacked with a model column (unionByName) and
     grouped, so each metric is one pass for all models."""
-    scored = None
-    for n in names:
-        s = _test_scores(spark, sf, n).withColumn("model", F.lit(n))
-        scored = s if scored is None else scored.unionByName(s)
     secs = spark.createDataFrame([(n, float(fitted(spark, sf, n)[1])) for n in names],
                                  "model string, train_seconds double")  # one row per model
-    return EV.metric_rows(scored, "model").join(secs, "model", "left")
+    return EV.metric_rows(_all_test_scores(spark, sf, names), "model").join(secs, "model", "left")
 
 
-def _metric_facts(df):
-    """Per model: that each measure is a share, and the AUC above a half."""
-    shares = " and ".join(f"{m} between 0 and 1" for m in ("auc", "accuracy", "f1", "precision", "recall"))
-    return df.select("model", F.expr(f"coalesce({shares}, false)").alias("are_shares"),
-                     F.expr("coalesce(auc > 0.5, false)").alias("auc_above_half"))
+STORED = {"linear_stored": "scored", "boosted_stored": "boosted_scored"}
+_CHAIN = SCORED_CTE[SCORED_CTE.index("sc AS ("):]
+_NAMES = ("scored", "sc", "asc_cum", "desc_cum", "cm", "cls", "cls2", "cls3")
+
+
+def _of_boosted(sql: str) -> str:
+    """The SQL of the linear scorer's evaluation for the boosted one."""
+    return re.sub(rf"\b({'|'.join(_NAMES)})\b", r"boosted_\1", sql)
+
+
+STORED_METRICS_CTE = (SCORED_CTE + ",\n" + STORED_CTE + f",\nboosted_scored AS (SELECT * FROM boosted WHERE {IS_TEST}),\n"
+                      + _of_boosted(_CHAIN))
+_METRICS_SQL = (f"SELECT a.auc, b.accuracy, c.f1, d.precision, e.recall FROM ({AUC_SQL}) a, ({ACC_SQL}) b, ({W_SQL.format(m='f1')}) c, "
+                f"({W_SQL.format(m='precision')}) d, ({W_SQL.format(m='recall')}) e")
+
 
+def stored_scores(spark, sf):
+    """The test rows scored by each stored scorer, stacked."""
+    return (linear_scored(spark, sf).withColumn("model", F.lit("linear_stored"))
+            .unionByName(boosted_scored(spark, sf, test_only=True).withColumn("model", F.lit("boosted_stored"))))
 
-@register("model_metrics", "SELECT model, TRUE AS are_shares, TRUE AS auc_above_half "
-          "FROM (VALUES ('LR'), ('RF'), ('DT'), ('GBT')) AS m(model)", "evaluation")
+
+@register("model_metrics", with_campaigns(
+    f"SELECT 'linear_stored' AS model, m.* FROM ({_METRICS_SQL}) m UNION ALL "
+    f"SELECT 'boosted_stored' AS model, m.* FROM ({_of_boosted(_METRICS_SQL)}) m", STORED_METRICS_CTE), "evaluation")
 def model_metrics(spark, sf):
-    return _metric_facts(model_metrics_df(spark, sf))
+    return EV.metric_rows(stored_scores(spark, sf), "model")
+
 
+@register("model_metrics_fitted", None, "evaluation")
+def model_metrics_fitted(spark, sf):
+    return model_metrics_df(spark, sf)
 
-@register("model_comparison", with_campaigns(f"""
-SELECT model, auc FROM (VALUES ('LR', CAST(NULL AS DOUBLE)), ('RF', NULL)) AS m(model, auc)
-UNION ALL SELECT 'linear_stored', auc FROM ({AUC_SQL}) a""", SCORED_CTE), "sets")
+
+@register("metric_facts", f"SELECT model, TRUE AS are_shares, TRUE AS auc_above_half FROM (VALUES {_MODELS}) AS m(model)", "evaluation")
+def metric_facts(spark, sf):
+    """Per fitted model: that each measure is a share, and the AUC above a half."""
+    shares = " and ".join(f"{m} between 0 and 1" for m in ("auc", "accuracy", "f1", "precision", "recall"))
+    return model_metrics_df(spark, sf).select("model", F.expr(f"coalesce({shares}, false)").alias("are_shares"),
+                                              F.expr("coalesce(auc > 0.5, false)").alias("auc_above_half"))
+
+
+@register("model_comparison", with_campaigns(
+    f"SELECT 'linear_stored' AS model, auc FROM ({AUC_SQL}) a UNION ALL "
+    f"SELECT 'boosted_stored' AS model, auc FROM ({_of_boosted(AUC_SQL)}) a", STORED_METRICS_CTE), "sets")
 def model_comparison(spark, sf):
-    """The MLlib models' metric table stacked with the stored linear scorer's row, whose AUC is exact."""
+    """One scorer's row stacked with another's, from tables of their own."""
     linear = EV.metric_row(linear_scored(spark, sf), "linear_stored")
-    stacked = model_metrics_df(spark, sf, ("LR", "RF")).unionByName(linear, allowMissingColumns=True)
-    return stacked.select("model", F.when(F.col("model") == "linear_stored", F.col("auc")).alias("auc"))
+    boosted = EV.metric_row(boosted_scored(spark, sf, test_only=True), "boosted_stored", extra={"rounds": 3})
+    return linear.unionByName(boosted, allowMissingColumns=True).select("model", "auc")
 
 
 CURVE_SIZES, CURVE_FOLDS = np.linspace(0.1, 1.0, 8).tolist(), 3
@@ -399,14 +571,23 @@ _counts = "\nUNION ALL ".join(
     for s in CURVE_SIZES)
 
 
-@register("learning_curve", with_campaigns(f"""
+def _curve(spark, sf):
+    df = K.with_features(K.validate(model_table(spark, sf)))
+    return _memo(spark, sf, "curve", lambda: _learning_curve(df, sizes=CURVE_SIZES, folds=CURVE_FOLDS, seed=SEED))
+
+
+@register("learning_curve", None, "evaluation")
+def learning_curve(spark, sf):
+    return _curve(spark, sf)
+
+
+@register("curve_facts", with_campaigns(f"""
 SELECT estimator, train_fraction, ROUND(AVG(n_train), 1) AS n_train, TRUE AS are_aucs
 FROM ({_counts}) c, (VALUES ('LR'), ('RF')) AS e(estimator) GROUP BY estimator, train_fraction""",
     VALIDATED_CTE + f""",
 tagged AS (SELECT id, {_fold} AS fold FROM validated),
 folds AS (SELECT unnest(range(0, {CURVE_FOLDS})) AS f)"""), "evaluation")
-def learning_curve(spark, sf):
-    df = K.with_features(K.validate(model_table(spark, sf)))
-    curve = _learning_curve(df, sizes=CURVE_SIZES, folds=CURVE_FOLDS, seed=SEED)
+def curve_facts(spark, sf):
+    """Which points a curve has, from how many rows, and that its values are AUCs."""
     aucs = "train_auc_mean between 0.5 and 1 and val_auc_mean between 0 and 1"
-    return curve.select("estimator", "train_fraction", "n_train", F.expr(f"coalesce({aucs}, false)").alias("are_aucs"))
+    return _curve(spark, sf).select("estimator", "train_fraction", "n_train", F.expr(f"coalesce({aucs}, false)").alias("are_aucs"))

@@ -55,6 +55,17 @@ def test_importances_equal_the_models(spark, name):
     assert got.keys() == want.keys() and all(abs(got[f] - want[f]) < 2e-6 for f in got)
 
 
+def test_statistics_on_the_training_rows_are_the_fits_own(spark):
+    model = Q.fitted(spark, SF_SMALL, "DT")[0]
+    train, _ = Q.train_test(spark, SF_SMALL)
+    rows = PipelineModel(stages=model.stages[:-1]).transform(train)
+    table = ENS.node_table(model)
+    got = {(r["tree"], r["node"]): (r["n"], r["gain"]) for r in ENS.on_rows(rows, table, M.LABEL).collect()}
+    for r in table.collect():
+        n, gain = got[r["tree"], r["node"]]
+        assert n == r["n"] and (gain is None) == (r["gain"] is None) and abs((gain or 0) - (r["gain"] or 0)) < 1e-9
+
+
 def test_not_a_tree(spark):
     with pytest.raises(ValueError, match="not a tree"):
         ENS.node_table(Q.fitted(spark, SF_SMALL, "LR")[0])

@@ -89,6 +89,30 @@ def test_learning_curve_shape(spark):
     assert lc.val_auc_mean.between(0, 1).all()
 
 
+def test_learning_curve_equals_an_evaluator_for_each_fit(spark, monkeypatch):
+    """One pass for all models gives what MLlib's exact evaluator gives for each of them."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.sql import functions as F
+
+    from fundlens.operators import clean as K
+    from fundlens.operators import learning as L
+    from fundlens.plans.q_clean import model_table
+
+    seen = []
+    old = L._scores
+    monkeypatch.setattr(L, "_scores", lambda d, m, p: (seen.append((d.checkpoint(), m, p)), old(d, m, p))[1])
+    df = K.with_features(K.validate(model_table(spark, SF_SMALL)))
+    got = {(r["estimator"], r["train_fraction"]): r for r in L.learning_curve(df, sizes=[0.4, 1.0], folds=2).collect()}
+    (data, models, parts), = seen
+    ev = BinaryClassificationEvaluator(labelCol="state", rawPredictionCol="probability", numBins=0)
+    aucs = [[ev.evaluate(m.transform(data.filter(p == part)).withColumn("state", F.col("state").cast("double")))
+             for part in ("train", "val")] for m, p in zip(models, parts)]
+    for k, key in enumerate((n, s) for n in ("LR", "RF") for s in (0.4, 1.0)):
+        own = aucs[2 * k:2 * k + 2]
+        assert got[key]["train_auc_mean"] == pytest.approx(sum(a for a, _ in own) / 2, abs=2e-6)
+        assert got[key]["val_auc_mean"] == pytest.approx(sum(b for _, b in own) / 2, abs=2e-6)
+
+
 def test_indexer_error_mode_raises_on_unseen(spark):
     from pyspark.errors import PySparkException
     from py4j.protocol import Py4JJavaError
