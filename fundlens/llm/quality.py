@@ -1,10 +1,11 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
 Every rule rejects a document by a condition on the text's own counts. The
-rules' cost and selectivity are measured on a sample: each rule runs alone
-over it, timed, and its rejections are counted. The cascade then tries the
-rules in the order of rejections per cost, the first that holds decides
-(CASE WHEN evaluates no later one), and no order changes a verdict.
+counts that are returned are there for all; what a rule counts beyond them is
+part of its own condition. The rules' cost and selectivity are measured on a sample that holds the
+returned counts: each rule runs alone over it, timed, and its rejections are counted. The cascade then tries the
+rules in the order of rejections per cost. The first that holds decides: a later rule's branch of
+the CASE, and so its own counts, is not computed. No order changes a verdict.
 
 Cases: a null or empty text has no words and fails the least-words rule; texts
 are read whole; equal rows give equal results; an empty table gives an empty
@@ -14,6 +15,7 @@ read, under names of their own, so further columns do no harm.
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass
 
@@ -51,7 +53,7 @@ COUNTS = {
     "n_repeat_words": "cast(aggregate(transform(_d, (x, k) -> case when k = 0 then 3 else least(3, x - get(_d, k - 1))"
                       " end), 0, (a, x) -> a + x) as long)",
 }
-# Further counts that only the rules use.
+# Further counts that only the rules use, each where it is used.
 RULE_COUNTS = {
     "_n_lines": "size(_l)",
     "_n_upper": "char_length(_t) - char_length(regexp_replace(_t, '[A-ZÀ-ÖØ-Þ]', ''))",
@@ -81,8 +83,14 @@ RULES = (
 BASE_FAILED = " or ".join(f"({r.rejects})" for r in BASE_RULES)
 
 
-def with_counts(df: DataFrame, id_col: str, text_col: str, extra: bool = True) -> DataFrame:
-    """The id, and COUNTS (and RULE_COUNTS) of the text."""
+def condition(rule: Rule):
+    """A rule's condition over COUNTS, with the further counts that it needs written out in it."""
+    names = "|".join(map(re.escape, RULE_COUNTS))
+    return F.expr(re.sub(rf"\b({names})\b", lambda m: f"({RULE_COUNTS[m[1]]})", rule.rejects))
+
+
+def with_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The id, COUNTS of the text, and what RULE_COUNTS are made of: the text, its words and lines."""
     out = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     out = out.withColumns({
         "_w": F.array_remove(F.split("_t", SPLIT), ""),
@@ -90,8 +98,7 @@ def with_counts(df: DataFrame, id_col: str, text_col: str, extra: bool = True) -
         "_l": F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")})
     for name, sql in _STEPS:
         out = out.withColumn(name, F.expr(sql))
-    wanted = COUNTS | (RULE_COUNTS if extra else {})
-    return out.select("_id", *[F.expr(sql).alias(name) for name, sql in wanted.items()])
+    return out.select("_id", "_t", "_w", "_l", *[F.expr(sql).alias(name) for name, sql in COUNTS.items()])
 
 
 def cascade_order(df: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text",
@@ -99,16 +106,16 @@ def cascade_order(df: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     """Rules by rejections per second on a sample, each with its seconds and rejections."""
     n = df.count()
     every = max(1, n // max(sample_rows, 1))
-    sample = (df.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_x"))
-              .filter(F.pmod(F.xxhash64("_i"), F.lit(every)) == 0).coalesce(4).persist(StorageLevel.MEMORY_AND_DISK))
+    some = (df.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_x"))
+            .filter(F.pmod(F.xxhash64("_i"), F.lit(every)) == 0).coalesce(4))
+    sample = with_counts(some, "_i", "_x").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if not sample.count():
             return [(r, 0.0, 0) for r in rules]
         measured = []
         for rule in rules:
             began = time.perf_counter()
-            # Only the columns that this rule needs are computed.
-            rejected = with_counts(sample, "_i", "_x").select(F.count_if(F.expr(rule.rejects))).first()[0]
+            rejected = sample.select(F.count_if(condition(rule))).first()[0]
             measured.append((rule, time.perf_counter() - began, rejected))
     finally:
         sample.unpersist()
@@ -119,7 +126,7 @@ def cascade(rules: list[Rule]):
     """The name of the first rule that rejects, in the given order; null if none does."""
     verdict = F
     for n, rule in enumerate(rules):
-        verdict = verdict.when(F.expr(rule.rejects), F.lit(rule.name))
+        verdict = verdict.when(condition(rule), F.lit(rule.name))
     return verdict.otherwise(F.lit(None).cast("string")) if rules else F.lit(None).cast("string")
 
 
