@@ -6,15 +6,17 @@ path is its text per block, weighted by its punctuation per block (prose has
 both, menus have neither). Ratios are smoothed along the page by a Gaussian
 over neighbouring blocks, the smoothed text and punctuation ratios are
 fused by their product, and paths above a share of the page's deviation are
-content. The content node is the article-like element that holds the most fused score, or else the
+content. The content node is the article-like element that holds the most fused score (an <article> goes before what
+is around it if it holds ``MOST`` of that), or else the
 deepest node that holds ``MOST`` of it, several content blocks (if there are several), and every block of the
 content paths that it has any of; paths with no block in it are outliers. All its
 blocks belong to the text, so a short paragraph in an article is not lost.
 
-Never content, by tag or by words in class, id or role: menus, headers and
-footers of the page, sidebars, notices, adverts, forms, scripts, styles, reader comments. An id is
-not judged where it names a part of the text: of a heading, within an <article>, or of a section within
-an article-like element.
+Never content, by tag or by names in class, id or role: menus, headers and
+footers of the page, sidebars, notices, adverts, forms, scripts, styles, reader comments. A class that states a
+layout (has-sidebar, comments-open) names no part, and neither does the header of an article or the id of a heading,
+within an <article>, or of a section within an article-like element. An element that only its names
+speak against stays if it holds the page's only <article> or <main>, or all its text.
 
 Cases: a null or empty page has an empty text; pages are read whole, in time
 linear in their length; broken markup (unclosed or stray tags, comments and
@@ -60,44 +62,67 @@ SIGMA, THRESHOLD = 1.0, 0.5
 MOST = 0.8
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)", re.S)
+# Words by which a class states a layout instead of naming a part.
+STATES = frozenset("has no not is with without open opened closed enabled disabled on off active inactive".split())
+#: Tags whose quotes do not close before the page ends, after which quotes are no longer heeded.
+MAX_UNCLOSED = 16
+
+_MARKUP = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?])")
+_TAG_END = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
+# Character references with more digits than any has, zeros in front included.
+_LONG_REFERENCE = re.compile(r"&#(?:0*([0-9]+)|[xX]0*([0-9a-fA-F]+));?")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
 
 class Node:
-    """An element: its tag, path, parent, and whether it is boilerplate or article-like."""
+    """An element: its tag, path, parent, and whether it is boilerplate (by its tag or only by its names) or article-like.
+
+    ``skipped`` holds for all within a skipped element, ``named`` is the outermost element around it that
+    only its names speak against. Paths are numbers, equal for equal paths of a page.
+    """
 
-    __slots__ = ("article", "parent", "path", "skipped", "tag")
+    __slots__ = ("article", "by_name", "depth", "in_article", "in_marked", "named", "parent", "parts", "path", "skipped", "tag")
 
-    def __init__(self, tag: str, parent: Node | None, attributes: str):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: Node | None, attributes: str, paths: dict[tuple[int, str], int]):
+        self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
+        self.path = paths.setdefault((parent.path if parent else -1, tag), len(paths))
         words: set[str] = set()
+        against: set[str] = set()
         ids: set[str] = set()
         hidden = False
         if attributes and "=" in attributes or "hidden" in attributes:
             for name, *values in _ATTR.findall(attributes):
-                if name.lower() in ("class", "id", "role"):
-                    (ids if name.lower() == "id" else words).update(_WORD.findall("".join(values).lower()))
-                hidden |= name.lower() == "hidden"
-        self.path = (parent.path if parent else "") + "/" + tag
-        self.article = tag in ARTICLE_TAGS or bool((words | ids) & ARTICLE_WORDS) and tag in ("div", "section")
+                name = name.lower()
+                hidden |= name == "hidden"
+                if name not in ("class", "id", "role"):
+                    continue
+                for token in "".join(values).lower().split():
+                    own = set(_WORD.findall(token))
+                    words |= own
+                    if not own & STATES:
+                        # The header of an article, entry or post heads that.
+                        own -= {"header"} if own & ARTICLE_WORDS else set()
+                        (ids if name == "id" else against).update(own & BOILERPLATE)
+        inside = parent is not None and parent.in_marked
+        self.article = tag in ARTICLE_TAGS or bool(words & ARTICLE_WORDS) and tag in ("div", "section")
+        self.in_marked = inside or tag in ARTICLE_TAGS
+        # Whether an id names a part of the text.
+        parts = parent is not None and (parent.in_article or tag == "section" and parent.parts)
+        self.in_article = tag == "article" or parent is not None and parent.in_article
+        self.parts = self.article or parent is not None and parent.parts
+        if not (tag in HEADINGS or parts):
+            against |= ids
+        if inside or parent is not None and parent.parts and tag != "header":
+            against.discard("header")
         # A header within an article heads the article, not the page.
-        own = tag in SKIPPED and not (tag == "header" and parent is not None and parent.within_article())
-        if ids & BOILERPLATE and not (tag in HEADINGS or parent is not None and parent.names_parts(tag)):
-            words |= ids
-        boilerplate = bool(words & BOILERPLATE) and tag not in ("html", "body") and tag not in ARTICLE_TAGS
-        self.skipped = bool(parent and parent.skipped) or own or hidden or boilerplate
-
-    def within_article(self) -> bool:
-        return any(n.tag in ARTICLE_TAGS for n in self.line())
-
-    def names_parts(self, tag: str) -> bool:
-        """Whether the id of such an element in here names a part of the article."""
-        return any(n.tag == "article" or tag == "section" and n.article for n in self.line())
+        by_tag = hidden or tag in SKIPPED and not (tag == "header" and inside)
+        self.by_name = by_name = bool(against) and tag not in ("html", "body", "main") and not (tag == "article" and words & ARTICLE_WORDS)
+        self.skipped = bool(parent and parent.skipped) or by_tag or by_name and tag in INLINE
+        self.named = (parent.named if parent else None) or (self if by_name else None)
 
     def line(self):
         node: Node | None = self
@@ -106,15 +131,27 @@ class Node:
             node = node.parent
 
 
+def _references(text: str) -> str:
+    """Character references decoded, of whatever length."""
+    if "&" not in text:
+        return text
+    if len(text) > 1000:
+        text = _LONG_REFERENCE.sub(lambda m: m[0] if len(m[0]) < 40 else
+                                   "\ufffd" if len(m[1] or m[2]) > 8 else f"&#{'x' if m[2] else ''}{m[1] or m[2]};", text)
+    return html.unescape(text)
+
+
 def blocks(page: str) -> list[tuple[Node, str]]:
     """The page's blocks of text in order, each with the element that it stands in."""
-    root = Node("#", None, "")
+    paths: dict[tuple[int, str], int] = {}
+    root = Node("#", None, "", paths)
     open_nodes, out, parts = [root], [], []
-    at = 0
+    opened: Counter[str] = Counter()
+    unclosed, last = 0, page.rfind(">")
 
     def end_block() -> None:
         if parts:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+            text = _SPACE.sub(" ", _references("".join(parts))).strip()
             parts.clear()
             node = open_nodes[-1]
             while node.tag in INLINE and node.parent is not None:
@@ -123,22 +160,41 @@ def blocks(page: str) -> list[tuple[Node, str]]:
                 out.append((node, text))
 
     def close(tag: str) -> None:
+        if not opened[tag]:
+            return
         for n in range(len(open_nodes) - 1, 0, -1):
+            opened[open_nodes[n].tag] -= 1
             if open_nodes[n].tag == tag:
                 del open_nodes[n:]
                 return
 
-    while True:
-        m = _TOKEN.search(page, at)
-        parts.append(page[at:m.start() if m else len(page)])
-        if not m:
-            break
-        at = m.end()
-        slash, tag, attributes = m[1], (m[2] or "").lower(), m[3] or ""
+    def add(text: str) -> None:
+        # Text of a skipped element within a line is left out of the line.
+        if text and not (open_nodes[-1].skipped and open_nodes[-1].tag in INLINE):
+            parts.append(text)
+
+    at = taken = 0  # up to here the page is read, up to here its text is taken
+    while m := _MARKUP.search(page, at):
+        slash, tag = m[2], (m[3] or "").lower()
+        attributes = ""
+        if m[1]:
+            end = page.find("-->", m.end())
+            end = end + 3 if end >= 0 else len(page)
+        elif not tag:
+            end = page.find(">", m.end()) + 1 or len(page)
+        elif m.end() > last:
+            break  # no tag ends any more
+        else:
+            whole = _TAG_END.match(page, m.end()) if unclosed < MAX_UNCLOSED else None
+            unclosed += whole is None
+            end = whole.end() if whole else page.index(">", m.end()) + 1
+            attributes = page[m.end():end - 1]
+        add(page[taken:m.start()])
+        at = taken = end
         if not tag:
             continue  # a comment or declaration
         if tag == "br":
-            parts.append("\n")
+            add("\n")
             continue
         if tag not in INLINE:
             end_block()
@@ -147,30 +203,51 @@ def blocks(page: str) -> list[tuple[Node, str]]:
             continue
         if tag in VOID:
             continue
-        if tag not in INLINE and any(n.tag == "p" for n in open_nodes[-8:]):
+        if tag not in INLINE and opened["p"]:
             close("p")  # a block ends an open paragraph, and what is open in it
         if tag in ("li", "tr", "td", "th", "dt", "dd", "option") and open_nodes[-1].tag == tag:
+            opened[tag] -= 1
             open_nodes.pop()
         if attributes.endswith("/"):
             continue
         if tag in RAW:
-            end = _RAW_END[tag].search(page, at)
-            at = end.end() if end else len(page)
+            raw = _RAW_END[tag].search(page, at)
+            at = taken = raw.end() if raw else len(page)
             continue
-        # In text of inline elements that are skipped (a hidden span), the element is a block of its own.
-        node = Node(tag, open_nodes[-1], attributes)
-        if tag in INLINE and node.skipped and not open_nodes[-1].skipped:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if end:
-                at = end.end()
-                continue
         if len(open_nodes) < 500:  # deeper elements count as their parent
-            open_nodes.append(node)
+            open_nodes.append(Node(tag, open_nodes[-1], attributes, paths))
+            opened[tag] += 1
+    add(page[taken:])
     end_block()
     return out
 
 
-def path_scores(found: list[tuple[Node, str]]) -> dict[str, float]:
+def _named_out(found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+    """Without what only names speak against, as far as that isn't the page itself."""
+    kept = [(n, t) for n, t in found if n.named is None]
+    if len(kept) == len(found):
+        return found
+    if not any(x.tag in ARTICLE_TAGS for n, _ in kept for x in n.line()):
+        # Elements with such names around the page's articles: these are judged by the names within them.
+        around = {id(n.named) for n, _ in found if n.named is not None and any(
+            x.tag in ARTICLE_TAGS and x is not n.named and x.depth > n.named.depth for x in n.line())}
+        if around or not kept:
+            inner = [(n, t) for n, t in found if n.named is None or (id(n.named) in around or not kept) and not _named_within(n)]
+            return inner or found
+    return kept
+
+
+def _named_within(node: Node) -> bool:
+    """Whether a further element speaks against a block, below the outermost that does."""
+    for x in node.line():
+        if x is node.named:
+            return False
+        if x.by_name:
+            return True
+    return False
+
+
+def path_scores(found: list[tuple[Node, str]]) -> dict[int, float]:
     """The fused score of each tag path: smoothed text ratio times smoothed punctuation ratio."""
     text, marks, count = {}, {}, {}
     for node, t in found:
@@ -199,9 +276,19 @@ def path_scores(found: list[tuple[Node, str]]) -> dict[str, float]:
     return score
 
 
+def _article(found: list[Node], held: dict[int, float]) -> Node:
+    """Of article-like elements the one with the most score. An <article> in it that holds ``MOST`` of that goes
+    before it; of equal ones, the outermost <article>, or else the innermost."""
+    top = max(held[id(n)] for n in found)
+    marked = [n for n in found if n.tag == "article" and held[id(n)] >= MOST * top]
+    if marked:
+        return max(marked, key=lambda n: (held[id(n)], -n.depth))
+    return max(found, key=lambda n: (held[id(n)], n.depth))
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page: its content node's blocks, joined by a space."""
-    found = blocks(page) if page else []
+    found = _named_out(blocks(page)) if page else []
     if not found:
         return ""
     scores = path_scores(found)
@@ -216,7 +303,7 @@ def main_text(page: str | None) -> str:
     of_path = Counter(n.path for n, _ in content)
     inside_of: Counter[int] = Counter()  # content blocks in an element,
     wanted: Counter[int] = Counter()  # and all those of the paths that it has any of
-    touched: set[tuple[int, str]] = set()
+    touched: set[tuple[int, int]] = set()
     for node, t in content:
         for n in node.line():
             k = id(n)
@@ -228,13 +315,13 @@ def main_text(page: str | None) -> str:
                 wanted[k] += of_path[node.path]
     articles = [k for k, n in nodes.items() if n.article]
     if articles:
-        root = nodes[max(articles, key=lambda k: (held[k], -len(nodes[k].path)))]
+        root = _article([nodes[k] for k in articles], held)
         # Several articles of one page (a series) stand in the same parent: all are main text.
         tops = [n for n in nodes.values() if n.tag == root.tag and n.parent is root.parent and n.article]
     else:
         most = max(held.values())
         tops = [max((n for k, n in nodes.items() if held[k] >= MOST * most and inside_of[k] == wanted[k]
-                     and inside_of[k] >= min(2, len(content))), key=lambda n: len(n.path))]
+                     and inside_of[k] >= min(2, len(content))), key=lambda n: n.depth)]
     inside = {id(n) for n in tops}
     return " ".join(t for n, t in found if any(id(x) in inside for x in n.line()))
 
