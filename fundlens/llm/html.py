@@ -82,10 +82,10 @@ class Node:
     """An element: its tag, path, parent, and whether it is boilerplate (by its tag or only by its names) or article-like.
 
     ``skipped`` holds for all within a skipped element, ``named`` is the outermost element around it that
-    only its names speak against. Paths are numbers, equal for equal paths of a page.
+    only its names speak against; below that, ``marked_in`` tells of an article and ``again`` of further such names. Paths are numbers, equal for equal paths of a page.
     """
 
-    __slots__ = ("article", "by_name", "depth", "in_article", "in_marked", "named", "parent", "parts", "path", "skipped", "tag")
+    __slots__ = ("again", "article", "depth", "in_article", "in_marked", "marked_in", "named", "parent", "parts", "path", "skipped", "tag")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str, paths: dict[tuple[int, str], int]):
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
@@ -120,15 +120,12 @@ class Node:
             against.discard("header")
         # A header within an article heads the article, not the page.
         by_tag = hidden or tag in SKIPPED and not (tag == "header" and inside)
-        self.by_name = by_name = bool(against) and tag not in ("html", "body", "main") and not (tag == "article" and words & ARTICLE_WORDS)
+        by_name = bool(against) and tag not in ("html", "body", "main") and not (tag == "article" and words & ARTICLE_WORDS)
         self.skipped = bool(parent and parent.skipped) or by_tag or by_name and tag in INLINE
-        self.named = (parent.named if parent else None) or (self if by_name else None)
-
-    def line(self):
-        node: Node | None = self
-        while node is not None:
-            yield node
-            node = node.parent
+        above = parent.named if parent else None
+        self.named = above or (self if by_name else None)
+        self.marked_in = above is not None and (parent.marked_in or tag in ARTICLE_TAGS)
+        self.again = above is not None and (parent.again or by_name)
 
 
 def _references(text: str) -> str:
@@ -227,26 +224,14 @@ def _named_out(found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
     kept = [(n, t) for n, t in found if n.named is None]
     if len(kept) == len(found):
         return found
-    if not any(x.tag in ARTICLE_TAGS for n, _ in kept for x in n.line()):
-        # Elements with such names around the page's articles: these are judged by the names within them.
-        around = {id(n.named) for n, _ in found if n.named is not None and any(
-            x.tag in ARTICLE_TAGS and x is not n.named and x.depth > n.named.depth for x in n.line())}
+    if not any(n.in_marked for n, _ in kept):
+        # Elements with such names around the page's articles or all of it: these are judged by the names within them.
+        around = {id(n.named) for n, _ in found if n.marked_in}
         if around or not kept:
-            inner = [(n, t) for n, t in found if n.named is None or (id(n.named) in around or not kept) and not _named_within(n)]
-            return inner or found
+            return [(n, t) for n, t in found if n.named is None or (id(n.named) in around or not kept) and not n.again] or found
     return kept
 
 
-def _named_within(node: Node) -> bool:
-    """Whether a further element speaks against a block, below the outermost that does."""
-    for x in node.line():
-        if x is node.named:
-            return False
-        if x.by_name:
-            return True
-    return False
-
-
 def path_scores(found: list[tuple[Node, str]]) -> dict[int, float]:
     """The fused score of each tag path: smoothed text ratio times smoothed punctuation ratio."""
     text, marks, count = {}, {}, {}
@@ -297,22 +282,32 @@ def main_text(page: str | None) -> str:
     deviation = math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
     limit = min(max(values), THRESHOLD * deviation)
     content = [(n, t) for n, t in found if scores[n.path] >= limit]
-    # What each element holds of the content paths' score and text.
+    # What each element holds of the content paths' score and blocks, and of the blocks of paths that it holds whole.
     held: dict[int, float] = {}
     nodes: dict[int, Node] = {}
+    inside_of: Counter[int] = Counter()
+    whole: Counter[int] = Counter()
+    own: dict[int, dict[int, Node]] = {}
     of_path = Counter(n.path for n, _ in content)
-    inside_of: Counter[int] = Counter()  # content blocks in an element,
-    wanted: Counter[int] = Counter()  # and all those of the paths that it has any of
-    touched: set[tuple[int, int]] = set()
     for node, t in content:
-        for n in node.line():
-            k = id(n)
-            held[k] = held.get(k, 0.0) + scores[node.path] * len(t)
-            nodes[k] = n
-            inside_of[k] += 1
-            if (k, node.path) not in touched:
-                touched.add((k, node.path))
-                wanted[k] += of_path[node.path]
+        held[id(node)] = held.get(id(node), 0.0) + scores[node.path] * len(t)
+        inside_of[id(node)] += 1
+        own.setdefault(node.path, {})[id(node)] = node
+        nodes[id(node)] = node
+    for path, level in own.items():  # up to the one element around all of a path's blocks
+        while len(level) > 1:
+            level = {id(n.parent): n.parent for n in level.values()}
+        whole[next(iter(level))] += of_path[path]
+    by_depth: dict[int, dict[int, Node]] = {}
+    for k, n in nodes.items():
+        by_depth.setdefault(n.depth, {})[k] = n
+    for depth in range(max(by_depth), 0, -1):
+        for k, n in by_depth.get(depth, {}).items():
+            up = id(n.parent)
+            by_depth.setdefault(depth - 1, {})[up] = nodes[up] = n.parent
+            held[up] = held.get(up, 0.0) + held[k]
+            inside_of[up] += inside_of[k]
+            whole[up] += whole[k]
     articles = [k for k, n in nodes.items() if n.article]
     if articles:
         root = _article([nodes[k] for k in articles], held)
@@ -320,10 +315,21 @@ def main_text(page: str | None) -> str:
         tops = [n for n in nodes.values() if n.tag == root.tag and n.parent is root.parent and n.article]
     else:
         most = max(held.values())
-        tops = [max((n for k, n in nodes.items() if held[k] >= MOST * most and inside_of[k] == wanted[k]
+        tops = [max((n for k, n in nodes.items() if held[k] >= MOST * most and inside_of[k] == whole[k]
                      and inside_of[k] >= min(2, len(content))), key=lambda n: n.depth)]
-    inside = {id(n) for n in tops}
-    return " ".join(t for n, t in found if any(id(x) in inside for x in n.line()))
+    inside = {id(n): True for n in tops}
+
+    def within(node: Node) -> bool:
+        passed = []
+        at: Node | None = node
+        while at is not None and id(at) not in inside:
+            passed.append(id(at))
+            at = at.parent
+        answer = at is not None and inside[id(at)]
+        inside.update(dict.fromkeys(passed, answer))
+        return answer
+
+    return " ".join(t for n, t in found if within(n))
 
 
 EXTRACTED = "text string, n_chars long"
