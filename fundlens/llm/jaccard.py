@@ -21,15 +21,18 @@ Verification brings the texts of a pair's two classes together by the least id o
 star, with many members split over several salts.
 
 The links found so far tie components together; inside of one most pairs are not looked at.
-As every link lies within a component, ``link_counts`` then compares all pairs of classes of each
-component exactly. A component's members are dealt as pairs of blocks of ``MAX_BLOCK``
-members and ``MAX_TOKENS`` shingles on average to tasks of their own, which return a count for each
-member and never a row for each pair.
+As every link lies within a component, ``link_counts`` then counts the pairs of classes of each
+component exactly. Its members are dealt by size class as blocks of ``MAX_BLOCK``
+members and ``MAX_TOKENS`` shingles on average; pairs of blocks of one or two neighbouring size classes (no others
+can link) go to tasks of their own, which return a count for each member and never a row for each pair. In a
+family most members have most shingles: of a shingle that over half of a task's sets have, those without
+it are counted instead.
 
 Cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing (its component is its own id); with fewer than five words the whole
 sequence is one shingle; texts are read whole; repeated rows and equal texts
-are one class; an empty table gives an empty result; other columns are passed over.
+are one class; a row with a null id links as any other and gets its component's least id that isn't null (null if
+there is none); an empty table gives an empty result; other columns are passed over.
 """
 
 from __future__ import annotations
@@ -42,7 +45,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import signature_trees as trees
 from .components import connected
@@ -60,9 +62,11 @@ BITMAP = 32
 STAR_ROUNDS = 2
 #: Members of a group that are joined in one task, and pairs of one star that a task verifies.
 MAX_GROUP, MAX_STAR = 4096, 2000
-#: Members and shingles of a block of a component whose links are counted, and shingles compared at a time.
-MAX_BLOCK, MAX_TOKENS, COLUMNS = 512, 1 << 19, 2048
+#: Members and shingles of a block of a component whose links are counted, shingles and rows compared at a time, and
+#: sets up to which the pairs that share a shingle are listed one by one.
+MAX_BLOCK, MAX_TOKENS, COLUMNS, STRIP, FEW = 4096, 1 << 21, 1024, 1024, 48
 
+PAIR = "a string, b string"
 _FACTOR = _constants(11, KEYS * KEY_PARTS)
 _SHIFT = _constants(12, KEYS * KEY_PARTS)
 
@@ -153,17 +157,26 @@ def _joined():
     return sweep
 
 
+def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text), the id as a string that is never null: a row without one has its text's digest."""
+    return df.select(F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")),
+                                F.concat(F.lit("t"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))).alias("id"),
+                     F.col(text_col).alias("text"), F.col(id_col).isNull().alias("without"))
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) of ``_keyed``, equal texts without an id once."""
+    docs = _keyed(df, id_col, text_col)
+    return docs.filter("not without").drop("without").unionByName(docs.filter("without").drop("without").dropDuplicates(["id"]))
+
+
 def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, content, n, keys, bits) of each document, written."""
-    kind = df.schema[id_col].dataType
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return written(docs.mapInPandas(_signatures, T.StructType([
-        T.StructField("id", kind), T.StructField("content", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("bits", T.ArrayType(T.LongType()))])),
-        "signatures")
+    return written(_keyed(df, id_col, text_col).select("id", "text").mapInPandas(
+        _signatures, "id string, content long, n long, keys array<long>, bits array<long>"), "signatures")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_type: T.DataType) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar, decided on the texts."""
     salts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).select(
         "a", F.ceil(F.col("c") / MAX_STAR).cast("int").alias("salts"))
@@ -175,23 +188,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_type: T.DataType) -> DataFra
     return (docs.filter(wanted(F.col("id"))).join(roles, "id")
             .repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
             .select("a", "kind", "id", "text")
-            .mapInPandas(_intersections, T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)]))
+            .mapInPandas(_intersections, PAIR)
             .distinct())
 
 
+def _size_class(n: Column) -> Column:
+    """Sets that link are in one class or in two neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / math.log(100 / PERCENT) + 1e-9).cast("int")
+
+
 def links(df: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(a, b): links between classes that hold all classes' components together."""
-    id_type = df.schema[id_col].dataType
-    pair = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = _texts(df, id_col, text_col)
     # A class for each set; of documents with this set the least id stands for it.
     classes = written(sets.filter("n > 0").groupBy("content", "n")
                       .agg(F.min(F.struct("id", "keys", "bits")).alias("one"))
                       .select("one.id", "n", "one.keys", "one.bits"), "classes")
     keyed = classes.select("id", "n", F.explode("keys").alias("key"))
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    members = written(keyed.join(several, "key", "left_semi").withColumn(
-        "size_class", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / PERCENT) + 1e-9).cast("int")), "members")
+    members = written(keyed.join(several, "key", "left_semi").withColumn("size_class", _size_class(F.col("n"))), "members")
 
     signs = classes.select("id", "n", "bits")
     labelled = members.withColumn("label", F.col("id"))
@@ -202,9 +217,9 @@ def links(df: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFra
         stars = _stars(labelled, rank)
         if tried is not None:
             stars = stars.join(tried, ["a", "b"], "left_anti")
-        stars = written(_allowed(stars, signs, pair), "stars")
+        stars = written(_allowed(stars, signs), "stars")
         tried = stars if tried is None else tried.unionByName(stars)
-        new = written(_verified(stars, docs, id_type), "links")
+        new = written(_verified(stars, docs), "links")
         found = new if found is None else found.unionByName(new)
         labelled = (members.join(connected(found), "id", "left")
                     .withColumn("label", F.coalesce("component", "id")).drop("component"))
@@ -220,8 +235,8 @@ def links(df: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFra
             .select("key", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("block"),
                     (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "n", "label", "bits"))
     rest = (rows.repartition("key", "block").sortWithinPartitions("key", "block")
-            .mapInPandas(_joined(), pair).distinct().join(tried, ["a", "b"], "left_anti"))
-    return found.unionByName(written(_verified(written(rest, "pairs"), docs, id_type), "links"))
+            .mapInPandas(_joined(), PAIR).distinct().join(tried, ["a", "b"], "left_anti"))
+    return found.unionByName(written(_verified(written(rest, "pairs"), docs), "links"))
 
 
 def _stars(labelled: DataFrame, rank: Column) -> DataFrame:
@@ -235,7 +250,7 @@ def _stars(labelled: DataFrame, rank: Column) -> DataFrame:
             .select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct())
 
 
-def _allowed(pairs: DataFrame, signs: DataFrame, pair: T.StructType) -> DataFrame:
+def _allowed(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     """The pairs whose signatures allow the similarity."""
     signed = pairs
     for s in "ab":
@@ -251,29 +266,77 @@ def _allowed(pairs: DataFrame, signs: DataFrame, pair: T.StructType) -> DataFram
             every = np.arange(len(b))
             yield b.loc[trees.possible(x, every, y, every, PERCENT), ["a", "b"]]
 
-    return signed.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(allowed, pair)
+    return signed.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(allowed, PAIR)
+
+
+def _common(row: np.ndarray, count: np.ndarray, split: int | None, n: int) -> np.ndarray:
+    """How many columns each two rows share; the rows of each column are listed one column after the other, ``count`` in each.
+
+    Columns of few rows give their pairs one by one, those of many are multiplied as dense blocks.
+    """
+    a, b = (n, n) if split is None else (split, n - split)
+    common = np.zeros((a, b), dtype=np.int32)
+    begin = np.concatenate([[0], np.cumsum(count)])
+    for size in np.unique(count[(count > 1) & (count <= FEW)]).tolist():
+        own = begin[:-1][count == size]
+        for at in range(0, len(own), max(1, (1 << 20) // size)):
+            some = row[own[at:at + max(1, (1 << 20) // size), None] + np.arange(size)]  # ascending in each column
+            for i in range(size):
+                for j in range(i + 1, size):
+                    x, y = some[:, i], some[:, j]
+                    if split is None:
+                        np.add.at(common, (x, y), 1)
+                    else:
+                        across = (x < split) & (y >= split)
+                        np.add.at(common, (x[across], y[across] - split), 1)
+    if split is None:
+        common += common.T
+    many = np.flatnonzero(count > FEW)
+    for at in range(0, len(many), COLUMNS):
+        own = many[at:at + COLUMNS]
+        has = np.zeros((n, len(own)), dtype=np.float32)  # sums up to COLUMNS are exact
+        for k, c in enumerate(own.tolist()):
+            has[row[begin[c]:begin[c + 1]], k] = 1
+        x, y = (has, has) if split is None else (has[:split], has[split:])
+        for r in range(0, a, STRIP):
+            common[r:r + STRIP] += (x[r:r + STRIP] @ y.T).astype(np.int32)
+    return common
 
 
 def similar(sets: list[np.ndarray], split: int | None = None) -> np.ndarray:
     """Whether each two sets link: all with all, or with ``split`` those before that place with those from it on."""
+    n = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    row = np.repeat(np.arange(len(sets)), sizes)
+    row = np.repeat(np.arange(n), sizes)
     _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    several = count > 1  # a shingle of one set is common to none
-    place = np.cumsum(several) - 1
-    held = several[column]
-    row, column = row[held], place[column[held]]
     order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    a, b = (sizes, sizes) if split is None else (sizes[:split], sizes[split:])
-    common = np.zeros((len(a), len(b)), dtype=np.int64)
-    for at in range(0, int(several.sum()), COLUMNS):
-        begin, end = np.searchsorted(column, [at, at + COLUMNS])
-        has = np.zeros((len(sets), COLUMNS), dtype=np.float32)  # sums up to COLUMNS are exact
-        has[row[begin:end], column[begin:end] - at] = 1
-        x, y = (has, has) if split is None else (has[:split], has[split:])
-        common += (x @ y.T).astype(np.int64)
-    found = (common > 0) & (100 * common >= PERCENT * (a[:, None] + b[None, :] - common))
+    row = row[order]
+    begin = np.concatenate([[0], np.cumsum(count)])
+    # A shingle of over half of all sets is held by the few sets without it.
+    usual = np.flatnonzero(2 * count > n)
+    rows, counts = [], []
+    lacking = np.zeros(n, dtype=np.int64)
+    for c in usual.tolist():
+        without = np.ones(n, dtype=bool)
+        without[row[begin[c]:begin[c + 1]]] = False
+        rows.append(np.flatnonzero(without))
+        counts.append(len(rows[-1]))
+        lacking += without
+    base = len(usual)
+    kept = np.ones(len(count), dtype=bool)
+    kept[usual] = False
+    rows = np.concatenate([row[np.repeat(kept, count)], *rows])
+    counts = np.concatenate([count[kept], np.array(counts, dtype=np.int64)])
+    # In common: unusual ones that both have, and usual ones but those that either lacks (not twice those that both do).
+    both = _common(rows, counts, split, n)
+    a = slice(None) if split is None else slice(split)
+    b = slice(None) if split is None else slice(split, None)
+    found = np.empty(both.shape, dtype=bool)
+    for at in range(0, len(found), STRIP):
+        strip = slice(at, at + STRIP)
+        common = both[strip].astype(np.int64) + base - lacking[a][strip, None] - lacking[b][None, :]
+        total = sizes[a][strip, None] + sizes[b][None, :]
+        found[strip] = (common > 0) & (100 * common >= PERCENT * (total - common))
     if split is None:
         np.fill_diagonal(found, False)
     return found
@@ -312,37 +375,51 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def link_counts(df: DataFrame, classes: DataFrame, components: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, n_links): the other classes that each class (id, n) of a component (id, component) links with."""
-    id_type = df.schema[id_col].dataType
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    members = written(classes.select("id", "n").join(components, "id"), "members")
-    blocks = members.groupBy("component").agg(F.ceil(F.greatest(
-        F.count(F.lit(1)) / MAX_BLOCK, F.sum("n") / MAX_TOKENS)).cast("int").alias("blocks"))
-    roles = (members.join(blocks, "component")
-             .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("long"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
-             .select("component", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("block"),
-                     F.signum(F.col("own") - F.col("other")).cast("int").alias("side"), "id"))
+    docs = _texts(df, id_col, text_col)
+    members = written(classes.select("id", "n").join(components, "id").withColumn("size_class", _size_class(F.col("n"))), "members")
+    blocks = members.groupBy("component", "size_class").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / MAX_BLOCK, F.sum("n") / MAX_TOKENS)).cast("long").alias("blocks"))
+    # The blocks of the next smaller and the next larger class, where there are any.
+    near = blocks
+    for name, step in (("smaller", 1), ("larger", -1)):
+        near = near.join(blocks.select("component", (F.col("size_class") + step).alias("size_class"), F.col("blocks").alias(name)),
+                         ["component", "size_class"], "left")
+    dealt = members.join(near, ["component", "size_class"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+
+    def task(low: Column, across: bool, first: Column, second: Column, side: Column) -> Column:
+        return F.struct(low.alias("low"), F.lit(across).alias("across"), first.alias("first"), second.alias("second"), side.alias("side"))
+
+    own, cls, none = F.col("own"), F.col("size_class"), F.array().cast(
+        "array<struct<low:int,across:boolean,first:bigint,second:bigint,side:int>>")
+    each = lambda n, f: F.coalesce(F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), n - 1), f)), none)
+    tasks = F.concat(
+        each(F.col("blocks"), lambda o: task(cls, False, F.least(own, o), F.greatest(own, o), F.signum(own - o).cast("int"))),
+        each(F.col("larger"), lambda o: task(cls, True, own, o, F.lit(-1))),
+        each(F.col("smaller"), lambda o: task(cls - 1, True, o, own, F.lit(1))))
+    roles = dealt.select("component", "id", F.explode(tasks).alias("t")).select(
+        "component", F.struct("t.low", "t.across", "t.first", "t.second").alias("block"), "t.side", "id")
     wanted = id_filter(members.select("id"))
-    counts = (docs.filter(wanted(F.col("id"))).join(roles, "id")
+    counts = (docs.filter(wanted(F.col("id"))).join(roles, "id").withColumn("block", F.to_json("block"))
               .repartition("component", "block").sortWithinPartitions("component", "block", "side", "id")
-              .select("component", "block", "side", "id", "text")
-              .mapInPandas(_counts, T.StructType([T.StructField("id", id_type), T.StructField("n_links", T.LongType())])))
+              .select("component", "block", "side", "id", "text").mapInPandas(_counts, "id string, n_links long"))
     return counts.groupBy("id").agg(F.sum("n_links").alias("n_links"))
 
 
 def join_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
     """One row per document: id, n_shingles, component_id, and if ``counted`` n_links: with how many
     other classes (different sets) the document's own links."""
+    id_type = df.schema[id_col].dataType
     sets = signatures(df, id_col, text_col)
     found = links(df, sets, id_col, text_col)
     components = connected(found)
-    classes = sets.filter("n > 0").groupBy("content", "n").agg(F.min("id").alias("id"))
-    named = classes.join(components, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
+    own_id = F.when(F.col("id").startswith("i"), F.substr("id", F.lit(2)).cast(id_type))
+    classes = sets.filter("n > 0").groupBy("content", "n").agg(F.min("id").alias("id"), F.min(own_id).alias("least"))
+    named = written(classes.join(components, "id", "left").withColumn("component", F.coalesce("component", "id")), "named")
+    named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component")
     if counted:
         named = named.join(link_counts(df, classes, components, id_col, text_col), "id", "left")
     more = ["n_links"] if counted else []
-    return (sets.select("id", "content", "n").join(named.select("content", "n", "component_id", *more),
-                                                   ["content", "n"], "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "id").alias("component_id"),
+    return (sets.select("id", "content", "n").join(named.select("content", "n", "component_id", *more), ["content", "n"], "left")
+            .select(own_id.alias(id_col), F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(own_id).alias("component_id"),
                     *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in more)))

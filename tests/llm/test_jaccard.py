@@ -80,9 +80,9 @@ def link_counts(docs):
     return {i: sum(s != x and 100 * len(s & x) >= 75 * len(s | x) for x in every) if s else 0 for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("limits", [(512, 1 << 19, 2048), (3, 100, 7)])
+@pytest.mark.parametrize("limits", [(4096, 1 << 21, 1024, 1024, 48), (3, 100, 7, 2, 2), (8, 1 << 21, 50, 3, 0)])
 def test_links_within_components_are_counted(spark, edges, empty, monkeypatch, limits):
-    for name, value in zip(("MAX_BLOCK", "MAX_TOKENS", "COLUMNS"), limits):
+    for name, value in zip(("MAX_BLOCK", "MAX_TOKENS", "COLUMNS", "STRIP", "FEW"), limits):
         monkeypatch.setattr(jaccard, name, value)
     r, docs = random.Random(6), []
     for family in range(3):
@@ -99,3 +99,33 @@ def test_links_within_components_are_counted(spark, edges, empty, monkeypatch, l
     assert sorted((x.doc_id, x.n_links) for x in jaccard.join_documents(edges).collect()) == sorted(
         (i, want[i]) for i, _ in cases)
     assert jaccard.join_documents(empty).columns[-1] == "n_links" and jaccard.join_documents(empty).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 3, 48])
+@pytest.mark.parametrize("split", [None, 20])
+def test_common_shingles_are_counted_by_what_sets_lack(monkeypatch, few, split):
+    monkeypatch.setattr(jaccard, "FEW", few)
+    monkeypatch.setattr(jaccard, "STRIP", 7)
+    r = np.random.default_rng(few)
+    base = r.integers(0, 1 << 62, 60).astype(np.uint64)
+    sets = [np.unique(np.append(base[r.random(60) < r.uniform(0.6, 1)], r.integers(0, 40, 1 + k % 9).astype(np.uint64))) for k in range(50)]
+    found = jaccard.similar(sets, split)
+    rows, columns = (sets, sets) if split is None else (sets[:split], sets[split:])
+    for i, x in enumerate(rows):
+        for j, y in enumerate(columns):
+            c = len(np.intersect1d(x, y))
+            assert found[i, j] == (100 * c >= 75 * (len(x) + len(y) - c) and (split is not None or i != j))
+
+
+def test_null_ids(spark):
+    base = "some words that make a text of its own with quite a few shingles in it so that one more changes little"
+    docs = [(1, base), (None, base), (2, base + " more"), (4, base + " more words"), (None, "no other text is like this one here"),
+            (None, "no other text is like this one here"), (None, None), (9, ""), (None, base + " else")]
+    got = jaccard.join_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(got) == len(docs)
+    assert {(r.doc_id, r.component_id, r.n_links) for r in got} == {
+        (1, 1, 3), (None, 1, 3), (2, 1, 3), (4, 1, 3), (None, None, 0), (9, 9, 0)}
+    assert sorted(r.n_shingles for r in got if r.component_id is None) == [0, 4, 4]
+    few = jaccard.join_documents(spark.createDataFrame(docs, "doc_id string, text string"), counted=False)
+    assert {(r.doc_id, r.component_id) for r in few.collect()} == {
+        ("1", "1"), (None, "1"), ("2", "1"), ("4", "1"), (None, None), ("9", "9")}
