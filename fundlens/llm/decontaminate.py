@@ -7,12 +7,14 @@ them at most, so of all its runs enough are left, near their places (those of
 fewer, or too far apart, can't be an occurrence).
 
 Windows and items are embedded by the random walk of Chakraborty, Goldenberg
-and Koucky: at each of 3n steps the walk copies the word that it stands on and
+and Koucky: at each step the walk copies the word that it stands on and
 moves on or stays, by a random bit for step and word; a few edits then
-change few steps. Each of several repetitions samples ``SAMPLED`` steps of a walk of
-its own as a key; windows that share a key with an item of their size are
-candidates. The repetitions follow from ``RECALL``, if embeddings agree in half
-of their steps. Candidates are verified by the exact edit distance of the item to any
+change few steps. Each of several repetitions has a walk of its own over ``SPAN`` words, from its own place in the item and in
+the window, and samples ``SAMPLED`` of its steps, all at which walks are still under way, as a key; windows that share a
+key with an item of their size are candidates. As there is a window for each place at which an item's run was found, some
+window is aligned with the item where a walk begins, however long the item and whatever was inserted before.
+The repetitions follow from ``RECALL`` and the share of keys that stay equal at ``MAX_EDITS``, measured for
+spans of each size. Candidates are verified by the exact edit distance of the item to any
 stretch of the window and its surroundings.
 
 Items are broadcast in blocks of ``BLOCK_BYTES`` at most on average; a larger benchmark
@@ -20,7 +22,7 @@ takes one pass over the documents for each block.
 
 Cases: a null or empty text holds no item; texts are read whole; a
 null item, or one without words, is not searched for; one of fewer than ``MIN_WORDS`` words is
-searched for as a run of exactly these words if ``short_items`` is set, as the query and the pipeline do; equal
+searched for as a run of exactly these words; equal
 items are each found; of equal distances the first place is given; repeated
 documents each have rows of their own; empty tables give an empty result; other columns are
 passed over. Words are lower-cased runs of ASCII letters and digits and of all
@@ -31,9 +33,11 @@ their punctuation separates words.
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -51,8 +55,12 @@ MAX_EDITS = 0.25
 #: Words of a run (two in short items).
 RUN = 3
 MIN_WORDS = 5
-#: Sampled steps of a key, and the share of occurrences with the most edits that the keys find.
+#: Sampled steps of a key, and the share of occurrences with the most edits that the keys of one aligned window find.
 SAMPLED, RECALL = 3, 0.95
+#: Words of an item that one walk goes over, and steps among which it is sampled, for each of these words.
+SPAN, PACE = 24, 1.2
+#: Spans with edits on which the share of equal keys is measured, and walks over each.
+TRIALS, WALKS = 64, 48
 BLOCK_BYTES = 1 << 24
 #: Texts whose words are hashed, and windows that are embedded at a time.
 AT_ONCE, MOST_WINDOWS = 500, 5000
@@ -86,23 +94,21 @@ def _runs(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(out)
 
 
-def repetitions(recall: float = RECALL, agree: float = 0.5, sampled: int = SAMPLED) -> int:
-    """Keys after which a pair whose embeddings agree in that share of steps is found with ``recall``."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - agree ** sampled))
-
-
 def embedded_keys(windows: np.ndarray, sizes: np.ndarray, repeats: int, sampled: int = SAMPLED) -> np.ndarray:
     """The keys of rows of words (zero beyond their sizes), a row for each
-    repetition: sampled steps of its CGK walk, at the same share of each row's 3n steps."""
-    n_rows, width = windows.shape
-    bits = _constants(5000, repeats * 3 * width).reshape(repeats, 3 * width)
-    share = (_constants(1000, repeats * sampled) >> _U(11)).astype(np.float64).reshape(repeats, sampled) / (1 << 53)
+    repetition: sampled steps of its CGK walk from its own place on, at the same shares of each row's size."""
+    n_rows = len(windows)
+    share = (_constants(1000, repeats * (sampled + 1)) >> _U(11)).astype(np.float64).reshape(repeats, sampled + 1) / (1 << 53)
     padded = np.column_stack([windows, np.zeros(n_rows, dtype=_U)])
     repeat, row = np.repeat(np.arange(repeats), n_rows), np.tile(np.arange(n_rows), repeats)
     size = sizes[row]
-    steps = (share[repeat] * (3 * size)[:, None]).astype(np.int64)
-    at, key = np.zeros(len(row), dtype=np.int64), size.astype(_U)
-    for step in range(int(steps.max(initial=-1)) + 1):
+    span = np.minimum(size, SPAN)
+    at = (share[repeat, 0] * (size - span + 1)).astype(np.int64)
+    steps = (share[repeat, 1:] * (PACE * span)[:, None]).astype(np.int64)
+    last = int(steps.max(initial=-1))
+    bits = _constants(5000, repeats * (last + 1)).reshape(repeats, last + 1)
+    key = size.astype(_U)
+    for step in range(last + 1):
         word = padded[row, at]
         here = np.flatnonzero((steps == step).any(axis=1))
         key[here] = mixed((key[here] ^ word[here]) * FACTORS[45])
@@ -110,6 +116,27 @@ def embedded_keys(windows: np.ndarray, sizes: np.ndarray, repeats: int, sampled:
     return key.reshape(repeats, n_rows)
 
 
+@cache
+def equal_keys(span: int) -> float:
+    """The share of keys that are equal for a span of different words and one with ``MAX_EDITS`` random edits to each word."""
+    r = random.Random(span)
+    rows = np.zeros((2 * TRIALS, span), dtype=_U)
+    for k in range(TRIALS):
+        words = list(range(1, 2 * span + 1))
+        rows[k] = words[:span]
+        for _ in range(int(MAX_EDITS * span)):
+            n, what = r.randrange(span), r.randrange(3)
+            words[n:n + (what != 1)] = [] if what == 2 else [r.getrandbits(40) + 1000]
+        rows[TRIALS + k] = words[:span]
+    keys = embedded_keys(mixed(rows), np.full(2 * TRIALS, span, dtype=np.int64), WALKS)
+    return max(float((keys[:, :TRIALS] == keys[:, TRIALS:]).mean()), 1 / (TRIALS * WALKS))
+
+
+def repetitions(size: int, recall: float = RECALL) -> int:
+    """Keys after which an item of so many words with the most edits is found with ``recall``."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - min(equal_keys(min(size, SPAN)), 0.99)))
+
+
 def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     """The least edits from the item to any stretch of the words, and where the first such stretch ends."""
     n = len(item)
@@ -134,7 +161,7 @@ def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
 class Items:
     """Benchmark items with what is looked up of them."""
 
-    def __init__(self, ids: list, texts: list[str | None], recall: float = RECALL, short_items: bool = False):
+    def __init__(self, ids: list, texts: list[str | None], recall: float = RECALL):
         words, begins = _words(texts)
         few: dict[int, list[tuple[int, object]]] = defaultdict(list)
         self.ids, self.words, self.edits, self.runs, self.least = [], [], [], [], []
@@ -148,7 +175,7 @@ class Items:
                 run = next(r for r in range(RUN, 0, -1) if r == 1 or n - r + 1 - r * k >= 2)
                 self.runs.append(run)
                 self.least.append(max(1, n - run + 1 - run * k))  # runs that k edits leave
-            elif n and short_items:
+            elif n:
                 few[n].append((int(_runs(words[a:b], n)[0]), i))
         # Items of few words after the others: (hash, item), sorted, for each length.
         self.few: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -167,7 +194,7 @@ class Items:
         self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
         self.band = 2 * np.array(self.edits, dtype=np.int64) + 1
         self.least = np.array(self.least, dtype=np.int64)
-        self.repeats = repetitions(recall)
+        self.repeats = max((repetitions(int(n), recall) for n in np.unique(np.minimum(self.sizes, SPAN))), default=1)
         # Items by size, repetition and key.
         self.keys: dict[tuple[int, int, int], list[int]] = defaultdict(list)
         rows = np.zeros((len(self.words), int(self.sizes.max(initial=1))), dtype=_U)
@@ -273,20 +300,18 @@ class Items:
                 out[t][i] = (edits, s)
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int,
-            short_items: bool) -> Iterator[Items]:
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[Items]:
     """The items, a block at a time."""
     items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).filter("t is not null")
     total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for block in range(n):
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == block).orderBy("i", "t").collect()
-        yield Items([r["i"] for r in rows], [r["t"] for r in rows], short_items=short_items)
+        yield Items([r["i"] for r in rows], [r["t"] for r in rows])
 
 
 def find_items(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
-               short_items: bool = False) -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document and item in it: id, item, edits, word_at (the window's first word)."""
     out_type = T.StructType([T.StructField("id", df.schema[id_col].dataType),
                              T.StructField("item", benchmark.schema[item_col].dataType),
@@ -294,7 +319,7 @@ def find_items(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sc = df.sparkSession.sparkContext
     parts: list[DataFrame] = []
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes, short_items):
+    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
         held = sc.broadcast(items)
 
         def search(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
@@ -321,11 +346,10 @@ def _holds(items: Broadcast):
 
 
 def without_items(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
-                  short_items: bool = False) -> DataFrame:
+                  item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows in whose text no item of the benchmark occurs."""
     sc, out = df.sparkSession.sparkContext, df
-    for n, items in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes, short_items)):
+    for n, items in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes)):
         if n:  # of several blocks, one at a time is held
             out = written(out, "clean")
         out = out.filter(~_holds(sc.broadcast(items))(F.col(text_col)))

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from . import signature_trees as trees
 from .components import connected
 from .rolling import FACTORS, _constants, mixed
-from .shared import id_filter, written
+from .shared import id_filter, key_id, row_key, written
 from .words import shingle_sets
 
 PERCENT = 75
@@ -159,9 +159,7 @@ def _joined():
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text), the id as a string that is never null: a row without one has its text's digest."""
-    return df.select(F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")),
-                                F.concat(F.lit("t"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))).alias("id"),
-                     F.col(text_col).alias("text"), F.col(id_col).isNull().alias("without"))
+    return df.select(row_key(F.col(id_col), F.col(text_col)).alias("id"), F.col(text_col).alias("text"), F.col(id_col).isNull().alias("without"))
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -412,7 +410,7 @@ def join_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = signatures(df, id_col, text_col)
     found = links(df, sets, id_col, text_col)
     components = connected(found)
-    own_id = F.when(F.col("id").startswith("i"), F.substr("id", F.lit(2)).cast(id_type))
+    own_id = key_id(F.col("id"), id_type)
     classes = sets.filter("n > 0").groupBy("content", "n").agg(F.min("id").alias("id"), F.min(own_id).alias("least"))
     named = written(classes.join(components, "id", "left").withColumn("component", F.coalesce("component", "id")), "named")
     named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component")

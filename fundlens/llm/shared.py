@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 #: Bits of an id filter. Its size is this at most, whatever the number of ids.
 FILTER_BITS = 1 << 24
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder of spark.checkpoint.dir."""
-    from ..session import ensure_checkpoint_dir
-
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """The rows as a Parquet table in the shared folder of spark.checkpoint.dir, gone with ``session.clear_scratch``."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key(id_col: Column, text: Column) -> Column:
+    """The id as a string that is never null: a row without an id has its text's digest."""
+    return F.coalesce(F.concat(F.lit("i"), id_col.cast("string")), F.concat(F.lit("t"), F.md5(F.coalesce(text, F.lit("")))))
+
+
+def key_id(key: Column, kind) -> Column:
+    """The id of a ``row_key``; null for a row without one."""
+    return F.when(key.startswith("i"), F.substr(key, F.lit(2)).cast(kind))
+
+
 def id_filter(ids: DataFrame, bits: int = FILTER_BITS):
     """A function from an id column to a boolean column that holds for each id of
     the single-column ``ids``, and by chance for some others.

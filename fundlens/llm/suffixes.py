@@ -26,7 +26,8 @@ Cases: a null text is an empty one; texts shorter than ``length`` have no
 window; texts of any length are read whole, the longest in overlapping parts; ties
 of the smallest hash go to the leftmost; a repeated row is one more document
 with the same text, so it is removed where it is long enough (rows that share
-an id and differ in text share what is found in either); an empty table gives
+an id and differ in text share what is found in either); a row with a null id is a document of its own
+(rows without an id and of equal text repeat each other); an empty table gives
 an empty result; other columns are passed over.
 """
 
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .rolling import sliding_min, window_hashes
-from .shared import id_filter, written
+from .shared import id_filter, key_id, row_key, written
 
 LENGTH = 200
 #: Bytes of an anchor. Shorter: fewer rows, but more anchors that only look repeated.
@@ -210,10 +211,15 @@ def _single_windows(length: int):
 def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
                    max_group: int = MAX_GROUP) -> DataFrame:
     """(id, s, e): spans in bytes that cover exactly the repeated windows; they may overlap."""
+    docs = df.select(row_key(F.col(id_col), F.col(text_col)).alias("id"), F.col(text_col).alias("text"))
+    return _spans(docs, length, max_group).withColumn("id", key_id(F.col("id"), df.schema[id_col].dataType))
+
+
+def _spans(docs: DataFrame, length: int, max_group: int) -> DataFrame:
+    """(id, s, e) of documents (id, text) whose ids are row keys."""
     if length < ANCHOR or length - ANCHOR > 255:
         raise ValueError(f"length must be {ANCHOR} to {ANCHOR + 255}")
-    kind = df.schema[id_col].dataType
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = T.StringType()
     runs_type = T.StructType([T.StructField("h", T.LongType()), T.StructField("u", T.LongType()),
                               T.StructField("id", kind), T.StructField("place", T.LongType())])
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -292,17 +298,18 @@ def _removed(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
 def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
                    max_group: int = MAX_GROUP) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256."""
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    spans = written(repeated_spans(df, length, id_col, text_col, max_group), "spans")
+    docs = df.select(row_key(F.col(id_col), F.col(text_col)).alias("id"), F.col(text_col).alias("text"))
+    own_id = key_id(F.col("id"), df.schema[id_col].dataType).alias(id_col)
+    spans = written(_spans(docs, length, max_group), "spans")
     by_id = spans.groupBy("id").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     found = id_filter(spans.select("id"))
     marked = docs.withColumn("_found", found(F.col("id")))
     removed = F.pandas_udf(_removed, REMOVED)
     cut = (marked.filter("_found").join(by_id, "id", "left")
-           .select(F.col("id").alias(id_col), removed("text", "spans").alias("_r")).select(id_col, "_r.*"))
+           .select(own_id, removed("text", "spans").alias("_r")).select(id_col, "_r.*"))
     # Documents that the filter leaves out have no span; their texts stay where they are.
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rest = marked.filter("not _found").select(
-        F.col("id").alias(id_col), F.octet_length(data).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        own_id, F.octet_length(data).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.sha2(data, 256).alias("kept_sha256"))
     return cut.unionByName(rest)

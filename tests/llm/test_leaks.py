@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 
 from . import brute
 from fundlens.llm import decontaminate as D
+from fundlens.llm.rolling import mixed
 
 
 def test_edit_distance():
@@ -43,6 +45,38 @@ def test_recall_of_edited_items(sf, documents):
     assert found >= 0.95 * total
 
 
+def vocabulary(r, n=3000):
+    """Words as often as in prose."""
+    weights = [1 / (k + 3) for k in range(n)]
+    return lambda m: r.choices(range(1, n + 1), weights, k=m)
+
+
+@pytest.mark.parametrize("size", [20, 60, 200, 600, 2000])
+def test_recall_at_all_sizes(size):
+    r = random.Random(size)
+    words, n = vocabulary(r), 120 if size < 600 else 40
+    texts = [" ".join(f"w{w}" for w in words(size)) for _ in range(n)]
+    items = D.Items(list(range(n)), texts)
+    cases = []
+    for t in texts:
+        own = t.split()
+        for _ in range(int(D.MAX_EDITS * size)):
+            at, what = r.randrange(len(own)), r.randrange(3)
+            own[at:at + (what != 1)] = [] if what == 2 else [f"x{r.randrange(500)}"]
+        cases.append(" ".join([f"w{w}" for w in words(200)] + own + [f"w{w}" for w in words(200)]))
+    found = sum(i in {items.ids[k] for k in got} for i, got in enumerate(items.find(cases)))
+    assert found >= 0.95 * n
+
+
+@pytest.mark.parametrize("size", [5, 8, 20, 60, 400, 2000])
+def test_unrelated_windows_share_no_key(size):
+    words = vocabulary(random.Random(size))
+    rows = mixed(np.array([words(size) for _ in range(60)], dtype=np.uint64))
+    keys = D.embedded_keys(rows, np.full(60, size, dtype=np.int64), D.repetitions(size))
+    shared = [bool((keys[:, i] == keys[:, j]).any()) for i in range(60) for j in range(i)]
+    assert sum(shared) <= 0.05 * len(shared)
+
+
 def test_query_equals_brute_force(spark, sf, documents):
     from fundlens.llm.queries import queries
 
@@ -78,7 +112,7 @@ def test_cases(spark, edges, empty):
         [(1, None), (2, ""), (3, "one two"), (4, "one two three four five six"), (5, "a b a b a b a b a b"),
          (6, "one two three four five six")], "item_id int, text string")
     got = sorted((r.doc_id, r.item_id, r.edits) for r in D.find_items(edges, items).collect())
-    assert got == [(6, 4, 0), (6, 6, 0), (7, 4, 0), (7, 4, 0), (7, 6, 0), (7, 6, 0), (10, 5, 0)]
+    assert got == [(6, 3, 0), (6, 4, 0), (6, 6, 0), (7, 3, 0), (7, 3, 0), (7, 4, 0), (7, 4, 0), (7, 6, 0), (7, 6, 0), (10, 5, 0)]
     assert D.find_items(empty, items).count() == 0 and D.find_items(edges, items.limit(0)).count() == 0
     assert D.without_items(edges, items.limit(0)).count() == edges.count()
 
@@ -96,5 +130,5 @@ def test_short_and_unspaced_items(spark, tmp_path):
     assert [r[:3] for r in got] == [(1, 1, 0), (1, 2, 0), (1, 3, 0), (4, 4, 0), (5, 5, 0), (6, 5, 1)]
     assert [r[3] for r in got[:4]] == [1, 0, 1, 1]
     benchmark = spark.read.parquet(f"{tmp_path}/benchmark.parquet")
-    left = D.without_items(spark.read.parquet(f"{tmp_path}/documents.parquet"), benchmark, short_items=True)
+    left = D.without_items(spark.read.parquet(f"{tmp_path}/documents.parquet"), benchmark)
     assert sorted(r.doc_id for r in left.collect()) == [2, 3, 7, 8, 9]

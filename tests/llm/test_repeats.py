@@ -62,3 +62,18 @@ def test_parts_of_a_long_text_cover_its_windows():
 
 def test_empty(empty):
     assert rows(suffixes.remove_repeats(empty)) == []
+
+
+@pytest.mark.parametrize("max_group", [1, suffixes.MAX_GROUP])
+def test_null_ids(spark, max_group):
+    import random
+
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefg") for _ in range(r.randint(1, 9)))
+    text, own, part = (" ".join(word() for _ in range(n)) for n in (70, 70, 60))
+    docs = [(None, text), (5, text), (None, own + part), (6, part + " tail"), (None, own + " x"), (None, own + " x"), (None, None)]
+    got = suffixes.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), max_group=max_group).collect()
+    want = brute.repeated_bytes(docs)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    assert sorted(r.n_removed for r in got)[0] == 0 and sum(r.n_removed > 0 for r in got) == 6
