@@ -1,14 +1,16 @@
 """HTML extraction, token counts, sharding, byte-level BPE."""
 
 import html as entities
+import itertools
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
 import tiktoken
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -133,6 +135,52 @@ def test_shards_are_balanced_and_gapless(spark):
             assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 16, zlib.crc32(data), "bytes", None)
 
 
+def brute_shards(docs, n_shards, whole_share=sharding.WHOLE_SHARE):
+    """(id, text) pairs to (id, size, shard, slot), by sorting and adding up."""
+    data = [(xxhash.xxh64_intdigest((t or "").encode(), 42), zlib.crc32((t or "").encode()), i, len((t or "").encode()) + 16) for i, t in docs]
+    data = sorted((k - (k >> 63 << 64), c, i, n) for k, c, i, n in data)
+    total, at, rows = sum(n for *_, n in data), 0, []
+    for k, c, i, n in data:
+        rows.append([(k, c), i, n, at, (2 * at + n) * n_shards // (2 * total)])
+        at += n
+    for group, own in itertools.groupby(rows, lambda r: r[0]):
+        own = list(own)
+        size = sum(r[2] for r in own)
+        if own[0][4] != own[-1][4] and size * n_shards <= whole_share * total:
+            for r in own:
+                r[4] = (2 * own[0][3] + size) * n_shards // (2 * total)
+    seen = Counter()
+    out = []
+    for _, i, n, _, shard in rows:
+        out.append((i, n, shard, seen[shard]))
+        seen[shard] += 1
+    return sorted(out)
+
+
+@pytest.mark.parametrize("n_shards", [3, sharding.N_SHARDS])
+def test_shards_equal_brute_force(spark, sf, documents, n_shards):
+    r = random.Random(n_shards)
+    copies = [(1000 + n, r.choice(documents[:12])[1]) for n in range(300)]
+    for docs in (documents, documents + copies):
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        got = sharding.shard_by_bytes(df, n_shards)
+        assert sorted((x.doc_id, x.size, x.shard, x.slot) for x in got.collect()) == brute_shards(docs, n_shards)
+
+
+def test_groups_of_equal_texts_stay_whole(spark):
+    docs = [(n, f"text of group {n // 3} " * 20) for n in range(3000)]
+    got = sharding.shard_by_bytes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    of_group, sizes = {}, Counter()
+    for r in got:
+        of_group.setdefault(r.text_crc32, set()).add(r.shard)
+        sizes[r.shard] += r.size
+    assert len(of_group) == 1000 and all(len(s) == 1 for s in of_group.values())
+    assert max(sizes.values()) - min(sizes.values()) < 0.1 * sum(sizes.values()) / 40
+    hot = sharding.shard_by_bytes(spark.createDataFrame([(n, "one text" if n % 3 else f"text {n}") for n in range(3000)], "doc_id long, text string"))
+    per = Counter(r.shard for r in hot.collect())
+    assert max(per.values()) < 1.2 * min(per.values())
+
+
 def test_shard_order_does_not_depend_on_partitions(spark, sf):
     from fundlens.llm.queries import table
 
