@@ -421,3 +421,23 @@ def join_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select(own_id.alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(own_id).alias("component_id"),
                     *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in more)))
+
+
+#: DuckDB: all sets as lists of shingles, links by a join on shingles, components by what can be reached.
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM words),
+classes AS (SELECT s, min(doc_id) AS c, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+shingles AS (SELECT c, n, unnest(s) AS x FROM classes),
+links AS (
+  SELECT a.c AS a, b.c AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.c <> b.c
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (SELECT c, c AS r FROM classes UNION SELECT reach.c, links.b FROM reach JOIN links ON reach.r = links.a),
+components AS (SELECT c, min(r) AS component_id FROM reach GROUP BY c),
+counts AS (SELECT a AS c, count(*) AS n_links FROM links GROUP BY a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(p.component_id, s.doc_id) AS component_id, coalesce(k.n_links, 0)::BIGINT AS n_links
+FROM sets s LEFT JOIN classes c ON c.s = s.s LEFT JOIN components p ON p.c = c.c LEFT JOIN counts k ON k.c = c.c"""

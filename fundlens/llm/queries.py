@@ -90,6 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: Where SQL can express the operator's result.
 SQL: dict[str, str] = {
+    "op1_repeated_bytes": suffixes.SQL,
+    "op5_jaccard_join": jaccard.SQL,
     "op7_quality": quality.SQL,
     "op11_conversation_trie": prefix_trie.SQL,
     "op12_source_divergence": divergence.SQL,

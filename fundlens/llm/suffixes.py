@@ -313,3 +313,27 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         own_id, F.octet_length(data).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.sha2(data, 256).alias("kept_sha256"))
     return cut.unionByName(rest)
+
+
+#: DuckDB: each string of 200 bytes by its digest, over texts as hexadecimal digits.
+SQL = """
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (
+  SELECT d, i, md5(substr(x, 2 * i + 1, 400)) AS w
+  FROM (SELECT d, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM docs WHERE len(x) >= 400)),
+starts AS (
+  SELECT d, i FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)),
+opened AS (
+  SELECT d, i, CASE WHEN i <= lag(i) OVER (PARTITION BY d ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM starts),
+runs AS (
+  SELECT d, min(i) AS a, max(i) + 200 AS b FROM (
+    SELECT d, i, sum(new) OVER (PARTITION BY d ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM opened) GROUP BY d, run),
+pieces AS (
+  SELECT d, a, b, coalesce(lag(b) OVER (PARTITION BY d ORDER BY a), 0) AS after FROM runs),
+kept AS (
+  SELECT p.d, sum(b - a) AS gone, count(*) AS n, max(b) AS last,
+         string_agg(substr(o.x, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS parts
+  FROM pieces p JOIN docs o ON o.d = p.d GROUP BY p.d)
+SELECT o.doc_id, len(o.x) // 2 AS n_bytes, coalesce(k.gone, 0)::BIGINT AS n_removed, coalesce(k.n, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(k.parts || substr(o.x, 2 * k.last + 1), o.x))) AS kept_sha256
+FROM docs o LEFT JOIN kept k ON k.d = o.d"""
