@@ -68,7 +68,7 @@ def avg_backers() -> Column:
 
 
 def scalability_index() -> Column:
-    ratio = F.try_divide(F.sum("pledged"), F.sum("goal"))
+    ratio = F.try_divide(money_sum("pledged"), money_sum("goal"))
     return F.round(ratio * 40 + F.avg("backers_count") / 10 * 20 + 40, RATE_DIGITS)
 
 
@@ -100,12 +100,22 @@ def success_by_category(df: DataFrame) -> DataFrame:
 
 def efficiency_by_category(df: DataFrame) -> DataFrame:
     return df.groupBy("category").agg(avg_backers().alias("avg_backers"),
-                                      F.round(F.avg("pledged"), RATE_DIGITS).alias("avg_pledged"))
+                                      money_avg("pledged").alias("avg_pledged"))
+
+
+def money(col: str) -> Column:
+    """An amount in cents, exactly; NULL where it is none."""
+    return F.expr(f"try_cast(`{col}` AS DECIMAL(18, {MONEY_DIGITS}))")
 
 
 def money_sum(col: str) -> Column:
     """The exact sum of amounts in cents, the same in whatever order they are added."""
-    return F.sum(F.expr(f"try_cast(`{col}` AS DECIMAL(18, {MONEY_DIGITS}))")).cast("double")
+    return F.sum(money(col)).cast("double")
+
+
+def money_avg(col: str) -> Column:
+    """The exact sum by the number of amounts."""
+    return F.round(F.try_divide(money_sum(col), F.count(money(col)).cast("double")), RATE_DIGITS)
 
 
 def scalability_by_category(df: DataFrame) -> DataFrame:

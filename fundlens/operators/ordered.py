@@ -7,8 +7,9 @@ task. Here it is done in two levels, in one lazy plan:
 1. Each row's range is a function of its key alone (``key_range``), that
    never falls as the key grows: no pass over the data picks bounds.
 2. Within each range a partitioned window computes the local running sum.
-3. Range totals get their prefix offsets and grand totals from a window over
-   that small table, and are joined back to the rows.
+3. Range totals get their prefix offsets in two levels as well: ``COARSE`` neighbouring ranges
+   are one coarse range, windows run within each of these and over their totals, so that no task
+   reads more than about the square root of all ranges. Offsets and grand totals are joined back to the rows.
 
 The caller passes one row per distinct key (aggregate first), so a key
 holding a third of all rows is a single row here.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 #: are 4,300 times as many ranges at most, over all possible keys.
 FINENESS = 1024
 _STEPS = 1100
+#: Ranges of a coarse range, as a power of two: of the 9 million ranges at most there are then some 4,400 coarse ones.
+COARSE = 11
 
 
 def _steps(x: Column, fineness: int) -> Column:
@@ -60,14 +63,18 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(*df.columns, "_r", *[F.sum(c).over(w_in).alias(f"_l_{c}") for c in sum_cols])
 
-    # A row for each range that has any key.
-    totals = ranged.groupBy(*g, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    w_before = (Window.partitionBy(*g) if g else Window).orderBy("_r") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
-    offsets = totals.select(*g, "_r", *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_o_{c}")
-                                        for c in sum_cols],
-                            *[F.sum(f"_t_{c}").over(w_all).alias(f"tot_{c}") for c in sum_cols])
+    # A row for each range that has any key, and for each coarse range.
+    totals = ranged.groupBy(*g, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols]).withColumn("_c", F.shiftright("_r", COARSE))
+    coarse = totals.groupBy(*g, "_c").agg(*[F.sum(f"_t_{c}").alias(f"_s_{c}") for c in sum_cols])
+    every = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    before = coarse.select(*g, "_c", *[F.coalesce(F.sum(f"_s_{c}").over(earlier(every.orderBy("_c"))), F.lit(0)).alias(f"_b_{c}")
+                                       for c in sum_cols],
+                           *[F.sum(f"_s_{c}").over(every).alias(f"tot_{c}") for c in sum_cols])
+    inside = earlier(Window.partitionBy(*g, "_c").orderBy("_r"))
+    offsets = totals.select(*g, "_c", "_r", *[F.coalesce(F.sum(f"_t_{c}").over(inside), F.lit(0)).alias(f"_i_{c}") for c in sum_cols]).join(
+        before, [*g, "_c"]).select(*g, "_r", *[(F.col(f"_i_{c}") + F.col(f"_b_{c}")).alias(f"_o_{c}") for c in sum_cols],
+                                   *[f"tot_{c}" for c in sum_cols])
     out = local.join(offsets, [*g, "_r"], "inner")
     return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sum_cols],
                       *[F.col(f"tot_{c}") for c in sum_cols])

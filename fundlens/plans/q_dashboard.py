@@ -57,7 +57,8 @@ def success_by_category(spark, sf):
 
 
 @register("efficiency_by_category", with_campaigns("""
-SELECT category, ROUND(AVG(backers_count), 6) AS avg_backers, ROUND(AVG(pledged), 6) AS avg_pledged
+SELECT category, ROUND(AVG(backers_count), 6) AS avg_backers,
+       ROUND(CAST(SUM(CAST(pledged AS DECIMAL(18, 2))) AS DOUBLE) / COUNT(pledged), 6) AS avg_pledged
 FROM campaigns GROUP BY category"""), S)
 def efficiency_by_category(spark, sf):
     return D.efficiency_by_category(campaigns(spark, sf, ["category", "backers_count", "pledged"]))
@@ -65,7 +66,7 @@ def efficiency_by_category(spark, sf):
 
 @register("scalability_by_category", with_campaigns("""
 SELECT category,
-       ROUND((SUM(pledged) / SUM(goal)) * 40 + AVG(backers_count) / 10 * 20 + 40, 6) AS scalability_index
+       ROUND((CAST(SUM(CAST(pledged AS DECIMAL(18, 2))) AS DOUBLE) / CAST(SUM(CAST(goal AS DECIMAL(18, 2))) AS DOUBLE)) * 40 + AVG(backers_count) / 10 * 20 + 40, 6) AS scalability_index
 FROM campaigns GROUP BY category"""), S)
 def scalability_by_category(spark, sf):
     return D.scalability_by_category(campaigns(spark, sf, ["category", "pledged", "goal", "backers_count"]))

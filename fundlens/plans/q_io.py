@@ -85,12 +85,19 @@ def partition_pruned_count(spark, sf):
     return df.filter(F.col("country") == PRUNED_COUNTRY).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-# A country's files follow its rows: one up to IO.ROWS_PER_FILE of them. The query gives the count of
-# every country; the SQL has none above that (NULL), where it can't know the layout.
-@register("partition_inventory", with_campaigns(f"""
-SELECT country, CAST(CASE WHEN COUNT(*) <= {IO.ROWS_PER_FILE} THEN 1 END AS BIGINT) AS n_files, COUNT(*) AS n_rows
-FROM store GROUP BY country""", STORE_SQL), S)
+# A country's files follow its rows: at least one for each IO.ROWS_PER_FILE of them, and at most twice as many.
+@register("partition_inventory", with_campaigns("""
+SELECT country, COUNT(*) AS n_rows, TRUE AS files_follow_rows FROM store GROUP BY country""", STORE_SQL), S)
 def partition_inventory(spark, sf):
+    """Rows of each country, counted from the footers, and whether its files are as many as these rows ask for."""
+    least = F.ceil(F.col("n_rows") / IO.ROWS_PER_FILE)
+    return IO.partition_inventory(spark, campaign_store(spark, sf), schema=STORE_SCHEMA).select(
+        "country", "n_rows", F.col("n_files").between(least, 2 * least).alias("files_follow_rows"))
+
+
+@register("partition_files", None, S)
+def partition_files(spark, sf):
+    """The files and rows of each country, as the store has been laid out."""
     return IO.partition_inventory(spark, campaign_store(spark, sf), schema=STORE_SCHEMA)
 
 

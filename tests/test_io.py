@@ -69,9 +69,14 @@ def test_inventory_query_counts_files_of_large_countries(spark, monkeypatch):
     path = IO.write_partitioned(df, scratch_path(spark, "large"), max_records_per_file=3)
     monkeypatch.setattr(IO, "ROWS_PER_FILE", 3)
     monkeypatch.setattr(q_io, "campaign_store", lambda spark, sf: path)
-    rows = q_io.partition_inventory(spark, SF_SMALL).collect()
+    rows = q_io.partition_files(spark, SF_SMALL).collect()
     assert any(r["n_rows"] > 3 for r in rows)
     assert all(r["n_files"] is not None and r["n_files"] >= -(-r["n_rows"] // 3) for r in rows)
+    facts = q_io.partition_inventory(spark, SF_SMALL).collect()
+    assert {r["country"]: r["n_rows"] for r in facts} == {r["country"]: r["n_rows"] for r in rows}
+    assert all(r["files_follow_rows"] for r in facts)
+    monkeypatch.setattr(IO, "ROWS_PER_FILE", 1)
+    assert not any(r["files_follow_rows"] for r in q_io.partition_inventory(spark, SF_SMALL).collect() if r["n_rows"] > 3)
 
 
 def test_csv_columns_by_header(spark):

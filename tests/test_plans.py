@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -82,3 +83,42 @@ def test_validation_rules_pushed_to_scan(spark):
     p = plan(Q["validate"](spark, SF_SMALL))
     pushed = [line for line in p.splitlines() if line.startswith("PushedFilters")]
     assert pushed and "GreaterThan(goal,0.0)" in pushed[0] and "In(state" in pushed[0]
+
+
+@pytest.mark.parametrize("key", ["row_count", "partition_inventory", "partition_files"])
+def test_counts_read_footers_only(spark, key):
+    p = plan(Q[key](spark, SF_SMALL))
+    scan = [line for line in p.splitlines() if line.startswith("ReadSchema")]
+    assert scan and all(s == "ReadSchema: struct<>" for s in scan)
+
+
+def test_running_sums_have_no_window_over_all_ranges(spark):
+    """Ranges are summed within coarse ranges; only the totals of these pass one window."""
+    from fundlens.operators import ordered
+
+    df = spark.range(1000).selectExpr("id / 1000.0 AS k", "id AS v")
+    p = plan(ordered.running_sums(df, "k", ["v"]))
+    specs = re.findall(r"windowspecdefinition\((.*?) ASC", p)
+    assert any("_r#" in w for w in specs)
+    for spec in specs:  # partitioned by what comes before the order
+        by, order = spec.rpartition(", ")[::2]
+        assert not order.startswith("_r#") or "_c#" in by
+
+
+def test_one_coarse_range_of_many_holds_few_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from fundlens.operators import ordered
+
+    half = 2 * ordered._STEPS * ordered.FINENESS
+    assert (4 * half) >> ordered.COARSE < 5000 and 1 << ordered.COARSE < 5000
+    df = spark.range(5000).selectExpr("CAST(id AS double) / 7 - 300 AS k", "id % 13 AS v", "id % 2 AS g")
+    for descending in (False, True):
+        got = ordered.running_sums(df, "k", ["v"], descending, group_cols=["g"])
+        rows = {(r["g"], r["k"]): (r["cum_v"], r["tot_v"]) for r in got.collect()}
+        for g in (0, 1):
+            total, own = 0, sorted(((r["k"], r["v"]) for r in df.filter(F.col("g") == g).collect()), reverse=descending)
+            every = sum(v for _, v in own)
+            for k, v in own:
+                total += v
+                assert rows[g, k] == (total, every)
