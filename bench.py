@@ -77,7 +77,7 @@ def main():
                 continue
             out[key] = round(statistics.median(fn(train)[1] for _ in range(n)), 3)
         for name, key in BESIDE.items():
-            if only and key not in only:
+            if only and name not in only:
                 continue
             t0 = time.perf_counter()
             q[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
