@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import cube as CU
 from ..operators import dashboard as D
+from ..session import scratch_path
 from ..sources.campaigns import campaigns
 from .oracle import (COMPLETENESS, CREATED_MONTH, DURATION_DAYS, FUNDING_PCT, GOAL_TIER,
                      OVERFUNDED, SUCCESS_FLAG, SUCCESS_RATE, with_campaigns)
@@ -212,3 +214,36 @@ LIMIT_ROWS = 5000
 def limit_rows(spark, sf):
     """Repeatable quick slice: the first rows by id (a top-k, not a full sort)."""
     return campaigns(spark, sf, ["id", "goal", "category", "country", "state"]).orderBy("id").limit(LIMIT_ROWS)
+
+
+_CUBE_COLUMNS = ["id", "category", "country", "created_at", "state", "blurb", "goal", "pledged", "backers_count", "name"]
+
+
+def cube_cells(spark, sf):
+    """The cube, written and read as a table of its own."""
+    path = scratch_path(spark, "cube")
+    CU.summary_cube(campaigns(spark, sf, _CUBE_COLUMNS)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("summary_cube", with_campaigns(f"""
+SELECT category, country, {CREATED_MONTH} AS created_month, state, COUNT(*) AS n_rows, COUNT(id) AS n_ids,
+       COUNT(*) FILTER (WHERE blurb IS NULL OR blurb = '') AS blank_blurbs, COUNT(*) FILTER (WHERE blurb IS NULL) AS null_blurbs,
+       COUNT(*) FILTER (WHERE goal IS NULL) AS null_goals, COUNT(*) FILTER (WHERE blurb IS NULL OR goal IS NULL) AS incomplete,
+       CAST(SUM(backers_count) AS BIGINT) AS backers, COUNT(backers_count) AS n_backers,
+       CAST(SUM(CAST(pledged AS DECIMAL(18, 2))) AS DOUBLE) AS pledged, COUNT(pledged) AS n_pledged,
+       CAST(SUM(CAST(goal AS DECIMAL(18, 2))) AS DOUBLE) AS goal, COUNT(goal) AS n_goals
+FROM campaigns GROUP BY 1, 2, 3, 4"""), S)
+def summary_cube(spark, sf):
+    return cube_cells(spark, sf).drop("names").withColumns({c: F.col(c).cast("double") for c in ("pledged", "goal")})
+
+
+@register("cube_by_category", with_campaigns(f"""
+SELECT category, COUNT(id) AS n_campaigns, {SUCCESS_RATE} AS success_rate, ROUND(AVG(backers_count), 6) AS avg_backers,
+       ROUND(CAST(SUM(CAST(pledged AS DECIMAL(18, 2))) AS DOUBLE) / COUNT(pledged), 6) AS avg_pledged,
+       ROUND((CAST(SUM(CAST(pledged AS DECIMAL(18, 2))) AS DOUBLE) / CAST(SUM(CAST(goal AS DECIMAL(18, 2))) AS DOUBLE)) * 40
+             + AVG(backers_count) / 10 * 20 + 40, 6) AS scalability_index
+FROM campaigns GROUP BY category"""), S)
+def cube_by_category(spark, sf):
+    """The category measures from the cube's cells instead of the rows."""
+    return CU.by_category(cube_cells(spark, sf))
