@@ -94,29 +94,31 @@ def _whole(names: Sequence[str] | None):
                 value = pa.concat_arrays([value])  # offsets from 0 on
                 value = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts, done), pa.int32()), value), "\n")
             header = batch.column("header").to_numpy(zero_copy_only=False)[starts]
-            returns = batch.column("returns").take(pa.array(starts))
+            returns, file = (batch.column(c).take(pa.array(starts)) for c in ("returns", "file"))
             for k in np.flatnonzero(header):
                 own = next(csv.reader([value[int(k)].as_py().removeprefix(_BOM).removesuffix("\r")]), [])
                 if names is not None and own != list(names):
                     raise ValueError(f"the header of a file differs: {own} instead of {list(names)}")
             kept = pa.array(~header)
-            yield pa.RecordBatch.from_arrays([value.filter(kept), returns.filter(kept)], names=["record", "returns"])
+            yield pa.RecordBatch.from_arrays([value.filter(kept), returns.filter(kept), file.filter(kept)],
+                                             names=["record", "returns", "file"])
 
     return run
 
 
-def records(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
-    """The text of each record, without the files' headers, which must be ``names`` if given."""
+def records(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] | None = None, with_file: bool = False) -> DataFrame:
+    """The text of each record, without the files' headers, which must be ``names`` if given; and its file, or NULL."""
     fix_splits(spark)
     lines = numbered_lines(spark, path)
     rows = splits(lines).withColumnsRenamed({"file": "_f", "start": "_s"})
+    shown = (F.col("file") if with_file else F.lit(None).cast("string")).alias("file")
     placed = lines.join(F.broadcast(rows), (F.col("file") == F.col("_f")) & (F.col("start") == F.col("_s")), "left")
     same = F.coalesce(F.col("line").between(F.col("first"), F.col("last")), F.lit(False))
     placed = placed.filter(F.when(same, F.lit(True)).otherwise(F.raise_error(F.lit(MOVED)).cast("boolean")))
     in_head, in_tail = F.coalesce(F.col("line") <= F.col("head_to"), F.lit(False)), F.coalesce(F.col("line") >= F.col("tail_from"), F.lit(False))
     header = (F.col("start") == 0) & (F.col("line") == F.col("first"))
-    whole = (placed.filter(~in_head & ~in_tail).select("value", "odd", header.alias("header"), "returns")
-             .mapInArrow(_whole(names), "record string, returns boolean"))
+    whole = (placed.filter(~in_head & ~in_tail).select("value", "odd", header.alias("header"), "returns", shown)
+             .mapInArrow(_whole(names), "record string, returns boolean, file string"))
     # A record over several splits; a tail begins one of its own also where its split has a head.
     parts = (placed.filter(in_head | in_tail)
              .select("file", F.when(in_tail, F.col("start")).otherwise(F.col("opened")).alias("opened"), "start", "line", "value", "returns",
@@ -124,13 +126,13 @@ def records(spark: SparkSession, path: str | Sequence[str], names: Sequence[str]
     joined = parts.groupBy("file", "opened").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "line", "value"))), lambda x: x.value), "\n").alias("record"),
         F.first("returns").alias("returns"), F.bool_or("header").alias("header")).filter(~F.col("header"))
-    both = whole.unionByName(joined.select("record", "returns"))
+    both = whole.unionByName(joined.select("record", "returns", shown))
     ended = F.when(F.col("returns") & F.col("record").endswith("\r"), F.expr("left(record, length(record) - 1)")).otherwise(F.col("record"))
-    return both.select(ended.alias("record")).filter("record <> ''")
+    return both.select(ended.alias("record"), "file").filter("record <> ''")
 
 
-def parsed(records_: DataFrame, schema: T.StructType, options: dict[str, str]) -> DataFrame:
-    """The columns of ``schema`` from the text of records."""
+def parsed(records_: DataFrame, schema: T.StructType, options: dict[str, str], file_col: str | None = None) -> DataFrame:
+    """The columns of ``schema`` from the text of records, and their file as ``file_col`` if that is given."""
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
     row: Column = F.from_csv("record", ddl, {**options, "header": "false", "multiLine": "true"})
-    return records_.select(row.alias("_row")).select("_row.*")
+    return records_.select(row.alias("_row"), "file").select("_row.*", *([F.col("file").alias(file_col)] if file_col else []))

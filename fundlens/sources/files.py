@@ -83,8 +83,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",),
-                      mode: str = "overwrite", max_records_per_file: int = ROWS_PER_FILE) -> str:
-    """Snappy Parquet partitioned by ``partition_by``.
+                      mode: str = "overwrite", max_records_per_file: int = ROWS_PER_FILE, dynamic: bool = False) -> str:
+    """Snappy Parquet partitioned by ``partition_by``; ``dynamic`` replaces only partitions that have rows.
 
     The rows of each key are counted, and dealt to as many tasks as the
     key fills files: files per key follow its rows, not the number of tasks
@@ -101,7 +101,8 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
              .select("_d.*", F.pmod(F.xxhash64(*[F.col(f"_d.`{c}`") for c in df.columns]),
                                     F.coalesce("_s._salts", F.lit(1))).alias("_salt")))
     (dealt.repartition(*keys, "_salt").sortWithinPartitions(*keys).drop("_salt")
-     .write.mode(mode).partitionBy(*keys).option("maxRecordsPerFile", max_records_per_file).parquet(path))
+     .write.mode(mode).partitionBy(*keys).option("maxRecordsPerFile", max_records_per_file)
+     .option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path))
     return path
 
 
