@@ -138,16 +138,19 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30) -> np.n
     def rates(weights: np.ndarray, values: np.ndarray) -> np.ndarray:
         return (weights @ values + 0.5) / (weights.sum() + 1)
 
-    # What is left of each voter in its class; voters that go together share their say.
-    rest = (votes - np.outer(posterior, rates(posterior, votes)) - np.outer(1 - posterior, rates(1 - posterior, votes)))
-    spread = np.sqrt((rest ** 2).mean(axis=0)) + 1e-9
-    correlation = np.abs(rest.T @ rest / len(votes) / np.outer(spread, spread))
-    np.fill_diagonal(correlation, 0)
-    correlation[correlation < 0.2] = 0
-    share = 1 / (1 + correlation.sum(axis=0))
+    def say(posterior: np.ndarray) -> np.ndarray:
+        """The share that each voter has in what it says: of what is left of the voters in either class, those that go
+        together share theirs."""
+        rest = votes - np.outer(posterior, rates(posterior, votes)) - np.outer(1 - posterior, rates(1 - posterior, votes))
+        spread = np.sqrt((rest ** 2).mean(axis=0)) + 1e-9
+        correlation = np.abs(rest.T @ rest / len(votes) / np.outer(spread, spread))
+        np.fill_diagonal(correlation, 0)
+        correlation[correlation < 0.2] = 0
+        return 1 / (1 + correlation.sum(axis=0))
+
     for _ in range(rounds):
         prior = np.clip(posterior.mean(), 1e-4, 1 - 1e-4)
-        said = votes @ (np.log(rates(posterior, votes) / rates(1 - posterior, votes)) * share)
+        said = votes @ (np.log(rates(posterior, votes) / rates(1 - posterior, votes)) * say(posterior))
         right, wrong = rates(posterior, labels), rates(1 - posterior, labels)
         told = labels * np.log(right / wrong) + (1 - labels) * np.log((1 - right) / (1 - wrong))
         logit = np.log(prior / (1 - prior)) + said + told
