@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Entries that a worker keeps of states and of encoded pre-tokens, some 500 bytes each
-#: with their transitions. Fewer cost time, as what is forgotten is worked out again.
+#: Entries that a worker keeps of states, some 500 bytes each with their transitions, and, unless another number is
+#: given for these, of encoded words, half of that. Fewer cost time, as what is forgotten is worked out again.
 MAX_CACHED = 500_000
 INF = float("inf")
 #: A space beside other white space, or at an end of the text.
@@ -84,9 +84,6 @@ class Transducer:
         self.prefixes = {t[:n] for t in ranks for n in range(1, len(t))}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.edges: dict[int, tuple] = {}
-        self._reset()
-
-    def _reset(self) -> None:
         # A state: the bytes since the first live position, the live positions
         # in them, each with the tokens from the last output to it, and the
         # last token that was output if a live position directly follows it.
@@ -94,7 +91,17 @@ class Transducer:
         self.states = [start]
         self.number = {start: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.ends: dict[int, tuple[int, ...]] = {}
+
+    def _forget(self) -> None:
+        """Let go of the states that were made last, half of them or more: most texts need the ones made first."""
+        kept = len(self.states)
+        while True:
+            kept = max(kept // 2, 1)
+            self.steps = {k: s for k, s in self.steps.items() if k >> 8 < kept and s[0] < kept}
+            if kept == 1 or len(self.steps) <= 2 * self.max_cached:
+                break
+        del self.states[kept:]
+        self.number = {s: n for n, s in enumerate(self.states)}
 
     def _edges(self, token: int) -> tuple[list[tuple[bytes, float]], list[tuple[bytes, float]]]:
         """What stands at a token's left and right edge while it is being merged:
@@ -160,10 +167,11 @@ class Transducer:
             before = out[-1]
         new = (tail[cut:], rest, before)
         if len(self.states) > self.max_cached or len(self.steps) > 4 * self.max_cached:
-            self._reset()  # forget, and go on from the new state
-            self.number[new] = 1
-            self.states.append(new)
-            return 1, out
+            self._forget()  # and go on from the new state
+            if (number := self.number.get(new)) is None:
+                number = self.number[new] = len(self.states)
+                self.states.append(new)
+            return number, out
         if (number := self.number.get(new)) is None:
             number = self.number[new] = len(self.states)
             self.states.append(new)
@@ -212,17 +220,38 @@ class Decoder:
         return "".join(self.stream(tokens))
 
 
+class Recent:
+    """The values of the keys used last, in two generations: when the young one is full it becomes the old one, and
+    what the old one held goes. So a key in steady use is never forgotten."""
+
+    def __init__(self, most: int):
+        self.half = max(most // 2, 1)
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        """The value, or None; a value of the old generation is taken over into the young one."""
+        if (value := self.young.get(key)) is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.half:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+
 class Codec:
     """Pre-tokens of a pattern, each through the transducer; and back."""
 
-    def __init__(self, path: str, pattern: str, max_cached: int = MAX_CACHED):
+    def __init__(self, path: str, pattern: str, max_cached: int = MAX_CACHED, max_words: int | None = None):
         self.transducer = Transducer(load_ranks(path), max_cached)
         self.decoder = Decoder(self.transducer.bytes_of, max_cached)
         self.pieces = regex.compile(pattern).findall
         # In this pattern a space between two other characters always starts a
         # pre-token, so what stands between such spaces can be encoded by itself.
         self.by_space = pattern == default_pattern()
-        self.max_cached, self.known = max_cached, {}
+        self.known = Recent(max_cached if max_words is None else max_words)
 
     def _encode(self, text: str) -> tuple[int, ...]:
         out: list[int] = []
@@ -240,15 +269,13 @@ class Codec:
             return list(self._encode(text))
         parts = text.split(" ")
         out = list(self._encode(parts[0]))
-        known, get = self.known, self.known.get
+        known = self.known
         for part in parts[1:]:
-            ids = get(part)
-            if ids is None:
+            ids = known.young.get(part)
+            if ids is None and (ids := known.get(part)) is None:
                 ids = self._encode(" " + part)
                 if len(part) <= 64:
-                    if len(known) >= self.max_cached:
-                        known.clear()
-                    known[part] = ids
+                    known.put(part, ids)
             out += ids
         return out
 
@@ -259,9 +286,9 @@ class Codec:
 _codecs: dict[tuple, Codec] = {}
 
 
-def codec(path: str, pattern: str, max_cached: int = MAX_CACHED) -> Codec:
-    """One codec per worker process, vocabulary and size."""
-    key = (path, pattern, max_cached)
+def codec(path: str, pattern: str, max_cached: int = MAX_CACHED, max_words: int | None = None) -> Codec:
+    """One codec per worker process, vocabulary and sizes."""
+    key = (path, pattern, max_cached, max_words)
     if key not in _codecs:
         _codecs[key] = Codec(*key)
     return _codecs[key]
@@ -291,7 +318,8 @@ def decode_ids(ids, path: str | None = None, pattern: str | None = None):
     return decoded(ids)
 
 
-def encoding_digest(text, path: str | None = None, pattern: str | None = None, max_cached: int = MAX_CACHED):
+def encoding_digest(text, path: str | None = None, pattern: str | None = None, max_cached: int = MAX_CACHED,
+                    max_words: int | None = None):
     """Struct column ENCODED: a text is encoded, its ids decoded again, both digested.
 
     The ids themselves stay in the task, so a text of any length costs the
@@ -301,7 +329,7 @@ def encoding_digest(text, path: str | None = None, pattern: str | None = None, m
 
     @F.pandas_udf(ENCODED)
     def digest(texts: pd.Series) -> pd.DataFrame:
-        c = codec(path, pattern, max_cached)
+        c = codec(path, pattern, max_cached, max_words)
         rows = []
         for t in texts:
             ids = c.encode(t or "")

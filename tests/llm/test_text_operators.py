@@ -242,6 +242,26 @@ def test_bpe_of_joined_tokens_and_small_caches(library):
         assert small.encode(text) == library.encode_ordinary(text)
 
 
+def test_bpe_forgets_words_and_states_but_not_the_first_ones(library, documents):
+    small = bpe.Codec(bpe.default_vocabulary(), bpe.default_pattern(), max_cached=300, max_words=20)
+    for _, text in documents[:100]:
+        assert small.encode(text or "") == library.encode_ordinary(text or "")
+        t = small.transducer
+        assert len(t.states) <= 302 and len(t.steps) <= 1202 and len(small.known.young) <= 10 >= len(small.known.old)
+        assert t.states[0] == (b"", ((0, ()),), None) and all(t.number[s] == n for n, s in enumerate(t.states))
+
+
+def test_recent_keeps_what_is_in_use():
+    kept = bpe.Recent(4)
+    for n in range(50):
+        kept.put(n, -n)
+        if n:
+            assert kept.get("used") == 1
+        else:
+            kept.put("used", 1)
+    assert kept.get(49) == -49 and kept.get(3) is None and len(kept.young) + len(kept.old) <= 4
+
+
 def test_bpe_long_pieces_in_linear_time(codec):
     for text in ("a" * 100_000, "ab" * 50_000, " " * 50_000 + "x", "\n" * 50_000, "é" * 30_000):
         assert codec.decode(codec.encode(text)) == text
