@@ -21,8 +21,8 @@ from fundlens.llm import bpe, decontaminate, jaccard, pii, toxicity
 from fundlens.llm.queries import table
 from fundlens.llm.shared import written
 
-#: States and encoded words that a worker keeps of the tokenizer's: few, as it works for all stages in turn.
-MAX_CACHED, MAX_WORDS = 50_000, 200_000
+#: Entries that a worker keeps of the tokenizer's: few, as it works for all stages in turn.
+MAX_CACHED = 50_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE (10): adds the number of tokens and the digests of ids and of the decoded text."""
-    encoded = bpe.encoding_digest(F.col("text"), max_cached=MAX_CACHED, max_words=MAX_WORDS)
+    encoded = bpe.encoding_digest(F.col("text"), max_cached=MAX_CACHED)
     return docs.withColumn("_e", encoded).select(*docs.columns, "_e.*")
 
 
