@@ -134,3 +134,12 @@ def test_cv_model_save_load(spark):
     a = sorted(M.score_model(cv, test).collect())
     b = sorted(M.score_model(back, test).collect())
     assert a == b and list(back.avgMetrics) == list(cv.avgMetrics)
+
+
+def test_model_metrics_of_all_fits_and_stored_scorers(spark):
+    rows = {r["model"]: r for r in Q.model_metrics(spark, SF_SMALL).collect()}
+    assert set(rows) == {*Q.FITTED, *Q.STORED}
+    assert all(r["are_shares"] for r in rows.values())
+    assert all(rows[n]["auc"] is not None for n in Q.STORED)
+    fitted = {r["model"]: r for r in Q.model_metrics_fitted(spark, SF_SMALL).collect()}
+    assert all(rows[n]["auc_above_half"] == (fitted[n]["auc"] > 0.5) for n in Q.FITTED)
