@@ -143,3 +143,11 @@ def test_model_metrics_of_all_fits_and_stored_scorers(spark):
     assert all(rows[n]["auc"] is not None for n in Q.STORED)
     fitted = {r["model"]: r for r in Q.model_metrics_fitted(spark, SF_SMALL).collect()}
     assert all(rows[n]["auc_above_half"] == (fitted[n]["auc"] > 0.5) for n in Q.FITTED)
+
+
+def test_model_comparison_stacks_fits_and_stored_scorers(spark):
+    rows = {r["model"]: r for r in Q.model_comparison(spark, SF_SMALL).collect()}
+    assert set(rows) == {*Q.COMPARED, *Q.STORED}
+    assert all(rows[n]["auc"] is not None and rows[n]["auc_above_half"] == (rows[n]["auc"] > 0.5) for n in Q.STORED)
+    fitted = {r["model"]: r["auc"] for r in Q.model_metrics_fitted(spark, SF_SMALL).collect()}
+    assert all(rows[n]["auc_above_half"] == (fitted[n] > 0.5) for n in Q.COMPARED)
