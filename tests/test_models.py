@@ -151,3 +151,41 @@ def test_model_comparison_stacks_fits_and_stored_scorers(spark):
     assert all(rows[n]["auc"] is not None and rows[n]["auc_above_half"] == (rows[n]["auc"] > 0.5) for n in Q.STORED)
     fitted = {r["model"]: r["auc"] for r in Q.model_metrics_fitted(spark, SF_SMALL).collect()}
     assert all(rows[n]["auc_above_half"] == (fitted[n] > 0.5) for n in Q.COMPARED)
+
+
+@pytest.mark.parametrize("run", ["cv", "curve"])
+def test_evaluation_scores_each_row_once(spark, monkeypatch, run):
+    """The evaluation reads written counts: read three times, it must not score three times."""
+    from fundlens.operators import clean as K
+    from fundlens.operators import learning as L
+    from fundlens.plans.q_clean import model_table
+
+    read = []
+    old = EV.auc_of_counts
+    spy = lambda counts, *a, **k: (read.append(counts._jdf.queryExecution().toString()), old(counts, *a, **k))[1]
+    monkeypatch.setattr(EV, "auc_of_counts", spy)
+    monkeypatch.setattr(L, "auc_of_counts", spy)
+    if run == "cv":
+        train, _ = Q.train_test(spark, SF_SMALL)
+        M.fit_gbt_cv(train, depths=(2,), iters=(1, 2), num_folds=2)
+    else:
+        L.learning_curve(K.with_features(K.validate(model_table(spark, SF_SMALL))), sizes=[1.0], folds=2)
+    assert len(read) == 1 and "FileScan" in read[0] and "UDF" not in read[0]
+
+
+def test_leaf_numbers_find_the_values_of_the_nodes(spark, split):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from fundlens.operators import ensembles as ENS
+
+    train, test = split
+    model = M.pipeline(M.gbt_estimator(max_iter=4, max_depth=3)).fit(train)
+    table = ENS.node_table(model, spark=spark).collect()
+    trees = model.stages[-1]
+    rows = PipelineModel(stages=[*model.stages[:-1], trees.copy({trees.leafCol: "leaf"})]).transform(test)
+    by_leaf = ENS.leaf_values(table, vector_to_array("leaf"))
+    by_node, _ = ENS.tree_values(table)
+    got = rows.select(F.array(*by_leaf).alias("a"), F.array(*by_node).alias("b"), F.col("probability"),
+                      ENS.score(by_leaf, False).alias("s")).collect()
+    assert got and all(r["a"] == r["b"] and r["s"] == pytest.approx(r["probability"][1], abs=1e-12) for r in got)
