@@ -122,3 +122,42 @@ def test_one_coarse_range_of_many_holds_few_ranges(spark):
             for k, v in own:
                 total += v
                 assert rows[g, k] == (total, every)
+
+
+def _own_tables(folder, spark):
+    """Orders with repeated, missing and unmatched keys."""
+    import datetime as dt
+
+    day = dt.datetime(2020, 1, 2, 3, 4, 5, 600000)
+    rows = {
+        "orders": ([(1, 10, 50.0, day, "1-URGENT"), (1, 11, 5.0, day, "2-HIGH"), (2, None, 7.5, None, None), (None, 10, 9.0, day, "5-LOW"), (3, 99, 1.0, day, "1-URGENT")],
+                   "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(1, 20.25, day), (1, 30.0, day + dt.timedelta(days=3)), (2, None, None), (4, 1.0, day)],
+                     "l_orderkey long, l_extendedprice double, l_shipdate timestamp"),
+        "customer": ([(10, "a", 0, "X"), (10, "b", 1, "Y"), (11, None, None, None)], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+        "nation": ([(0, "N0"), (1, "N1")], "n_nationkey int, n_name string"),
+        "documents": ([(1, "text"), (1, ""), (3, None)], "doc_id long, text string"),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_narrow_tables_are_widened_to_the_same_rows(spark, tmp_path):
+    """However its parts were written, the view has the rows of the live plan, and no query writes parts it doesn't read."""
+    from fundlens.sources.campaigns import CAMPAIGN_COLUMNS, _key, _materialized
+
+    sf = _own_tables(tmp_path, spark)
+    rows = lambda df: sorted(map(str, df.collect()))
+    asked = [["id", "backers_count", "launched_at"], ["id", "category", "country", "state"], ["id", "name", "deadline"], CAMPAIGN_COLUMNS, ["creator", "blurb", "state"]]
+    for cols in asked:
+        assert rows(campaigns(spark, sf, cols)) == rows(campaigns(spark, sf, cols, live=True)), cols
+    held = _materialized[_key(spark, sf)]
+    assert set(held) == {frozenset(p) for p in (["lines"], ["lines", "place"], ["lines", "names"], ["lines", "place", "names", "blurb"])}
+    assert not {"blurb", "name", "category"} & set(spark.read.parquet(held[frozenset(["lines"])]).columns)
+
+
+def test_missing_blurbs_wait_for_no_line_items(spark, tmp_path):
+    sf = _own_tables(tmp_path, spark)
+    p = plan(Q["kpi_missing_blurb"](spark, sf))
+    assert "documents" in p and "lineitem" not in p and "fundlens/campaigns-" not in p
