@@ -161,3 +161,22 @@ def test_missing_blurbs_wait_for_no_line_items(spark, tmp_path):
     sf = _own_tables(tmp_path, spark)
     p = plan(Q["kpi_missing_blurb"](spark, sf))
     assert "documents" in p and "lineitem" not in p and "fundlens/campaigns-" not in p
+
+
+def test_salts_shuffle_no_rows(spark, monkeypatch):
+    """The numbers of files of a small store's keys are broadcast, so that its rows are shuffled once, to where they are written."""
+    from pyspark.sql import functions as F
+
+    from fundlens.operators import enrich
+    from fundlens.session import scratch_path
+    from fundlens.sources import files as IO
+
+    seen = []
+    old = enrich.sized_broadcast
+    monkeypatch.setattr(enrich, "sized_broadcast", lambda df, *a: (seen.append(old(df, *a)), seen[-1])[1])
+    df = spark.range(100).select("id", F.concat(F.lit("c"), F.col("id") % 3).alias("country"))
+    path = IO.write_partitioned(df, scratch_path(spark, "salted"))
+    assert spark.read.parquet(path).count() == 100
+    (salts,) = seen
+    assert "ResolvedHint (strategy=broadcast)" in salts._jdf.queryExecution().analyzed().toString()
+    assert "FileScan" in salts._jdf.queryExecution().toString()  # counted once
