@@ -21,7 +21,7 @@ from fundlens.llm import bpe, decontaminate, jaccard, pii, toxicity
 from fundlens.llm.queries import table
 from fundlens.llm.shared import written
 
-#: Entries that a worker keeps of the tokenizer's: few, as it works for all stages in turn.
+#: Entries that a task keeps of the tokenizer's: few, and gone with the task, as its worker works for all stages in turn.
 MAX_CACHED = 50_000
 
 
@@ -52,7 +52,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE (10): adds the number of tokens and the digests of ids and of the decoded text."""
-    encoded = bpe.encoding_digest(F.col("text"), max_cached=MAX_CACHED)
+    encoded = bpe.encoding_digest(F.col("text"), max_cached=MAX_CACHED, kept=False)
     return docs.withColumn("_e", encoded).select(*docs.columns, "_e.*")
 
 

@@ -319,24 +319,26 @@ def decode_ids(ids, path: str | None = None, pattern: str | None = None):
 
 
 def encoding_digest(text, path: str | None = None, pattern: str | None = None, max_cached: int = MAX_CACHED,
-                    max_words: int | None = None):
+                    max_words: int | None = None, kept: bool = True):
     """Struct column ENCODED: a text is encoded, its ids decoded again, both digested.
 
     The ids themselves stay in the task, so a text of any length costs the
-    same few bytes downstream.
+    same few bytes downstream. Unless ``kept``, each task has a codec of its own and
+    lets go of it at its end, so that the worker's next tasks, of whatever stage, have the memory.
     """
     path, pattern = path or default_vocabulary(), pattern or default_pattern()
 
     @F.pandas_udf(ENCODED)
-    def digest(texts: pd.Series) -> pd.DataFrame:
-        c = codec(path, pattern, max_cached, max_words)
-        rows = []
-        for t in texts:
-            ids = c.encode(t or "")
-            back = c.decode(ids)
-            rows.append((len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
-                         hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), len(back)))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "n_chars_decoded"])
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        c = (codec if kept else Codec)(path, pattern, max_cached, max_words)
+        for texts in batches:
+            rows = []
+            for t in texts:
+                ids = c.encode(t or "")
+                back = c.decode(ids)
+                rows.append((len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                             hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), len(back)))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "n_chars_decoded"])
 
     return digest(text)
 

@@ -1,4 +1,6 @@
 import duckdb
+import pandas as pd
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fundlens.llm import bpe, decontaminate, pii, toxicity
@@ -67,3 +69,19 @@ def test_cases(spark, sf):
         empty = stage(spark, empty, sf)
     assert empty.count() == 0
     assert toxicity.THRESHOLD == 0.7
+
+
+def test_workers_let_go_of_the_tokenizer(spark):
+    """The stages share their workers: after the last one none of them holds a codec of its sizes."""
+    rows = [(n, f"some words, and others that are tokens of number {n}", "en", "a", 9) for n in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    encoded = corpus_pipeline.encode(spark, docs.repartition(16), "").collect()
+    codec = bpe.Codec(bpe.default_vocabulary(), bpe.default_pattern())
+    assert {r.doc_id: r.n_tokens for r in encoded} == {r[0]: len(codec.encode(r[1])) for r in rows}
+    most = corpus_pipeline.MAX_CACHED
+
+    @F.pandas_udf("long")
+    def held(ids: pd.Series) -> pd.Series:
+        return ids * 0 + sum(key[2] == most for key in bpe._codecs)
+
+    assert spark.range(64).repartition(16).agg(F.max(held("id"))).first()[0] == 0
