@@ -153,6 +153,20 @@ def test_model_comparison_stacks_fits_and_stored_scorers(spark):
     assert all(rows[n]["auc_above_half"] == (fitted[n] > 0.5) for n in Q.COMPARED)
 
 
+def test_model_comparison_has_every_number(spark, duck_small):
+    """A fit's row has the measures of its evaluation, a stored scorer's those of DuckDB; none is nulled or left out."""
+    from fundlens.plans.oracle import with_campaigns
+
+    rows = {r["model"]: r for r in Q.model_comparison(spark, SF_SMALL).collect()}
+    fitted = {r["model"]: r for r in Q.model_metrics_fitted(spark, SF_SMALL).collect()}
+    assert all(rows[n][m] is not None and rows[n][m] == fitted[n][m] for n in Q.COMPARED for m in [*Q.MEASURES, "train_seconds"])
+    of_both = (f"SELECT 'linear_stored' AS model, m.* FROM ({Q._METRICS_SQL}) m UNION ALL "
+               f"SELECT 'boosted_stored', m.* FROM ({Q._of_boosted(Q._METRICS_SQL)}) m")
+    want = duck_small.execute(with_campaigns(of_both, Q.STORED_METRICS_CTE)).fetchall()
+    assert sorted(want) == sorted((n, *(rows[n][m] for m in Q.MEASURES)) for n in Q.STORED)
+    assert rows["boosted_stored"]["rounds"] == 3
+
+
 @pytest.mark.parametrize("run", ["cv", "curve"])
 def test_evaluation_scores_each_row_once(spark, monkeypatch, run):
     """The evaluation reads written counts: read three times, it must not score three times."""
