@@ -203,3 +203,71 @@ def test_leaf_numbers_find_the_values_of_the_nodes(spark, split):
     got = rows.select(F.array(*by_leaf).alias("a"), F.array(*by_node).alias("b"), F.col("probability"),
                       ENS.score(by_leaf, False).alias("s")).collect()
     assert got and all(r["a"] == r["b"] and r["s"] == pytest.approx(r["probability"][1], abs=1e-12) for r in got)
+
+
+def _curve_rows(spark, n=400):
+    """Rows of a learning curve whose outcome leans on the goal."""
+    from pyspark.sql import functions as F
+
+    lean = (F.col("id") * 7919 % 1000 / 1000 + F.col("id") % 13 / 13 > 1).cast("int")
+    return spark.range(n).select("id", (F.col("id") % 13 / 3.0 + 1).alias("goal_log"), (F.col("id") % 97 * 86400).alias("duration"),
+                                 (F.col("id") % 5 == 0).cast("int").alias("staff_pick"), F.concat(F.lit("c"), F.col("id") % 4).alias("category"),
+                                 F.concat(F.lit("n"), F.col("id") % 7).alias("country"), lean.alias("state"))
+
+
+def test_fits_of_a_curve_hash_no_row(spark):
+    """A row's place among the samples is kept with it: 48 fits of several passes each would hash it anew."""
+    from pyspark.ml.classification import LogisticRegression
+
+    from fundlens.operators import learning as L
+
+    plans = []
+
+    class Seen(LogisticRegression):
+        def _fit(self, dataset):
+            plans.append(dataset._jdf.queryExecution().optimizedPlan().toString())
+            return super()._fit(dataset)
+
+    est = Seen(featuresCol="features", labelCol="state", maxIter=5)
+    rows = L.learning_curve(_curve_rows(spark), sizes=[0.5, 1.0], folds=2, estimators={"LR": est}).collect()
+    assert len(rows) == 2 and len(plans) == 4
+    assert all("InMemoryRelation" in p and "md5" not in p.split("InMemoryRelation")[0] for p in plans)
+
+
+def test_curve_computes_each_score_once(spark):
+    """The filter of the counts is not pushed below a score, which would compute it again for each condition."""
+    from pyspark.sql import functions as F
+
+    from fundlens.operators import learning as L
+
+    data = FT.assembler(["id", "goal_log"]).transform(_curve_rows(spark)).select("features", "state", F.expr("id % 3").alias("fold"))
+    ests = L.default_estimators()
+    models = [ests["LR"].fit(data), ests["RF"].fit(data)]
+    parts = [F.when(F.col("fold") != f, "train").when(F.col("fold") == f, "val") for f in range(2)]
+    counts = EV.score_counts(L._scores(data.checkpoint(), models, parts), group_cols=["cell"])
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("UDF(") == 3  # a forest's votes, two vectors read
+    assert {r["cell"] for r in counts.collect()} == {0, 1, 2, 3}
+
+
+def test_fits_wait_for_room():
+    """Fits that keep more rows than fit into memory run one after the other, even one that never fits."""
+    import threading
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
+    from fundlens.operators import learning as L
+
+    room, guard, held, most = L.Room(100), threading.Lock(), [], []
+
+    def use(need):
+        with room.taken(need):
+            with guard:
+                held.append(need)
+                most.append(list(held))
+            time.sleep(0.02)
+            with guard:
+                held.remove(need)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(use, [60, 30, 500, 10, 60, 60, 20, 500]))
+    assert all(sum(x) <= 100 or len(x) == 1 for x in most) and sum(500 in x for x in most) == 2 and room.used == room.users == 0
